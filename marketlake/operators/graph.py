@@ -4,8 +4,8 @@ infrastructure (device, IP, bank, owner).
 No pair enumeration: "how many others share my hub" is computed from hub degrees (one aggregate per
 hub joined back to the edges), never by a self-join through the hub, so a hub shared by a third of
 all customers costs one row, not n^2 pairs. Iterative algorithms (components, BFS) run one
-equi-join + partial aggregate per round, cut lineage each round with ``checkpoint()`` into the
-shared checkpoint folder, and stop on a one-row convergence aggregate.
+equi-join + partial aggregate per round, cut lineage each round by writing the round's table into
+the shared checkpoint folder, and stop on a one-row convergence aggregate.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.session import ensure_checkpoint_dir
+from marketlake.session import materialize
 
 
 def edges(df: DataFrame, specs: Sequence[tuple[str, str, str]], ts: str = "ts") -> DataFrame:
@@ -46,16 +46,16 @@ def components(e: DataFrame, max_iter: int = 100) -> DataFrame:
     ``component`` is the smallest node id reachable. Each round: labels flow across edges (join on
     node id) and each node keeps the minimum (partial aggregate); the loop stops when no label
     changed (one-row count) - ``max_iter`` is only a guard and raises if reached."""
-    ensure_checkpoint_dir(e.sparkSession)
-    und = _undirected(e).checkpoint()
-    labels = und.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node")).checkpoint()
+    und = materialize(_undirected(e), "cc_edges")
+    labels = materialize(und.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node")),
+                         "cc_labels")
     for _ in range(max_iter):
         cand = (und.join(labels, und.a == labels.node)
                    .select(F.col("b").alias("node"), F.col("component").alias("cand")))
         new = (labels.join(cand.groupBy("node").agg(F.min("cand").alias("cand")), "node", "left")
                      .select("node", F.least("component", F.coalesce("cand", "component")).alias("component"),
-                             (F.coalesce(F.col("cand") < F.col("component"), F.lit(False))).alias("_changed"))
-                     .checkpoint())
+                             (F.coalesce(F.col("cand") < F.col("component"), F.lit(False))).alias("_changed")))
+        new = materialize(new, "cc_labels")
         changed = new.where("_changed").limit(1).count()
         labels = new.drop("_changed")
         if changed == 0:
@@ -87,16 +87,15 @@ def distance(e: DataFrame, seeds: DataFrame, max_hops: int = 4) -> DataFrame:
     """Source-to-source hops (through one hub per hop) to the nearest seed, up to ``max_hops``
     (feature definition: farther or unreachable -> NULL). Frontier expansion: each round joins the
     new frontier to edges twice (src -> hub -> src) and keeps nodes not seen before (anti-join)."""
-    ensure_checkpoint_dir(e.sparkSession)
-    k = e.select("src", "dst").distinct().checkpoint()
-    dist = seeds.select(F.col("src").cast("long")).distinct().withColumn("hops", F.lit(0)).checkpoint()
+    k = materialize(e.select("src", "dst").distinct(), "bfs_edges")
+    dist = materialize(seeds.select(F.col("src").cast("long")).distinct().withColumn("hops", F.lit(0)), "bfs_dist")
     frontier = dist
     for h in range(1, max_hops + 1):
         hubs = frontier.join(k, "src").select("dst").distinct()
         reached = hubs.join(k, "dst").select("src").distinct()
-        new = reached.join(dist, "src", "left_anti").withColumn("hops", F.lit(h)).checkpoint()
+        new = materialize(reached.join(dist, "src", "left_anti").withColumn("hops", F.lit(h)), "bfs_frontier")
         if new.limit(1).count() == 0:
             break
-        dist = dist.unionByName(new).checkpoint()
+        dist = materialize(dist.unionByName(new), "bfs_dist")
         frontier = new
     return dist.withColumnRenamed("hops", "distance_to_confirmed_fraud")

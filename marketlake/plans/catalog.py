@@ -69,7 +69,8 @@ items_p AS (select i.*, p.category from f_items i left join f_products p on i.pr
 med AS (select category, quantile_disc(price_brl, 0.5) as cat_median from items_p group by category),
 items_r AS (select i.*, m.cat_median, i.price_brl / m.cat_median as price_ratio from items_p i left join med m on i.category = m.category),
 worst AS (select order_id, min(score) as score from rv group by order_id),
-brl AS (select date_trunc('month', date) as m, avg(rate) as brl_per_usd from f_fx where currency = 'BRL' group by 1),
+brl AS (select date_trunc('month', date) as m, cast(sum(cast(rate as decimal(30, 6))) as double) / count(rate) as brl_per_usd
+        from f_fx where currency = 'BRL' group by 1),
 fb AS (select coalesce(avg(brl_per_usd), 3.5) as fallback from brl),
 os AS (
   select a.order_id, a.seller_id, a.order_value_brl, a.price_ratio, a.ship_by,

@@ -52,3 +52,17 @@ def shared_scratch(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint location for materialised intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/marketlake/{name}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a Parquet table under the shared checkpoint folder and read it back.
+
+    This cuts lineage like ``checkpoint()`` but computes the input only once (a reliable RDD
+    checkpoint of an unpersisted plan runs the plan twice: once for the action, once to save).
+    The folder is on the cluster's shared storage, so a lost executor never loses the table."""
+    import uuid
+
+    spark = df.sparkSession
+    path = shared_scratch(spark, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

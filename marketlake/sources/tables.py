@@ -9,8 +9,16 @@ DRIVER_TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+# One relation per (session, path): listing files and reading footers happens once per table, and
+# every consumer's projection and filters still reach the scan (``ReadSchema`` / ``PushedFilters``).
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one driver table. Nothing is cached: each consumer's projection and
-    filters reach the scan (``ReadSchema`` / ``PushedFilters``)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one driver table (lazy; nothing is cached in memory)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _RELATIONS.get(key)
+    if df is None:
+        df = _RELATIONS[key] = spark.read.parquet(path)
+    return df
