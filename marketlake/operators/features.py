@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.exprs import haversine_km, ratio
 from marketlake.operators.windows import prior_in_range, prior_last, prior_running
+from marketlake.session import materialize
 
 AGENT_CHANNELS = ["agent_delegated", "agent_to_agent"]
 
@@ -226,11 +227,14 @@ def asof(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: st
                        F.col("_p_ts").alias(f"{prefix}_ts")))
 
 
-def delegation(mandates: DataFrame, max_depth: int = 8) -> DataFrame:
+def delegation(mandates: DataFrame, max_rounds: int = 64) -> DataFrame:
     """Delegation chains: depth (root = 0), root mandate, whether any ancestor is revoked, and whether
-    the mandate's per-transaction cap exceeds its parent's. Iterative parent-pointer doubling is
-    not needed at these depths: each round is one equi-join on the parent id, ``max_depth`` rounds
-    at most, with the loop ending as soon as no chain advanced."""
+    the mandate's per-transaction cap exceeds its parent's.
+
+    Each round follows every open chain one parent up (one equi-join on the parent id), writes the
+    round as a table in the shared checkpoint folder, and the loop ends when no chain advanced - so
+    chains of any length are followed to their root. ``max_rounds`` only guards against cycles in
+    the parent pointers (raises)."""
     m = mandates.select("mandate_id", "parent_mandate_id", "revoked_at", "max_amount_per_txn")
     parent = m.select(F.col("mandate_id").alias("_pid"), F.col("parent_mandate_id").alias("_pp"),
                       F.col("revoked_at").alias("_prev"), F.col("max_amount_per_txn").alias("_pcap"))
@@ -241,7 +245,10 @@ def delegation(mandates: DataFrame, max_depth: int = 8) -> DataFrame:
                     F.when(F.col("_pid").isNotNull(), 1).otherwise(0).alias("delegation_depth"),
                     F.coalesce(F.col("_pid"), F.col("mandate_id")).alias("root_mandate_id"),
                     F.col("_pp").alias("_next")))
-    for _ in range(max_depth - 1):
+    for _ in range(max_rounds):
+        cur = materialize(cur, "delegation")
+        if cur.where(F.col("_next").isNotNull()).limit(1).count() == 0:
+            return cur.drop("_next")
         step = cur.join(parent, F.col("_next") == F.col("_pid"), "left")
         cur = step.select(
             "mandate_id", "parent_mandate_id", "revoked_at", "max_amount_per_txn", "child_scope_exceeds_parent",
@@ -249,7 +256,7 @@ def delegation(mandates: DataFrame, max_depth: int = 8) -> DataFrame:
             (F.col("delegation_depth") + F.when(F.col("_pid").isNotNull(), 1).otherwise(0)).alias("delegation_depth"),
             F.coalesce(F.col("_pid"), F.col("root_mandate_id")).alias("root_mandate_id"),
             F.col("_pp").alias("_next"))
-    return cur.drop("_next")
+    raise RuntimeError(f"delegation chains still open after {max_rounds} rounds (cycle in parent ids?)")
 
 
 def replay(txns: DataFrame, mandates: DataFrame) -> DataFrame:

@@ -23,13 +23,32 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DAY_US = 86_400_000_000
 
 
-def micros(ts: str | Column) -> Column:
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(c.cast("timestamp"))
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _is_ntz(df: DataFrame, ts: str) -> bool:
+    return isinstance(df.schema[ts].dataType, T.TimestampNTZType)
+
+
+def micros(df: DataFrame, ts: str) -> Column:
+    """Microseconds since the epoch, independent of the session time zone (wall-clock for
+    ``timestamp_ntz``, instant for ``timestamp``) - so no DST fold can reorder rows."""
+    if _is_ntz(df, ts):
+        return F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col(ts))
+    return F.unix_micros(F.col(ts))
+
+
+def from_micros(df: DataFrame, ts: str, us: Column) -> Column:
+    """Inverse of ``micros`` with the input column's type."""
+    if _is_ntz(df, ts):
+        return F.timestamp_add("MICROSECOND", us, _epoch_ntz())
+    return F.timestamp_micros(us)
 
 
 def prior_in_range(df: DataFrame, keys: Sequence[str], ts: str, width_s: int,
@@ -41,7 +60,7 @@ def prior_in_range(df: DataFrame, keys: Sequence[str], ts: str, width_s: int,
     w_us = int(width_s) * 1_000_000
     b_us = int(bucket_s or width_s) * 1_000_000
     assert b_us >= w_us, "bucket must be at least the window width"
-    base = df.withColumn("_t", micros(ts)).withColumn("_b", F.floor(F.col("_t") / F.lit(b_us)))
+    base = df.withColumn("_t", micros(df, ts)).withColumn("_b", F.floor(F.col("_t") / F.lit(b_us)))
     own = base.withColumn("_own", F.lit(True))
     ctx = base.withColumn("_b", F.col("_b") + 1).withColumn("_own", F.lit(False))
     both = own.unionByName(ctx)
@@ -57,7 +76,7 @@ def prior_running(df: DataFrame, keys: Sequence[str], ts: str, value: str | None
     keys = list(keys)
     b_us = bucket_s * 1_000_000
     v = F.col(value).cast("double") if value else F.lit(0.0)
-    d = df.withColumn("_t", micros(ts)).withColumn("_b", F.floor(F.col("_t") / F.lit(b_us))).withColumn("_v", v)
+    d = df.withColumn("_t", micros(df, ts)).withColumn("_b", F.floor(F.col("_t") / F.lit(b_us))).withColumn("_v", v)
     within = Window.partitionBy(*keys, "_b").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_wn", F.count(F.lit(1)).over(within)).withColumn("_ws", F.sum("_v").over(within))
     per_bucket = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bn"), F.sum("_v").alias("_bs"))
@@ -78,7 +97,7 @@ def prior_last(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str],
     true are candidates (as-of lookups from a unioned right side)."""
     keys, cols = list(keys), list(cols)
     b_us = bucket_s * 1_000_000
-    d = df.withColumn("_t", micros(ts)).withColumn("_b", F.floor(F.col("_t") / F.lit(b_us)))
+    d = df.withColumn("_t", micros(df, ts)).withColumn("_b", F.floor(F.col("_t") / F.lit(b_us)))
     packed = F.struct(F.col("_t").alias("t"), *[F.col(c).alias(c) for c in cols])
     if source is not None:
         packed = F.when(source, packed)
@@ -91,5 +110,5 @@ def prior_last(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str],
     out = d.join(carry, [*keys, "_b"], "left").withColumn("_last", F.coalesce("_wl", "_cl"))
     sel = [F.col("_last.t").alias(f"{prefix}_t")] + [F.col(f"_last.{c}").alias(f"{prefix}_{c}") for c in cols]
     return (out.select("*", *sel)
-               .withColumn(f"{prefix}_ts", F.timestamp_micros(F.col(f"{prefix}_t")).cast("timestamp_ntz"))
+               .withColumn(f"{prefix}_ts", from_micros(df, ts, F.col(f"{prefix}_t")))
                .drop("_t", "_b", "_p", "_wl", "_cl", "_last", f"{prefix}_t"))

@@ -162,10 +162,13 @@ def b04_promote_metadata(spark, sf):
 
 
 @register("b08_b09_object_state", with_views(EVENT_VIEWS, """
-select object_id, arg_max(event_type, (created, event_id)) as status,
-       string_agg(event_type, '>' order by created, event_id) as ladder, count(*) as n_events,
-       min(created) as first_at, max(created) as last_at
-from ev group by object_id""", ctes=SQL_EVENTS))
+select s.object_id, s.status, l.ladder, s.n_events, s.first_at, s.last_at
+from (select object_id, arg_max(event_type, (created, event_id)) as status, count(*) as n_events,
+             min(created) as first_at, max(created) as last_at from ev group by object_id) s
+join (select object_id, string_agg(event_type, '>' order by created, event_id) as ladder
+      from (select * from ev qualify row_number() over (partition by object_id, event_type
+                                                        order by created, event_id) = 1)
+      group by object_id) l on s.object_id = l.object_id""", ctes=SQL_EVENTS))
 def b08_b09_object_state(spark, sf):
     ev, _ = silver_events(spark, sf)
     st = silver.latest_state(ev, "object_id")
