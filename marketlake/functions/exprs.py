@@ -36,9 +36,28 @@ def ratio(a: str | Column, b: str | Column) -> Column:
     return F.try_divide(col(a), col(b))
 
 
+def exact_seconds(later: str | Column, earlier: str | Column) -> Column:
+    """``later - earlier`` in seconds as ``decimal(30,6)``, from the interval difference.
+
+    Subtracting two ``timestamp_ntz`` values is wall-clock arithmetic, free of the session time
+    zone; ``timestamp_diff`` on ``timestamp_ntz`` is not (it goes through the zone, so a wall time in
+    a DST gap shifts the result by an hour)."""
+    return (col(later) - col(earlier)).cast("interval second").cast("decimal(30,6)")
+
+
+def seconds_between(later: str | Column, earlier: str | Column) -> Column:
+    """Whole seconds from ``earlier`` to ``later``, truncated toward zero (NULL if either is NULL)."""
+    return exact_seconds(later, earlier).cast("bigint")
+
+
+def epoch_seconds(ts: str | Column) -> Column:
+    """Whole seconds since 1970-01-01 00:00 (wall clock for ``timestamp_ntz``)."""
+    return F.floor(exact_seconds(ts, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
+
+
 def days_between_frac(later: str | Column, earlier: str | Column) -> Column:
     """Fractional days between two timestamps from whole epoch seconds, like casting both to long."""
-    return F.timestamp_diff("SECOND", col(earlier), col(later)).cast("double") / F.lit(86400.0)
+    return (epoch_seconds(later) - epoch_seconds(earlier)).cast("double") / F.lit(86400.0)
 
 
 def mint_id(prefix: str, length: int, *parts: str | Column) -> Column:

@@ -52,10 +52,11 @@ def verify(claims: DataFrame, long_bundle: DataFrame, digits: int = 4) -> DataFr
                .drop("_bad"))
 
 
-def dashboard(decisions: DataFrame, ts: str = "ts", bucket: str = "1 hour") -> DataFrame:
-    """Risk-operations view: per time bucket and channel, decisions by outcome and amount."""
-    w = F.window(F.col(ts).cast("timestamp"), bucket)
-    return (decisions.groupBy(w.start.cast("timestamp_ntz").alias("bucket"), "channel")
+def dashboard(decisions: DataFrame, ts: str = "ts") -> DataFrame:
+    """Risk-operations view: per hour and channel, decisions by outcome and amount. The hour bucket
+    is built from the date and the hour field (wall clock, no time-zone round trip)."""
+    hour = F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(ts))
+    return (decisions.groupBy(hour.alias("bucket"), "channel")
                      .agg(F.count("*").alias("txns"), F.sum("amount").alias("amount"),
                           F.count_if(F.col("decision") == "DECLINE").alias("declined"),
                           F.count_if(F.col("decision") == "REVIEW").alias("review"),

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.functions.exprs import haversine_km, ratio
+from marketlake.functions.exprs import haversine_km, ratio, seconds_between
 from marketlake.operators.windows import prior_in_range, prior_last, prior_running
 from marketlake.session import materialize
 
@@ -74,7 +74,7 @@ def distance_prev(df: DataFrame, key: str = "customer_id", ts: str = "ts") -> Da
     return (out.withColumn("distance_from_previous_txn",
                            haversine_km(F.col("_prev_lat"), F.col("_prev_lon"), F.col("lat"), F.col("lon")))
                .withColumn("seconds_since_previous_txn",
-                           F.timestamp_diff("SECOND", F.col("_prev_ts"), F.col(ts)))
+                           seconds_between(F.col(ts), F.col("_prev_ts")))
                .drop("_prev_lat", "_prev_lon", "_prev_ts"))
 
 
@@ -168,10 +168,10 @@ def mandate_scope(txns: DataFrame, mandates: DataFrame) -> DataFrame:
                         "max_txn_count", *[c for c in ["allowed_merchant_categories"] if c in mandates.columns])
     t = prior_running(txns, ["mandate_id"], "ts", prefix="_used")
     t = t.join(m, "mandate_id")
-    life = F.timestamp_diff("SECOND", F.col("issued_at"), F.col("expires_at"))
+    life = seconds_between(F.col("expires_at"), F.col("issued_at"))
     out = (t.withColumn("amount_over_mandate_ratio", ratio(F.col("amount"), F.col("max_amount_per_txn")))
             .withColumn("mandate_age_vs_expiry",
-                        ratio(F.timestamp_diff("SECOND", F.col("issued_at"), F.col("ts")), life))
+                        ratio(seconds_between(F.col("ts"), F.col("issued_at")), life))
             .withColumn("after_expiry", F.col("ts") > F.col("expires_at"))
             .withColumn("after_revocation", F.coalesce(F.col("ts") > F.col("revoked_at"), F.lit(False)))
             .withColumn("mandate_txn_count_used", F.col("_used_n"))
@@ -189,7 +189,7 @@ def injection(txns: DataFrame, sessions: DataFrame) -> DataFrame:
     fs = first_seen(txns, ["session_id", "merchant_id"], "ts", "_first")
     return (txns.join(s, "session_id", "left").join(fs, ["session_id", "merchant_id"])
                 .withColumn("intent_signal_absent", ~F.col("user_intent_present"))
-                .withColumn("session_duration_to_purchase", F.timestamp_diff("SECOND", F.col("started_at"), F.col("ts")))
+                .withColumn("session_duration_to_purchase", seconds_between(F.col("ts"), F.col("started_at")))
                 .withColumn("merchant_first_seen_in_session", F.col("ts") <= F.col("_first"))
                 .withColumn("tool_calls_before_purchase", F.col("tool_calls_count"))
                 .drop("_first", "started_at", "user_intent_present", "tool_calls_count"))
@@ -267,5 +267,5 @@ def replay(txns: DataFrame, mandates: DataFrame) -> DataFrame:
     return (t.join(m, "mandate_id", "left")
              .withColumn("mandate_use_count", F.col("_uses_n") + 1)
              .withColumn("single_use_violated", F.coalesce(F.col("single_use"), F.lit(False)) & (F.col("_uses_n") >= 1))
-             .withColumn("token_reuse_interval", F.timestamp_diff("SECOND", F.col("_prev_ts"), F.col("ts")))
+             .withColumn("token_reuse_interval", seconds_between(F.col("ts"), F.col("_prev_ts")))
              .drop("_uses_n", "_prev_ts", "single_use"))

@@ -13,6 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.functions.exprs import seconds_between
+
 REPORT_SCHEMA = "table string, check string, ok boolean, detail string"
 
 
@@ -154,7 +156,7 @@ def freshness(df: DataFrame, cols: list[str], now_col) -> DataFrame:
         aggs.append(F.max(c).alias(f"max_{c}"))
     a = df.agg(*aggs)
     return a.select(*[F.col(f"max_{c}") for c in cols],
-                    *[F.timestamp_diff("SECOND", F.col(f"max_{c}"), now_col).alias(f"lag_s_{c}") for c in cols])
+                    *[seconds_between(now_col, F.col(f"max_{c}")).alias(f"lag_s_{c}") for c in cols])
 
 
 def shape(df: DataFrame, key: str, ts: str, channel: str, top_k: int = 10) -> tuple[DataFrame, DataFrame]:

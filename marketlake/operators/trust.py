@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.exprs import clip01, ratio
+from marketlake.functions.exprs import clip01, ratio, seconds_between
 
 # Component weights (hand-set priors, not learned).
 MERCHANT_WEIGHTS = {"transaction": 0.30, "identity": 0.20, "behavioral": 0.20, "customer": 0.15, "network": 0.15}
@@ -64,7 +64,7 @@ def merchant_inputs(txns: DataFrame, disputes: DataFrame, as_of: str, days: int
                 .withColumn("dispute_rate_30d", ratio("disputes_30d", "txns_30d"))
                 .withColumn("refund_rate_30d", ratio("refunds_30d", "txns_30d"))
                 .withColumn("decline_rate_30d", ratio("declines_30d", "txns_30d"))
-                .withColumn("account_age_days", F.timestamp_diff("SECOND", F.col("first_txn"), t) / F.lit(86400.0))
+                .withColumn("account_age_days", seconds_between(t, F.col("first_txn")) / F.lit(86400.0))
                 .withColumn("top_country_share", ratio("_top_country", "txns"))
                 .drop("_top_country"))
 
@@ -100,7 +100,7 @@ def agent_inputs(txns: DataFrame, agents: DataFrame, mandates: DataFrame, sessio
                  F.avg(F.coalesce(~F.col("user_intent_present"), F.lit(False)).cast("int")).alias("no_intent_rate"),
                  F.avg(F.coalesce("_disp", F.lit(False)).cast("int")).alias("disputed_rate"),
                  F.countDistinct("merchant_id").alias("merchants"),
-                 (F.count("*") / F.greatest(F.lit(1.0), F.timestamp_diff("SECOND", F.min("ts"), F.max("ts")) / 3600.0))
+                 (F.count("*") / F.greatest(F.lit(1.0), seconds_between(F.max("ts"), F.min("ts")) / 3600.0))
                  .alias("txns_per_hour")))
     lvl = F.create_map(*[x for k, v in ATTESTATION_SCORE.items() for x in (F.lit(k), F.lit(float(v)))])
     a = agents.select("agent_id", lvl[F.col("attestation_level")].alias("attestation_level_score"),

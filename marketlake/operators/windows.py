@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.functions.exprs import exact_seconds
+
 DAY_US = 86_400_000_000
 
 
@@ -40,14 +42,14 @@ def micros(df: DataFrame, ts: str) -> Column:
     """Microseconds since the epoch, independent of the session time zone (wall-clock for
     ``timestamp_ntz``, instant for ``timestamp``) - so no DST fold can reorder rows."""
     if _is_ntz(df, ts):
-        return F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col(ts))
+        return (exact_seconds(F.col(ts), _epoch_ntz()) * 1_000_000).cast("bigint")
     return F.unix_micros(F.col(ts))
 
 
 def from_micros(df: DataFrame, ts: str, us: Column) -> Column:
     """Inverse of ``micros`` with the input column's type."""
     if _is_ntz(df, ts):
-        return F.timestamp_add("MICROSECOND", us, _epoch_ntz())
+        return _epoch_ntz() + F.make_dt_interval(secs=(us.cast("decimal(30,0)") / 1_000_000).cast("decimal(18,6)"))
     return F.timestamp_micros(us)
 
 

@@ -351,7 +351,7 @@ def a09_flatten_fx_documents(spark, sf):
     rates = silver.fx_rates(fx.f_fx(spark, sf))
     per_day = rates.groupBy("date").agg(
         F.map_from_entries(F.collect_list(F.struct("currency", "rate"))).alias("by_ccy"))
-    docs = (per_day.groupBy(F.date_trunc("month", "date").alias("month"))
+    docs = (per_day.groupBy(F.trunc("date", "month").alias("month"))
             .agg(F.to_json(F.map_from_entries(F.collect_list(
                 F.struct(F.date_format("date", "yyyy-MM-dd"), "by_ccy")))).alias("rates")))
     flat = landing.flatten_fx(docs)
