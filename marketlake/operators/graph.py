@@ -42,19 +42,28 @@ def _undirected(e: DataFrame) -> DataFrame:
 
 
 def components(e: DataFrame, max_iter: int = 100) -> DataFrame:
-    """Connected components by min-label propagation: ``(node, component)`` for every node, where
-    ``component`` is the smallest node id reachable. Each round: labels flow across edges (join on
-    node id) and each node keeps the minimum (partial aggregate); the loop stops when no label
-    changed (one-row count) - ``max_iter`` is only a guard and raises if reached."""
+    """Connected components: ``(node, component)`` for every node, where ``component`` is the
+    smallest node id reachable.
+
+    Each round (1) propagates labels across edges and keeps each node's minimum (equi-join + partial
+    aggregate) and (2) short-cuts every label to its label's label (pointer jumping, one more
+    equi-join), which halves long chains, so the number of rounds grows with the log of the
+    diameter rather than the diameter. Each round is written as a table in the shared checkpoint
+    folder; the loop stops when no label changed (one-row count). ``max_iter`` only guards (raises)."""
     und = materialize(_undirected(e), "cc_edges")
     labels = materialize(und.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node")),
                          "cc_labels")
     for _ in range(max_iter):
         cand = (und.join(labels, und.a == labels.node)
                    .select(F.col("b").alias("node"), F.col("component").alias("cand")))
-        new = (labels.join(cand.groupBy("node").agg(F.min("cand").alias("cand")), "node", "left")
-                     .select("node", F.least("component", F.coalesce("cand", "component")).alias("component"),
-                             (F.coalesce(F.col("cand") < F.col("component"), F.lit(False))).alias("_changed")))
+        prop = (labels.join(cand.groupBy("node").agg(F.min("cand").alias("cand")), "node", "left")
+                      .select("node", "component",
+                              F.least("component", F.coalesce("cand", "component")).alias("_c1")))
+        hop = labels.select(F.col("node").alias("_n2"), F.col("component").alias("_c2"))
+        new = (prop.join(hop, prop._c1 == hop._n2, "left")
+                   .select("node", F.least("_c1", F.coalesce("_c2", "_c1")).alias("_new"), "component")
+                   .select("node", F.col("_new").alias("component"),
+                           (F.col("_new") < F.col("component")).alias("_changed")))
         new = materialize(new, "cc_labels")
         changed = new.where("_changed").limit(1).count()
         labels = new.drop("_changed")

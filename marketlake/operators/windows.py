@@ -57,15 +57,20 @@ def prior_in_range(df: DataFrame, keys: Sequence[str], ts: str, width_s: int,
                    aggs: dict[str, Callable[[WindowSpec], Column]], bucket_s: int | None = None) -> DataFrame:
     """Add one column per ``aggs`` entry, each a window aggregate over rows of the same ``keys`` with
     time in ``[t - width_s, t)``. ``aggs`` values take the window spec and return a column, e.g.
-    ``lambda w: F.count(F.lit(1)).over(w)`` or ``lambda w: F.size(F.collect_set("m").over(w))``."""
+    ``lambda w: F.count(F.lit(1)).over(w)`` or ``lambda w: F.size(F.collect_set("m").over(w))``.
+
+    ``bucket_s`` (default: the width) sets the partition grain: each row is also copied, as
+    context, into the next ``ceil(width / bucket)`` buckets, so every frame is complete inside one
+    ``(key, bucket)`` partition. A smaller bucket splits a burst of one hot key over more tasks at
+    the price of more context copies."""
     keys = list(keys)
     w_us = int(width_s) * 1_000_000
     b_us = int(bucket_s or width_s) * 1_000_000
-    assert b_us >= w_us, "bucket must be at least the window width"
-    base = df.withColumn("_t", micros(df, ts)).withColumn("_b", F.floor(F.col("_t") / F.lit(b_us)))
-    own = base.withColumn("_own", F.lit(True))
-    ctx = base.withColumn("_b", F.col("_b") + 1).withColumn("_own", F.lit(False))
-    both = own.unionByName(ctx)
+    copies = -(-w_us // b_us)  # ceil
+    base = df.withColumn("_t", micros(df, ts)).withColumn("_b0", F.floor(F.col("_t") / F.lit(b_us)))
+    both = (base.select("*", F.explode(F.sequence(F.lit(0), F.lit(copies))).alias("_j"))
+                .withColumn("_b", F.col("_b0") + F.col("_j"))
+                .withColumn("_own", F.col("_j") == 0).drop("_b0", "_j"))
     win = Window.partitionBy(*keys, "_b").orderBy("_t").rangeBetween(-w_us, -1)
     out = both.select("*", *[fn(win).alias(name) for name, fn in aggs.items()])
     return out.where("_own").drop("_t", "_b", "_own")

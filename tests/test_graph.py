@@ -44,3 +44,11 @@ def test_distance_and_shared_counts(spark):
     assert dist == {1: 0, 2: 1, 3: 2}
     shared = {r.src: r.shared_d_count for r in graph.shared(e, "d").collect()}
     assert shared == {1: 1, 2: 2, 3: 1, 4: 0}
+
+
+def test_components_on_a_long_chain(spark):
+    # a path 0-1000-1-1001-2-...: min-label propagation alone needs ~len rounds
+    edges = [(i, 1000 + i) for i in range(120)] + [(i + 1, 1000 + i) for i in range(119)]
+    e = spark.createDataFrame([("k", a, b) for a, b in edges], "kind string, src long, dst long")
+    comps = {r.component for r in graph.components(e).collect()}
+    assert comps == {0}

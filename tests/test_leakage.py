@@ -53,3 +53,12 @@ def test_features_ignore_same_time_rows(spark):
         .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     out = {r.txn_id: r.customer_id_txn_count_60s for r in ft.velocity(df, "customer_id", "ts", (60,)).collect()}
     assert out == {1: 0, 2: 0, 3: 2}
+
+
+def test_finer_buckets_give_the_same_windows(spark, sf):
+    from marketlake.operators.windows import prior_in_range
+    t = fx.f_txns(spark, sf)
+    aggs = {"n": lambda w: F.count(F.lit(1)).over(w), "m": lambda w: F.size(F.collect_set("merchant_id").over(w))}
+    a = prior_in_range(t, ["agent_id"], "ts", 300, aggs).select("txn_id", "n", "m")
+    b = prior_in_range(t, ["agent_id"], "ts", 300, aggs, bucket_s=60).select("txn_id", "n", "m")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
