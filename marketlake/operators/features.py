@@ -246,8 +246,8 @@ def delegation(mandates: DataFrame, max_rounds: int = 64) -> DataFrame:
                     F.coalesce(F.col("_pid"), F.col("mandate_id")).alias("root_mandate_id"),
                     F.col("_pp").alias("_next")))
     for _ in range(max_rounds):
-        cur = materialize(cur, "delegation")
-        if cur.where(F.col("_next").isNotNull()).limit(1).count() == 0:
+        cur, m = materialize(cur, "delegation", open_chains=F.count_if(F.col("_next").isNotNull()))
+        if m["open_chains"] == 0:
             return cur.drop("_next")
         step = cur.join(parent, F.col("_next") == F.col("_pid"), "left")
         cur = step.select(

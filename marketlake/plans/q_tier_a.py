@@ -407,3 +407,20 @@ def a83_dense_index(spark, sf):
     sellers = silver.sellers(fx.f_sellers(spark, sf)).select(
         "seller_id", F.concat(F.lit("acct_"), F.substring(F.col("seller_id").cast("string"), 1, 16)).alias("acct"))
     return events.dense_index(sellers, ["seller_id"], "sidx")
+
+
+@register("a109_event_time_rank", with_views(EVENT_VIEWS, """
+select event_id, account_id, created, rank() over (partition by account_id order by created) as event_rank,
+       rank() over (partition by account_id order by ingested_at) as arrival_rank
+from ev""", ctes=SQL_EVENTS))
+def a109_event_time_rank(spark, sf):
+    """Consumers order by event time (``created``), never by arrival: per account, the event-time
+    rank next to the arrival rank shows the disorder. Ranks come from the hot-key-safe running
+    count (1 + events of the account strictly earlier), not from a window over the whole account."""
+    from marketlake.operators.windows import prior_running
+    ev, _ = silver_events(spark, sf)
+    r = prior_running(ev.select("event_id", "account_id", "created", "ingested_at"), ["account_id"], "created",
+                      prefix="_c")
+    r = prior_running(r, ["account_id"], "ingested_at", prefix="_a")
+    return r.select("event_id", "account_id", "created", (F.col("_c_n") + 1).alias("event_rank"),
+                    (F.col("_a_n") + 1).alias("arrival_rank"))
