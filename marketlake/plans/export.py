@@ -17,7 +17,7 @@ from marketlake.operators.gold import DIMENSIONS, MIN_ORDERS
 TOP_MERCHANTS = 200
 TOP_BENCHMARKS = 15
 
-# Fixed text of the published document.
+# Fixed text of the published document (dimension descriptions, data sources and scoring note).
 DIMENSION_TEXT = {
     "delivery": "Share of delivered orders arriving on or before the promised date.",
     "price": "Item price vs category median (cheaper = higher).",
@@ -28,6 +28,8 @@ DIMENSION_TEXT = {
     "comms": "PROXY: share of orders handed to carrier before the seller's own ship-by date.",
     "resolution": "PROXY: share of late orders that still ended with a >=4 star review.",
 }
+SOURCES = [("Olist Brazilian E-Commerce", "real"), ("CFPB Consumer Complaints", "real"),
+           ("Frankfurter FX (ECB)", "real"), ("Stripe-shaped agent payment events", "synthetic")]
 SCORING_TEXT = ("Each dimension in [0,1], Bayesian-smoothed toward marketplace mean (m=10); "
                 "mdt_score = equal-weight mean.")
 
@@ -76,6 +78,7 @@ def document(merchants: DataFrame, pay_risk: DataFrame, channel: DataFrame, benc
         lambda s: s["b"]).alias("b"))
     meta = F.struct(
         F.lit(generated_at).alias("generated_at"),
+        F.array(*[F.struct(F.lit(n).alias("name"), F.lit(k).alias("kind")) for n, k in SOURCES]).alias("sources"),
         F.create_map(*[x for k, v in DIMENSION_TEXT.items() for x in (F.lit(k), F.lit(v))]).alias("dimensions"),
         F.lit(SCORING_TEXT).alias("scoring"), F.lit(MIN_ORDERS).alias("eligible_min_orders"),
         tiers.scalar().alias("tier_counts"))
