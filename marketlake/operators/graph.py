@@ -64,9 +64,10 @@ def components(e: DataFrame, max_iter: int = 100) -> DataFrame:
                    .select("node", F.least("_c1", F.coalesce("_c2", "_c1")).alias("_new"), "component")
                    .select("node", F.col("_new").alias("component"),
                            (F.col("_new") < F.col("component")).alias("_changed")))
-        new, m = materialize(new, "cc_labels", changed=F.count_if("_changed"))
+        new = materialize(new, "cc_labels")
+        changed = new.where("_changed").limit(1).count()   # a scan of the small written table
         labels = new.drop("_changed")
-        if m["changed"] == 0:
+        if changed == 0:
             return labels
     raise RuntimeError(f"components did not converge in {max_iter} rounds")
 
@@ -101,9 +102,8 @@ def distance(e: DataFrame, seeds: DataFrame, max_hops: int = 4) -> DataFrame:
     for h in range(1, max_hops + 1):
         hubs = frontier.join(k, "src").select("dst").distinct()
         reached = hubs.join(k, "dst").select("src").distinct()
-        new, m = materialize(reached.join(dist, "src", "left_anti").withColumn("hops", F.lit(h)), "bfs_frontier",
-                             n=F.count(F.lit(1)))
-        if m["n"] == 0:
+        new = materialize(reached.join(dist, "src", "left_anti").withColumn("hops", F.lit(h)), "bfs_frontier")
+        if new.limit(1).count() == 0:
             break
         dist = materialize(dist.unionByName(new), "bfs_dist")
         frontier = new

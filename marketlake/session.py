@@ -57,28 +57,19 @@ def shared_scratch(spark: SparkSession, name: str) -> str:
     return f"{base}/marketlake/{name}"
 
 
-def materialize(df, name: str, **metrics):
+def materialize(df, name: str):
     """Write ``df`` once as a Parquet table under the shared checkpoint folder and read it back.
 
     This cuts lineage like ``checkpoint()`` but computes the input only once (a reliable RDD
     checkpoint of an unpersisted plan runs the plan twice: once for the action, once to save).
     The folder is on the cluster's shared storage, so a lost executor never loses the table.
-
-    With ``metrics`` (``name=aggregate column``) the aggregates are observed during the write and
-    ``(table, values)`` is returned - e.g. a loop's convergence count without a second job."""
+    Follow-up checks (a loop's convergence count) read the small written table, not the lineage."""
     import uuid
 
-    from pyspark.sql import Observation
-
     spark = df.sparkSession
     path = shared_scratch(spark, f"tables/{name}-{uuid.uuid4().hex}")
-    obs = None
-    if metrics:
-        obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
-        df = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
     df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
-    return (out, obs.get) if obs is not None else out
+    return spark.read.parquet(path)
 
 
 def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
