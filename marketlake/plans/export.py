@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.operators.gold import DIMENSIONS, MIN_ORDERS
 
@@ -34,6 +35,20 @@ SCORING_TEXT = ("Each dimension in [0,1], Bayesian-smoothed toward marketplace m
                 "mdt_score = equal-weight mean.")
 
 
+DOC_DIGITS = 4  # floats in the published document are rounded to 4 places
+
+
+def _rounded(df: DataFrame, digits: int = DOC_DIGITS) -> DataFrame:
+    """Round every double column, and doubles inside struct columns, for the published document."""
+    def rnd(c, dtype):
+        if isinstance(dtype, (T.DoubleType, T.FloatType)):
+            return F.round(c, digits)
+        if isinstance(dtype, T.StructType):
+            return F.when(c.isNotNull(), F.struct(*[rnd(c[f.name], f.dataType).alias(f.name) for f in dtype.fields]))
+        return c
+    return df.select(*[rnd(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
+
+
 def leaderboard(merchants: DataFrame, pay_risk: DataFrame, k: int = TOP_MERCHANTS) -> DataFrame:
     """Eligible merchants, best ``k`` by score (ties by merchant id), with nested dimensions and an
     optional payment-risk struct (NULL when the account has no payments)."""
@@ -65,7 +80,8 @@ def document(merchants: DataFrame, pay_risk: DataFrame, channel: DataFrame, benc
     """The whole export as a one-row DataFrame with a single JSON string column ``value``.
 
     The four parts are one-row aggregates combined as scalar subqueries (no join, no driver trip)."""
-    board = leaderboard(merchants, pay_risk)
+    board = _rounded(leaderboard(merchants, pay_risk))
+    channel, bench = _rounded(channel), _rounded(bench)
     lb = board.agg(F.transform(
         F.array_sort(F.collect_list(F.struct(F.negative("mdt_score").alias("_k"), F.col("merchant_id").alias("_m"),
                                              F.struct(*board.columns).alias("m")))),
