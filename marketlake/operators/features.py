@@ -152,7 +152,9 @@ def share_shift(txns: DataFrame, as_of: str, key: str = "merchant_id", cat: str
     start_before = t - F.make_dt_interval(days=F.lit(2 * days))
     period = (F.when((F.col("ts") >= start_recent) & (F.col("ts") < t), F.lit("recent"))
                .when((F.col("ts") >= start_before) & (F.col("ts") < start_recent), F.lit("before")))
-    c = (txns.withColumn("_p", period).where(F.col("_p").isNotNull())
+    # the time range first, as a plain comparison on the scanned column, so it reaches the scan
+    c = (txns.where((F.col("ts") >= start_before) & (F.col("ts") < t))
+             .withColumn("_p", period)
              .groupBy(key, cat).agg(F.count_if(F.col("_p") == "recent").alias("_r"),
                                     F.count_if(F.col("_p") == "before").alias("_b")))
     tot = F.sum("_r").over(Window.partitionBy(key)), F.sum("_b").over(Window.partitionBy(key))

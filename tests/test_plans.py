@@ -24,3 +24,8 @@ def test_scan_prunes_columns(spark, sf):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # events are read with only the columns the projection needs
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
+
+
+def test_time_range_is_pushed_to_the_scan(spark, sf):
+    plan = entry.queries()["b21_share_shift"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts," in plan and "LessThan(ts," in plan
