@@ -32,3 +32,17 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns[:3] == ["merchant_id", "account_id", "merchant_name"]
+
+
+@pytest.mark.parametrize("name", ["a114_a116_order_flags", "b17_distance_prev", "b22_mandate_scope", "b65_dashboard"])
+def test_results_do_not_depend_on_the_session_time_zone(spark, duck, name):
+    """Wall-clock (timestamp_ntz) arithmetic must not go through the session zone: a DST gap in
+    America/Los_Angeles once shifted handoff durations by an hour. sf0.01 has such orders."""
+    sf01 = "/root/testdata/sf0.01"
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        spdf = entry.queries()[name](spark, sf01).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert rows_of(spdf) == rows_of(connect(sf01).execute(SQLS[name]).df())
