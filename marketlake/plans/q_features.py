@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from marketlake.operators import features as ft
 from marketlake.plans.catalog import register
 from marketlake.plans.oracle import with_views
@@ -253,5 +251,3 @@ def b27_replay(spark, sf):
     out = ft.replay(fx.f_txns(spark, sf), fx.f_mandates(spark, sf))
     return out.select("txn_id", "mandate_use_count", "single_use_violated", "token_reuse_interval")
 
-
-_ = F  # keep the functions import for readers extending this module

@@ -6,8 +6,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
-
 from marketlake.plans.catalog import register
 from marketlake.plans.oracle import with_views
 from marketlake.session import shared_scratch
@@ -48,5 +46,3 @@ def b14_stream_velocity(spark, sf):
     ingest.velocity_to(spark, f"{root}/landing", f"{root}/velocity", f"{root}/_ckpt", "event_type")
     return spark.read.parquet(f"{root}/velocity").select("window_start", "window_end", "event_type", "events")
 
-
-_ = F

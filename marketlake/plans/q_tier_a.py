@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlake.operators import events, gold, quality, silver
 from marketlake.plans import export
-from marketlake.plans.catalog import SCORE_VIEWS, SQL_SCORES, merchant_table, r2, r6, register, silver_inputs
+from marketlake.plans.catalog import SCORE_VIEWS, SQL_SCORES, merchant_table, r6, register, silver_inputs
 from marketlake.plans.oracle import with_views
 from marketlake.plans.present import present
 from marketlake.sources import fixtures as fx
