@@ -112,3 +112,11 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
 def hash_bucket(n: int, *cols: str | Column) -> Column:
     """Stable bucket in [0, n) from ``xxhash64``; independent of partitioning and row order."""
     return F.pmod(F.xxhash64(*[col(c) for c in cols]), F.lit(n))
+
+
+def hash_bucket_sha(key: str | Column, seed: int = 0, buckets: int = 10_000) -> Column:
+    """Bucket in ``[0, buckets)`` from the first 32 bits of ``sha256(f"{seed}:{key}")``: a pure
+    function of seed and key (stable under any partitioning, retry or rerun) that SQL engines
+    with a sha256 function can reproduce exactly."""
+    k = col(key).cast("string")
+    return F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), k), 256), 1, 8), 16, 10).cast("bigint") % buckets

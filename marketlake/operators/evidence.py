@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.functions.exprs import hash_bucket_sha
+
 NUMBER = r"-?[0-9]+(?:\.[0-9]+)?"
 
 
@@ -66,10 +68,10 @@ def dashboard(decisions: DataFrame, ts: str = "ts") -> DataFrame:
 
 def sample(df: DataFrame, fractions: Mapping[str, float], key: str, stratum: str = "channel",
            seed: int = 0) -> DataFrame:
-    """Stratified hash sample: each stratum keeps its own fraction; a row is kept iff
-    ``hash(seed, key) < fraction`` (stable under reruns and repartitioning). Adds the inverse
-    inclusion weight so sums stay unbiased."""
+    """Stratified hash sample: each stratum keeps its own fraction; a row is kept iff its hash
+    bucket of ``(seed, key)`` falls below the fraction (stable under reruns and repartitioning,
+    resolution 1/10000). Adds the inverse inclusion weight so sums stay unbiased."""
     frac = F.create_map(*[x for k, v in fractions.items() for x in (F.lit(k), F.lit(float(v)))])[F.col(stratum)]
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    u = hash_bucket_sha(key, seed) / F.lit(10_000.0)
     return (df.withColumn("_f", F.coalesce(frac, F.lit(1.0))).where(u < F.col("_f"))
               .withColumn("sample_weight", F.lit(1.0) / F.col("_f")).drop("_f"))

@@ -478,14 +478,20 @@ def b65_dashboard(spark, sf):
     return present(evidence.dashboard(decisions(spark, sf)))
 
 
-@register("b66_stratified_sample")
+@register("b66_stratified_sample", with_views(["f_txns"], """
+select channel, count(*) as sampled, round(sum(1.0 / f), 6) as estimated_txns, round(sum(amount / f), 6) as estimated_amount
+from (select *, case channel when 'human_initiated' then 0.05 when 'agent_delegated' then 0.5 else 1.0 end as f
+      from f_txns)
+where (('0x' || substr(sha256('0:' || txn_id), 1, 8))::bigint % 10000) / 10000.0 < f
+group by channel"""))
 def b66_stratified_sample(spark, sf):
-    """Stratified hash sample of transactions (agents and mandates kept at higher rates), with the
-    weighted per-channel totals it estimates. Rows-only (xxhash64 has no DuckDB twin)."""
+    """Stratified hash sample of transactions (agents and mandates kept at higher rates than
+    human micropayments), with the weighted per-channel totals it estimates."""
     t = fx.f_txns(spark, sf)
     s = evidence.sample(t, {"human_initiated": 0.05, "agent_delegated": 0.5, "agent_to_agent": 1.0}, "txn_id")
-    return s.groupBy("channel").agg(F.count("*").alias("sampled"), F.sum("sample_weight").alias("estimated_txns"),
-                                    F.sum(F.col("amount") * F.col("sample_weight")).alias("estimated_amount"))
+    return present(s.groupBy("channel").agg(
+        F.count("*").alias("sampled"), F.sum("sample_weight").alias("estimated_txns"),
+        F.sum(F.col("amount") * F.col("sample_weight")).alias("estimated_amount")))
 
 
 # ------------------------------------------------------------------ Silver monitors
