@@ -29,3 +29,11 @@ def test_scan_prunes_columns(spark, sf):
 def test_time_range_is_pushed_to_the_scan(spark, sf):
     plan = entry.queries()["b21_share_shift"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts," in plan and "LessThan(ts," in plan
+
+
+def test_scale_conf_sizes_partitions_from_input():
+    from marketlake.session import scale_conf
+    conf = scale_conf(100 * 1024**4, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 << 20)
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(scale_conf(10 << 20, cores=8)["spark.sql.shuffle.partitions"]) == 16
