@@ -36,11 +36,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster the setting names shared storage and is used as-is. Only when it is unset
-    (local tests) do we pick a scratch folder of our own.
+    On a cluster the setting names shared storage and is used as-is; without it this raises, since a
+    machine-local folder would split a table over the executors' disks. Only a single-JVM session
+    (``local[...]``: tests, bench) gets a scratch folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="marketlake-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
