@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import sharding
+from marketlake.llm import language, packing, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +19,16 @@ def op6_jump_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_jump_hash_sharding,)}
+    return {f.__name__: f for f in (op6_jump_hash_sharding, op9_best_fit_packing, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
