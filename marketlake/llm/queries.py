@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import language, packing, sharding
+from marketlake.llm import language, near_dedup, packing, sharding, units
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,10 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_jump_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op7_line_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return units.repeated(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -28,7 +36,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_jump_hash_sharding, op9_best_fit_packing, op10_language_id)}
+    return {f.__name__: f for f in (op3_minhash_forest, op6_jump_hash_sharding, op7_line_hash_dedup, op9_best_fit_packing, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
