@@ -85,12 +85,11 @@ class Block:
         start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         return Words(start, end, range_hash(_letters[low], start, end), np.searchsorted(start, self.at))
 
-    def chars(self) -> tuple[np.ndarray, np.ndarray]:
-        """The code points, and where each text begins among them (and the end)."""
-        codes = np.frombuffer(self.data.tobytes().decode("utf-8").encode("utf-32-le"), dtype=np.uint32)
-        leads = np.zeros(len(self.data) + 1, dtype=np.int64)
-        np.cumsum((self.data & 0xC0) != 0x80, out=leads[1:])
-        return codes, leads[self.at]
+    def char_index(self) -> np.ndarray:
+        """How many code points begin before each byte (and in all)."""
+        out = np.zeros(len(self.data) + 1, dtype=np.int64)
+        np.cumsum((self.data & 0xC0) != 0x80, out=out[1:])
+        return out
 
 
 @dataclass
@@ -109,18 +108,20 @@ class Words:
 def blocks(batches: Iterable[pa.RecordBatch], text: str = "text", size: int = BLOCK_BYTES) -> Iterator[Block]:
     """Cut Arrow batches into blocks; a null text counts as an empty one."""
     for batch in batches:
+        if not batch.num_rows:
+            continue
         column = batch.column(batch.schema.get_field_index(text))
         if column.null_count:
             column = pc.fill_null(column, "")
-        column = column.cast(pa.large_string())
-        offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+        width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+        offsets = np.frombuffer(column.buffers()[1], dtype=width)[column.offset : column.offset + len(column) + 1]
         raw = column.buffers()[2]
         data = np.frombuffer(raw, dtype=np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
         row = 0
         while row < len(column):
-            stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1)
+            stop = max(row + 1, int(np.searchsorted(offsets, int(offsets[row]) + size, side="right")) - 1)
             yield Block(batch.slice(row, stop - row), data[offsets[row] : offsets[stop]],
-                        offsets[row : stop + 1] - offsets[row])
+                        (offsets[row : stop + 1] - offsets[row]).astype(np.int64))
             row = stop
 
 

@@ -125,9 +125,8 @@ def windows(docs: DataFrame, sizes: list[int], plain: np.ndarray, by_size: np.nd
                     begin = np.flatnonzero(seen[wide:] - seen[:-wide] >= need)
                     if not len(begin):
                         continue
-                    text = block.data[block.at[k] : block.at[k + 1]]
-                    chars = np.zeros(len(text) + 1, dtype=np.int64)
-                    np.cumsum((text & 0xC0) != 0x80, out=chars[1:])
+                    chars = block.char_index()
+                    chars = chars[block.at[k] :] - chars[block.at[k]]
                     inside = np.sort(np.lib.stride_tricks.sliding_window_view(own, wide)[begin], axis=1)
                     yield pa.RecordBatch.from_arrays(
                         [block.column("doc_id").take(pa.array(np.full(len(begin), k))),

@@ -79,12 +79,14 @@ def agreement(a: np.ndarray, b: np.ndarray, functions: int) -> np.ndarray:
 
 
 def neighbours(ordered: DataFrame, functions: int, ratio: float, ahead: int, taken: int, edges: bool) -> DataFrame:
-    """Pairs of classes within ``ahead`` rows of each other in the sorted partitions of ``ordered`` (tree, key, rep,
-    n, bits). With ``edges``, also each partition's first and last rows, for pairs across partitions."""
+    """Pairs (a, b) of classes within ``ahead`` rows of each other in the sorted partitions of ``ordered`` (head, rest,
+    rep, n, bits) that have the same head and about the same sketch (bits). With ``edges``, also each partition's
+    first and last rows, for pairs across partitions."""
     # J >= ratio means that 2-bit values agree with probability 1/4 + 3/4 J or more: six deviations below that
     expect = 0.25 + 0.75 * ratio
     least = functions * (expect - 6 * (expect * (1 - expect) / functions) ** 0.5)
-    names = ["tree", "key", "rep", "n", "bits"]
+    names = ["head", "rest", "rep", "n", "bits"]
+    fields = {f.name: f.dataType.simpleString() for f in ordered.schema.fields}
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, took, first = None, np.zeros(0, dtype=np.int64), 0
@@ -97,46 +99,65 @@ def neighbours(ordered: DataFrame, functions: int, ratio: float, ahead: int, tak
                 first += part.num_rows
             old = 0 if held is None else held.num_rows
             both = part if held is None else pa.concat_tables([held, part])
-            got, took = match(both.combine_chunks().to_batches()[0], old, np.append(took, np.zeros(part.num_rows, np.int64)))
-            yield got
+            took = np.append(took, np.zeros(part.num_rows, np.int64))
+            yield match(both.combine_chunks().to_batches()[0], old, took)
             held, took = both.slice(max(0, both.num_rows - ahead)), took[max(0, both.num_rows - ahead):]
         if edges and held is not None:
             yield edge(held)
 
-    def match(batch: pa.RecordBatch, old: int, took: np.ndarray):
-        tree, rep, n = (batch.column(c).to_numpy() for c in ("tree", "rep", "n"))
-        key, bits = unpacked(batch.column("key"), ">u4"), unpacked(batch.column("bits"), np.uint64)
-        head = key[:, 0]
+    def match(batch: pa.RecordBatch, old: int, took: np.ndarray) -> pa.RecordBatch:
+        """Pairs whose second row is not one of the ``old`` first; ``took``: pairs of each row so far."""
+        head, n = batch.column("head").to_numpy(), batch.column("n").to_numpy()
+        bits = batch.column("bits")
+        if pa.types.is_int64(bits.type):
+            bits = bits.to_numpy().view(np.uint64).reshape(-1, 1)
+        else:
+            bits = unpacked(bits, np.uint64)
         left, right = [], []
-        for step in range(1, min(ahead, len(rep) - 1) + 1):
-            a = np.arange(max(0, old - step), len(rep) - step)
+        for step in range(1, min(ahead, len(n) - 1) + 1):
+            a = np.arange(max(0, old - step), len(n) - step)
+            a = a[(head[a] == head[a + step]) & (took[a] < taken)]
+            if not len(a):
+                continue  # a row further on may still have the same head as one that has pairs enough here
             b = a + step
-            near = (tree[a] == tree[b]) & (head[a] == head[b]) & (took[a] < taken)
-            near &= np.minimum(n[a], n[b]) >= ratio * np.maximum(n[a], n[b]) - 1e-6
-            a, b = a[near], b[near]
-            like = agreement(bits[a], bits[b], functions) >= least
-            a, b = a[like], b[like]
+            a, b = (x[np.minimum(n[a], n[b]) >= ratio * np.maximum(n[a], n[b]) - 1e-6] for x in (a, b))
+            a, b = (x[agreement(bits[a], bits[b], functions) >= least] for x in (a, b))
             took[a] += 1
-            left.append(rep[a])
-            right.append(rep[b])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-        low, high = np.minimum(a, b), np.maximum(a, b)
-        _, once = np.unique(np.stack([low, high], axis=1), axis=0, return_index=True)
-        empty = [pa.nulls(len(once), t) for t in types]
-        return pa.RecordBatch.from_arrays([pa.array(low[once]), pa.array(high[once]), *empty], ["a", "b", *names]), took
+            left.append(a)
+            right.append(b)
+        a, b = (pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (left, right))
+        rep = batch.column("rep")
+        none = [pa.nulls(len(a), batch.column(c).type) for c in names]
+        return pa.RecordBatch.from_arrays([rep.take(a), rep.take(b), *none], ["a", "b", *names])
 
     def edge(part: pa.Table) -> pa.RecordBatch:
         own = part.select(names).combine_chunks().to_batches()[0]
-        none = pa.nulls(own.num_rows, pa.int64())
+        none = pa.nulls(own.num_rows, own.column("rep").type)
         return pa.RecordBatch.from_arrays([none, none, *own.columns], ["a", "b", *names])
 
-    types = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
-    return ordered.select(*names).mapInArrow(rows, "a long, b long, tree int, key binary, rep long, n long, bits binary")
+    return ordered.select(*names).mapInArrow(
+        rows, f"a {fields['rep']}, b {fields['rep']}, " + ", ".join(f"{c} {fields[c]}" for c in names))
 
 
-def candidates(classes: DataFrame, ratio: float, trees: int = TREES, depth: int = DEPTH, ahead: int = AHEAD,
-               taken: int = TAKEN) -> DataFrame:
-    """Pairs a < b of classes (rep, n, sig) that lie close together in some tree of the forest."""
+def adjacent(rows: DataFrame, functions: int, ratio: float, ahead: int = AHEAD, taken: int = TAKEN) -> DataFrame:
+    """Sort ``rows`` (head, rest, rep, n, bits) over many tasks and return the distinct pairs of :func:`neighbours`.
+
+    Ranges are cut on head, rest and rep, so rows with one head spread over as many tasks as they need."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["head", "rest", "rep"]
+    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    found = written(neighbours(ordered, functions, ratio, ahead, taken, True), "near")
+    # where partitions meet: 2 * ahead rows of each
+    seams = found.where("a is null").coalesce(1).sortWithinPartitions(*order)
+    across = neighbours(seams, functions, ratio, ahead, taken, False)
+    both = found.where("a is not null").select("a", "b").unionByName(across.select("a", "b")).where("a != b")
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def candidates(classes: DataFrame, ratio: float, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
+    """Pairs a < b of classes (rep, n, sig) that lie close together in some tree of the forest.
+
+    The head of a row is its tree and first minimum: neighbours share that at least."""
     def planted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -144,20 +165,14 @@ def candidates(classes: DataFrame, ratio: float, trees: int = TREES, depth: int
             sig = unpacked(batch.column("sig"), np.uint32)
             bits = binary(packed_bits(sig))
             for t in range(trees):
-                key = binary(sig[:, t * depth : (t + 1) * depth].astype(">u4"))
+                key = sig[:, t * depth : (t + 1) * depth]
+                head = (t << 32) + key[:, 0].astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(sig), t, np.int32)), key, batch.column("rep"), batch.column("n"), bits],
-                    ["tree", "key", "rep", "n", "bits"])
-
-    spark = classes.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    forest = classes.select("rep", "n", "sig").mapInArrow(planted, "tree int, key binary, rep long, n long, bits binary")
-    ordered = forest.repartitionByRange(parts, "tree", "key", "rep").sortWithinPartitions("tree", "key", "rep")
-    found = written(neighbours(ordered, trees * depth, ratio, ahead, taken, True), "near")
-    # where partitions meet: 2 * ahead rows of each
-    seams = found.where("a is null").coalesce(1).sortWithinPartitions("tree", "key", "rep")
-    across = neighbours(seams, trees * depth, ratio, ahead, taken, False)
-    return found.where("a is not null").select("a", "b").unionByName(across.select("a", "b")).distinct()
+                    [pa.array(head), binary(key[:, 1:].astype(">u4")), batch.column("rep"), batch.column("n"), bits],
+                    ["head", "rest", "rep", "n", "bits"])
+
+    forest = classes.select("rep", "n", "sig").mapInArrow(planted, "head long, rest binary, rep long, n long, bits binary")
+    return adjacent(forest, trees * depth, ratio)
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -166,6 +181,13 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     full = written(sets(docs.join(need, "doc_id", "left_semi"), keep=True).where("n_shingles > 0")
                    .select("doc_id", "set"), "sets")
 
+    paired = (pairs.join(full.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a")
+              .join(full.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b"))
+    return overlapping(paired, percent)
+
+
+def overlapping(paired: DataFrame, percent: int) -> DataFrame:
+    """Rows (a, b, x, y) whose sets x and y (sorted hashes) have 100 * intersection >= percent * union, as (u, v)."""
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, dtype=bool)
@@ -174,11 +196,10 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
                 p, q = (p, q) if len(p) <= len(q) else (q, p)
                 common = int(np.count_nonzero(q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p))
                 keep[i] = 100 * common >= percent * (len(p) + len(q) - common)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], ["u", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in "ab"], ["u", "v"])
 
-    paired = (pairs.join(full.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a")
-              .join(full.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b"))
-    return paired.select("a", "b", "x", "y").mapInArrow(verify, "u long, v long")
+    kind = paired.schema["a"].dataType.simpleString()
+    return paired.select("a", "b", "x", "y").mapInArrow(verify, f"u {kind}, v {kind}")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text",

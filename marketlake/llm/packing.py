@@ -26,6 +26,7 @@ from marketlake.llm.ranks import numbered
 from marketlake.llm.tables import slim, written
 
 END = 2
+ROWS = 256  # texts that a worker holds as Python strings at a time
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -110,7 +111,7 @@ def cut(docs: DataFrame, ranks_file: str, pattern: str, capacity: int = 1024, en
     ``keep_ids`` adds ``ids`` (binary, little-endian unsigned 32-bit)."""
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(ranks_file, pattern).encode_ordinary
-        for batch in batches:
+        for batch in (batch.slice(k, ROWS) for batch in batches for k in range(0, batch.num_rows, ROWS)):
             out = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.array(encode(text or "") + [end], dtype="<u4")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import decontaminate, language, near_dedup, packing, sharding, units
+from marketlake.llm import decontaminate, language, line_dedup, near_dedup, packing, sharding, units
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def op1_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeated(table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,7 +44,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash_decontamination, op3_minhash_forest, op6_jump_hash_sharding, op7_line_hash_dedup, op9_best_fit_packing, op10_language_id)}
+    return {f.__name__: f for f in (op1_simhash_decontamination, op2_fuzzy_line_dedup, op3_minhash_forest, op6_jump_hash_sharding, op7_line_hash_dedup, op9_best_fit_packing, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -18,16 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.blocks import Block, blocks, range_hash
+from marketlake.llm.blocks import Block, Words, blocks, range_hash
 from marketlake.llm.tables import slim, written
 
 LEAST_WORDS = 5
 _OTHER = 0xD1342543DE82EF95
 
 
-def lines(block: Block) -> tuple[np.ndarray, ...]:
-    """Lines that have words: text, first byte, end byte (with the line's newline), words, and two digests."""
-    words = block.words()
+def line_runs(block: Block, words: Words) -> tuple[np.ndarray, ...]:
+    """Lines that have words: text, first word, end word, first byte, end byte (with the line's newline)."""
     text = words.text_of()
     feeds = np.flatnonzero(block.data == 10)
     line = np.searchsorted(feeds, words.start)
@@ -36,27 +35,29 @@ def lines(block: Block) -> tuple[np.ndarray, ...]:
     head = np.flatnonzero(turn)
     tail = np.append(head[1:], len(text)) if len(head) else head
     text, line = text[head], line[head]
-    before = np.append(-1, feeds)[line] + 1
-    after = np.append(feeds + 1, len(block.data))[line]
-    start, end = np.maximum(before, block.at[text]), np.minimum(after, block.at[text + 1])
-    return (text, start, end, tail - head, range_hash(words.hash, head, tail).view(np.int64),
-            range_hash(words.hash, head, tail, _OTHER).view(np.int64))
+    start, end = np.append(-1, feeds)[line] + 1, np.append(feeds + 1, len(block.data))[line]
+    return text, head, tail, np.maximum(start, block.at[text]), np.minimum(end, block.at[text + 1])
+
+
+def digests(words: Words, head: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for each run of words."""
+    return range_hash(words.hash, head, tail), range_hash(words.hash, head, tail, _OTHER)
 
 
 def hashed(docs: DataFrame, least: int) -> DataFrame:
     """``docs``: doc_id, text, text_hash. Every line of ``least`` words or more, with offsets in code points."""
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            text, start, end, n, hi, lo = (x for x in lines(block))
-            long = n >= least
-            text, start, end, n, hi, lo = (x[long] for x in (text, start, end, n, hi, lo))
-            chars = np.zeros(len(block.data) + 1, dtype=np.int64)
-            np.cumsum((block.data & 0xC0) != 0x80, out=chars[1:])
+            words = block.words()
+            runs = line_runs(block, words)
+            text, head, tail, start, end = (x[runs[2] - runs[1] >= least] for x in runs)
+            hi, lo = (x.view(np.int64) for x in digests(words, head, tail))
+            chars = block.char_index()
             base = chars[block.at[text]]
             own = pa.array(text)
             yield pa.RecordBatch.from_arrays(
                 [block.column("doc_id").take(own), block.column("text_hash").take(own), pa.array(chars[start] - base),
-                 pa.array(chars[end] - base), pa.array(n), pa.array(hi), pa.array(lo)],
+                 pa.array(chars[end] - base), pa.array(tail - head), pa.array(hi), pa.array(lo)],
                 ["doc_id", "text_hash", "start", "end", "n_words", "hi", "lo"])
 
     return docs.mapInArrow(rows, "doc_id long, text_hash long, start long, end long, n_words long, hi long, lo long")
