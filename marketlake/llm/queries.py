@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import decontaminate, language, line_dedup, near_dedup, nearest, packing, sharding, units
+from marketlake.llm import decontaminate, language, line_dedup, near_dedup, nearest, packing, pii, sharding, units
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op4_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op5_pii_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op6_jump_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash_decontamination, op2_fuzzy_line_dedup, op3_minhash_forest, op4_learned_partitions, op6_jump_hash_sharding, op7_line_hash_dedup, op9_best_fit_packing, op10_language_id)}
+    return {f.__name__: f for f in (op1_simhash_decontamination, op2_fuzzy_line_dedup, op3_minhash_forest, op4_learned_partitions, op5_pii_deobfuscation, op6_jump_hash_sharding, op7_line_hash_dedup, op9_best_fit_packing, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
