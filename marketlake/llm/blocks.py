@@ -9,21 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 20  # a block is one text, or several of about this many bytes together
+BLOCK_BYTES = 1 << 17  # a block is one text, or several of about this many bytes together: its arrays stay in the cache
 MULTIPLIER = 0x9E3779B97F4A7C15 // 8 * 8 + 5  # odd, and 5 modulo 8: its powers are spread
 SEED = 20240229
 
 _U = np.uint64
-_lower = np.arange(256, dtype=np.uint8)
-_lower[65:91] += 32
-_space = np.zeros(256, dtype=bool)
-_space[[9, 10, 11, 12, 13, 32]] = True
-_letters = np.random.default_rng(SEED).integers(0, 2**64, 256, dtype=np.uint64)
 _mixers = np.random.default_rng(SEED + 1).integers(0, 2**63, 64, dtype=np.uint64) * _U(2) + _U(1)
 _powers = {}
 
@@ -51,6 +47,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def mix32(x: np.ndarray) -> np.ndarray:
+    """The same for 32-bit values."""
+    x = (x ^ (x >> np.uint32(16))) * np.uint32(0x7FEB352D)
+    x = (x ^ (x >> np.uint32(15))) * np.uint32(0x846CA68B)
+    return x ^ (x >> np.uint32(16))
+
+
 def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = MULTIPLIER) -> np.ndarray:
     """A hash of each values[start:end] (uint64): the same for the same run of values, wherever it lies."""
     up, down = powers(len(values), base)
@@ -59,6 +62,23 @@ def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: i
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _mixers[0])
 
 
+def byte_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each data[start:end], eight bytes at a time."""
+    padded = np.zeros(len(data) + 8, dtype=np.uint8)
+    padded[: len(data)] = data
+    eights = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    length = ends - starts
+    out = mix(length.astype(np.uint64) * _mixers[0])
+    rows, at = np.arange(len(starts)), starts
+    while len(rows):
+        left = ends[rows] - at
+        value = eights[at] & (_U(2**64 - 1) >> (_U(64) - _U(8) * np.minimum(left, 8).astype(np.uint64)))
+        out[rows] = mix((out[rows] ^ value) * _mixers[1])
+        more = left > 8
+        rows, at = rows[more], at[more] + 8
+    return out
+
+
 @dataclass
 class Block:
     """``texts``: the rows; ``data``: their UTF-8 bytes; ``at``: where each text begins, and the end."""
@@ -73,23 +93,28 @@ class Block:
     def column(self, name: str) -> pa.Array:
         return self.rows.column(self.rows.schema.get_field_index(name))
 
+    @cached_property
+    def lower(self) -> np.ndarray:
+        return self.data | (((self.data - np.uint8(65)) < 26).view(np.uint8) << 5)
+
     def words(self) -> Words:
-        low = _lower[self.data]
-        solid = ~_space[self.data]
+        solid = (self.data != 32) & ((self.data - np.uint8(9)) > 4)
         begins, ends = solid.copy(), solid.copy()
         begins[1:] &= ~solid[:-1]
         ends[:-1] &= ~solid[1:]
-        inner = self.at[(self.at > 0) & (self.at < len(low))]
+        inner = self.at[(self.at > 0) & (self.at < len(solid))]
         begins[inner] = solid[inner]
         ends[inner - 1] = solid[inner - 1]
         start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-        return Words(start, end, range_hash(_letters[low], start, end), np.searchsorted(start, self.at))
+        return Words(start, end, byte_hash(self.lower, start, end), np.searchsorted(start, self.at))
 
-    def char_index(self) -> np.ndarray:
-        """How many code points begin before each byte (and in all)."""
-        out = np.zeros(len(self.data) + 1, dtype=np.int64)
-        np.cumsum((self.data & 0xC0) != 0x80, out=out[1:])
-        return out
+    @cached_property
+    def _continued(self) -> np.ndarray:
+        return np.flatnonzero(self.data.view(np.int8) < -64)  # bytes that don't begin a code point
+
+    def chars_before(self, byte: np.ndarray) -> np.ndarray:
+        """How many code points begin before each place."""
+        return byte - np.searchsorted(self._continued, byte)
 
 
 @dataclass
@@ -147,14 +172,14 @@ def minhash(values: np.ndarray, starts: np.ndarray, functions: int, seed: int =
     rng = np.random.default_rng(seed)
     masks = rng.integers(0, 2**32, functions, dtype=np.uint32)
     factors = rng.integers(0, 2**31, functions, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    low = (values >> _U(32)).astype(np.uint32)
-    out = np.empty((len(starts), functions), dtype=np.uint32)
-    for j in range(functions):
-        turned = (low ^ masks[j]) * factors[j]
-        turned ^= turned >> np.uint32(15)
-        turned *= np.uint32(0x2C1B3C6D)
-        out[:, j] = np.minimum.reduceat(turned, starts) if len(starts) else 0
-    return out
+    low = values if values.dtype == np.uint32 else (values >> _U(32)).astype(np.uint32)
+    turned = np.empty_like(low)
+    out = np.empty((functions, len(starts)), dtype=np.uint32)
+    for j in range(functions if len(starts) else 0):
+        np.bitwise_xor(low, masks[j], out=turned)
+        np.multiply(turned, factors[j], out=turned)
+        np.minimum.reduceat(turned, starts, out=out[j])
+    return np.ascontiguousarray(out.T)
 
 
 def binary(rows: np.ndarray) -> pa.Array:

@@ -125,13 +125,12 @@ def windows(docs: DataFrame, sizes: list[int], plain: np.ndarray, by_size: np.nd
                     begin = np.flatnonzero(seen[wide:] - seen[:-wide] >= need)
                     if not len(begin):
                         continue
-                    chars = block.char_index()
-                    chars = chars[block.at[k] :] - chars[block.at[k]]
+                    base = block.chars_before(block.at[k])
                     inside = np.sort(np.lib.stride_tricks.sliding_window_view(own, wide)[begin], axis=1)
                     yield pa.RecordBatch.from_arrays(
                         [block.column("doc_id").take(pa.array(np.full(len(begin), k))),
-                         pa.array(chars[words.start[first + begin] - block.at[k]]),
-                         pa.array(chars[words.end[first + begin + size - 1] - block.at[k]]),
+                         pa.array(block.chars_before(words.start[first + begin]) - base),
+                         pa.array(block.chars_before(words.end[first + begin + size - 1]) - base),
                          pa.array(np.full(len(begin), size, np.int64)),
                          pa.array(simhash(own, begin, begin + wide).view(np.int64)), binary(inside)], names)
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.blocks import Block, Words, _lower, _space, blocks
+from marketlake.llm.blocks import Block, Words, blocks
 
 UNDETERMINED = "und"
 BITS = 15  # trigrams are counted in 2**BITS buckets
@@ -52,7 +52,8 @@ def held_out(key: Column, folds: int, fold: int) -> Column:
 
 def trigrams(block: Block) -> np.ndarray:
     """The bucket of the trigram around each byte; outside a text there is a space."""
-    low = np.where(_space[block.data], np.uint8(32), _lower[block.data]).astype(np.uint32)
+    low = block.lower.astype(np.uint32)
+    low[low - np.uint32(9) < 5] = 32
     before, after = np.full_like(low, 32), np.full_like(low, 32)
     before[1:], after[:-1] = low[:-1], low[1:]
     inner = block.at[(block.at > 0) & (block.at < len(low))]
@@ -189,27 +190,31 @@ def has_letter(block: Block) -> np.ndarray:
     return out
 
 
+def decided(block: Block, model: Model, switch: float) -> tuple[np.ndarray, np.ndarray, Words, np.ndarray]:
+    """Each text's language (an index; past the last for ``und``) and score, and the words with their labels."""
+    words, letters, labels = model.label(block, switch)
+    cover = np.zeros((len(block), len(model.langs) + 1))
+    np.add.at(cover, (words.text_of(), labels), letters)
+    total = cover.sum(axis=1)
+    known = has_letter(block) & bool(model.langs)
+    # a text's letters may all be of scripts that this module doesn't list: then nothing speaks for any language
+    share = np.where(total > 0, cover.max(axis=1) / np.maximum(total, 1), 1.0 / cover.shape[1])
+    return np.where(known, cover.argmax(axis=1), len(model.langs)), np.where(known, share, 0.0), words, labels
+
+
 def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
     """``docs``: doc_id, text, held_out. Adds lang_pred, score, and spans: the labelled runs of words, as
     (lang, first byte, end byte) of the text."""
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs = [*model.langs, UNDETERMINED]
         for block in blocks(batches):
-            words, letters, labels = model.label(block, switch)
+            pred, score, words, labels = decided(block, model, switch)
             owner = words.text_of()
-            cover = np.zeros((len(block), len(langs)))
-            np.add.at(cover, (owner, labels), letters)
-            total = cover.sum(axis=1)
-            pred = cover.argmax(axis=1)
-            known = has_letter(block) & bool(model.langs)
-            score = np.where(known, np.where(total > 0, cover.max(axis=1) / np.maximum(total, 1), 1.0 / len(langs)), 0.0)
-            pred = np.where(known, pred, len(langs) - 1)
             turn = np.ones(len(owner), dtype=bool)
             turn[1:] = (owner[1:] != owner[:-1]) | (labels[1:] != labels[:-1])
-            turn &= known[owner]
-            head = np.flatnonzero(turn)
-            tail = np.append(head[1:], len(owner)) - 1 if len(head) else head
-            tail = np.minimum(tail, words.at[owner[head] + 1] - 1) if len(head) else tail
+            head = np.flatnonzero(turn & (pred < len(model.langs))[owner])
+            begin = np.append(np.flatnonzero(turn), len(owner))
+            tail = begin[np.searchsorted(begin, head, side="right")] - 1 if len(head) else head
             base = block.at[owner[head]]
             spans = pa.StructArray.from_arrays(
                 [pa.array([langs[i] for i in labels[head]], pa.string()), pa.array(words.start[head] - base),
@@ -224,11 +229,25 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
                                  "spans array<struct<lang: string, start: long, end: long>>")
 
 
+def accepted(docs: DataFrame, folds: int = 3, fold: int = 1, switch: float = SWITCH, key: str = "doc_id",
+             text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text has a language (isn't ``und``)."""
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, text):
+            pred, _, _, _ = decided(block, model, switch)
+            yield block.rows.filter(pa.array(pred < len(model.langs)))
+
+    key_ = F.col(f"`{key}`")
+    model = learn(docs.where(key_.isNotNull() & ~held_out(key_, folds, fold))
+                  .select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text")))
+    return docs.mapInArrow(rows, docs.schema)
+
+
 def identify(docs: DataFrame, folds: int = 3, fold: int = 1, switch: float = SWITCH, key: str = "doc_id",
              text: str = "text", lang: str = "lang") -> DataFrame:
     """Learn from the documents outside the held-out fold, then predict every document from its text alone."""
     key_, text_ = F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")
     train = (docs.where(key_.isNotNull() & ~held_out(key_, folds, fold))
              .select(F.col(f"`{lang}`").cast("string").alias("lang"), text_.alias("text")))
-    rows = docs.select(key_.alias("doc_id"), text_.alias("text"), held_out(key_, folds, fold).alias("held_out"))
+    rows = docs.select(key_.cast("long").alias("doc_id"), text_.alias("text"), held_out(key_, folds, fold).alias("held_out"))
     return predict(rows, learn(train), switch)

@@ -135,7 +135,7 @@ def valid(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     """vec_id, v (array of double): vectors that can be compared, of the commonest length."""
     v = F.transform(F.col(f"`{vector}`"), lambda x: x.cast("double"))
     good = F.forall("v", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))) & F.exists("v", lambda x: x != 0)
-    rows = vectors.select(F.col(f"`{key}`").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & good)
+    rows = vectors.select(F.col(f"`{key}`").cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & good)
     length = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     return rows.where(F.size("v") == (length["n"] if length else 0))
 

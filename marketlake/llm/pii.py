@@ -4,7 +4,7 @@ Base identifiers (email, ip, card, phone) are found in the text as it is. A tran
 keeps for every written character the stretch of source characters that it came from: homoglyphs and full-width forms
 become ASCII, invisible characters go, "[at]", "(dot)" and "name at host dot org" become "@" and ".", runs of spelled
 digits (in the four languages of ``DIGITS``) become digits. Identifiers found there that need a rewritten character
-are mapped back to source offsets and added, unless a base span of their kind overlaps; base spans always stay.
+are mapped back to source offsets and added, unless a base span of their kind covers them; base spans always stay.
 
 Definite results: a null text is empty, without spans; repeated rows give repeated rows; a null key is carried along;
 offsets are code points, end exclusive. Texts are read whole, each in time linear in its length.
@@ -183,7 +183,7 @@ def spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, i
         for kind, a, b in identifiers(tape.text) if any(tape.changed) or len(tape.text) < len(text) else ():
             gaps = tape.end[b - 1] - tape.start[a] != b - a  # something inside was taken out
             x, y = tape.start[a], tape.end[b - 1]
-            if (gaps or any(tape.changed[a:b])) and not any(k == kind and s < y and x < e for k, s, e in base):
+            if (gaps or any(tape.changed[a:b])) and not any(k == kind and s <= x and y <= e for k, s, e in base):
                 added.append((kind, x, y))
     return base, added
 
@@ -215,7 +215,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 def masked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text: every span, base or added, replaced by its kind in angle brackets."""
-    @F.udf("string")
+    @F.udf("string", useArrow=True)
     def mask(value: str) -> str:
         if value is None:
             return None

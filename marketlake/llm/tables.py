@@ -44,4 +44,4 @@ def dropped(df: DataFrame) -> None:
 
 def slim(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Only the key and the text, under fixed names, whatever else the table carries."""
-    return docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    return docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))

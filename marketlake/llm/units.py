@@ -52,12 +52,12 @@ def hashed(docs: DataFrame, least: int) -> DataFrame:
             runs = line_runs(block, words)
             text, head, tail, start, end = (x[runs[2] - runs[1] >= least] for x in runs)
             hi, lo = (x.view(np.int64) for x in digests(words, head, tail))
-            chars = block.char_index()
-            base = chars[block.at[text]]
+            base = block.chars_before(block.at[text])
+            start, end = block.chars_before(start) - base, block.chars_before(end) - base
             own = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id").take(own), block.column("text_hash").take(own), pa.array(chars[start] - base),
-                 pa.array(chars[end] - base), pa.array(tail - head), pa.array(hi), pa.array(lo)],
+                [block.column("doc_id").take(own), block.column("text_hash").take(own), pa.array(start), pa.array(end),
+                 pa.array(tail - head), pa.array(hi), pa.array(lo)],
                 ["doc_id", "text_hash", "start", "end", "n_words", "hi", "lo"])
 
     return docs.mapInArrow(rows, "doc_id long, text_hash long, start long, end long, n_words long, hi long, lo long")
