@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import decontaminate, language, line_dedup, near_dedup, nearest, packing, pii, sharding, units
+from marketlake.llm import brown, decontaminate, language, line_dedup, near_dedup, nearest, packing, pii, sharding, units
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,10 @@ def op7_line_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return units.repeated(table(spark, sf_dir, "documents"))
 
 
+def op8_brown_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash_decontamination, op2_fuzzy_line_dedup, op3_minhash_forest, op4_learned_partitions, op5_pii_deobfuscation, op6_jump_hash_sharding, op7_line_hash_dedup, op9_best_fit_packing, op10_language_id)}
+    return {f.__name__: f for f in (op1_simhash_decontamination, op2_fuzzy_line_dedup, op3_minhash_forest, op4_learned_partitions, op5_pii_deobfuscation, op6_jump_hash_sharding, op7_line_hash_dedup, op8_brown_class_scores, op9_best_fit_packing, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
