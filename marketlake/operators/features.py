@@ -2,7 +2,7 @@
 
 Inputs are transaction rows ``(txn_id, customer_id, merchant_id, agent_id, mandate_id, session_id,
 device_id, country, lat, lon, ts, amount, channel, declined, refunded, ...)`` plus dimension
-tables (mandates, sessions, agents, disputes). Hot keys are handled by the time-bucketed helpers
+tables (mandates, sessions, agents, disputes). Hot keys are handled by the range-cut helpers
 in ``marketlake.operators.windows``; first-seen style signals are partial aggregates joined back.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.exprs import haversine_km, ratio, seconds_between
-from marketlake.operators.windows import prior_in_range, prior_last, prior_running
+from marketlake.operators.windows import distinct_sliding, prior_last, prior_running, sliding
 from marketlake.session import materialize
 
 AGENT_CHANNELS = ["agent_delegated", "agent_to_agent"]
@@ -24,19 +24,13 @@ def velocity(df: DataFrame, key: str, ts: str = "ts", windows: Sequence[int] = (
              prefix: str | None = None) -> DataFrame:
     """Count and amount of the key's transactions in the previous ``w`` seconds, per window."""
     prefix = prefix or key
-    out = df
-    for w in windows:
-        out = prior_in_range(out, [key], ts, w, {
-            f"{prefix}_txn_count_{w}s": lambda win: F.count(F.lit(1)).over(win),
-            f"{prefix}_amount_{w}s": lambda win: F.coalesce(F.sum("amount").over(win), F.lit(0.0))})
-    return out
+    return sliding(df, [key], ts, windows, "amount", {w: (f"{prefix}_txn_count_{w}s", f"{prefix}_amount_{w}s") for w in windows})
 
 
 def distinct_in_window(df: DataFrame, key: str, item: str, ts: str = "ts", width_s: int = 300,
                        name: str | None = None) -> DataFrame:
     """Number of distinct ``item`` values the key touched in the previous ``width_s`` seconds."""
-    name = name or f"{key}_unique_{item}_{width_s}s"
-    return prior_in_range(df, [key], ts, width_s, {name: lambda win: F.size(F.collect_set(item).over(win))})
+    return distinct_sliding(df, [key], item, ts, width_s, name or f"{key}_unique_{item}_{width_s}s")
 
 
 def velocity_ratio(vel: DataFrame, count_col: str, channel: str = "channel", ts: str = "ts") -> DataFrame:
@@ -213,7 +207,7 @@ def asof(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: st
          cols: Sequence[str], prefix: str = "asof") -> DataFrame:
     """As-of join: for each left row, the latest right row of the same key with time strictly
     before the left row's time (``{prefix}_{col}``, ``{prefix}_ts``). Implemented as a union plus a
-    bucketed running max - no non-equi join, no pair explosion."""
+    running maximum over ranges - no non-equi join, no pair explosion."""
     cols = list(cols)
     l_cols = left.columns
     lt = left.select(*[F.col(c) for c in l_cols], F.col(left_ts).alias("_at"), F.lit(True).alias("_left"),
@@ -264,10 +258,10 @@ def delegation(mandates: DataFrame, max_rounds: int = 64) -> DataFrame:
 def replay(txns: DataFrame, mandates: DataFrame) -> DataFrame:
     """Mandate replay: uses of the mandate before this one, single-use violated, seconds since the
     mandate's previous use."""
-    t = prior_last(prior_running(txns, ["mandate_id"], "ts", prefix="_uses"), ["mandate_id"], "ts", [], prefix="_prev")
+    t = prior_last(txns, ["mandate_id"], "ts", [], prefix="_prev", counted="_uses_n")
     m = mandates.select("mandate_id", "single_use")
     return (t.join(m, "mandate_id", "left")
              .withColumn("mandate_use_count", F.col("_uses_n") + 1)
-             .withColumn("single_use_violated", F.coalesce(F.col("single_use"), F.lit(False)) & (F.col("_uses_n") >= 1))
+             .withColumn("single_use_violated", F.coalesce(F.col("single_use"), F.lit(False)) & F.coalesce(F.col("_uses_n") >= 1, F.lit(False)))
              .withColumn("token_reuse_interval", seconds_between(F.col("ts"), F.col("_prev_ts")))
              .drop("_uses_n", "_prev_ts", "single_use"))

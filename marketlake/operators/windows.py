@@ -1,33 +1,31 @@
-"""Point-in-time window building blocks that survive hot keys.
+"""Point-in-time window building blocks that survive hot keys and bursts.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task; if one customer, agent or
-merchant holds a third of the table, that task sorts a third of the table. These helpers split
-each key by a time bucket instead:
-
-* ``prior_in_range``: sliding windows of width ``w`` over strictly-earlier rows. Rows are bucketed
-  by ``floor(t / W)`` with ``W >= w``; each row also goes to the next bucket as a *context* copy, so
-  every frame ``[t - w, t)`` is complete inside one ``(key, bucket)`` partition.
-* ``prior_running``: aggregates over ALL strictly-earlier rows. Within-bucket running values come
-  from a ``(key, bucket)`` window; the carry from earlier buckets comes from per-bucket partial
-  aggregates (one row per key and bucket) accumulated over buckets.
-* ``prior_last``: the latest strictly-earlier row (a hot-key-safe ``lag`` / as-of lookup), built the
-  same way with ``max(struct(time, ...))`` so ties are resolved deterministically.
+merchant holds a third of the table, that task sorts a third of the table. ``prior`` instead cuts the
+table into ranges of ``(key, time)`` of about equal size - a hot key, or a hot hour of it, simply spans
+several ranges - and numbers them. Running values come from a window over ``(key, range)``; what a key
+had in its earlier ranges (the carry) comes from one partial aggregate row per key and range.
+
+Sliding windows are running values too: a row that leaves a window of width ``w`` is an event at
+``t + w`` that takes its contribution back (``sliding``). The work is linear in the rows, however many of
+them fall into one window.
 
 "Strictly earlier" means time ``< t``: rows at the same microsecond are never visible to each
-other, which is the point-in-time rule for features.
+other, which is the point-in-time rule for features; equal ``(key, time)`` always share a range. Rows
+whose key or time is NULL have no history: their results are NULL.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.functions.exprs import exact_seconds
-
-DAY_US = 86_400_000_000
+from marketlake.session import materialize
 
 
 def _epoch_ntz() -> Column:
@@ -53,69 +51,97 @@ def from_micros(df: DataFrame, ts: str, us: Column) -> Column:
     return F.timestamp_micros(us)
 
 
-def prior_in_range(df: DataFrame, keys: Sequence[str], ts: str, width_s: int,
-                   aggs: dict[str, Callable[[WindowSpec], Column]], bucket_s: int | None = None) -> DataFrame:
-    """Add one column per ``aggs`` entry, each a window aggregate over rows of the same ``keys`` with
-    time in ``[t - width_s, t)``. ``aggs`` values take the window spec and return a column, e.g.
-    ``lambda w: F.count(F.lit(1)).over(w)`` or ``lambda w: F.size(F.collect_set("m").over(w))``.
-
-    ``bucket_s`` (default: the width) sets the partition grain: each row is also copied, as
-    context, into the next ``ceil(width / bucket)`` buckets, so every frame is complete inside one
-    ``(key, bucket)`` partition. A smaller bucket splits a burst of one hot key over more tasks at
-    the price of more context copies."""
-    keys = list(keys)
-    w_us = int(width_s) * 1_000_000
-    b_us = int(bucket_s or width_s) * 1_000_000
-    copies = -(-w_us // b_us)  # ceil
-    base = df.withColumn("_t", micros(df, ts)).withColumn("_b0", F.floor(F.col("_t") / F.lit(b_us)))
-    both = (base.select("*", F.explode(F.sequence(F.lit(0), F.lit(copies))).alias("_j"))
-                .withColumn("_b", F.col("_b0") + F.col("_j"))
-                .withColumn("_own", F.col("_j") == 0).drop("_b0", "_j"))
-    win = Window.partitionBy(*keys, "_b").orderBy("_t").rangeBetween(-w_us, -1)
-    out = both.select("*", *[fn(win).alias(name) for name, fn in aggs.items()])
-    return out.where("_own").drop("_t", "_b", "_own")
-
-
-def prior_running(df: DataFrame, keys: Sequence[str], ts: str, value: str | None = None,
-                  bucket_s: int = 86_400, prefix: str = "prior") -> DataFrame:
+def prior(df: DataFrame, keys: Sequence[str], t: str, sums: Mapping[str, Column] | None = None,
+          last: Mapping[str, Column] | None = None, ranges: int | None = None) -> DataFrame:
+    """Over the strictly earlier rows (by the long column ``t``) of the same ``keys``: for each of ``sums``
+    the sum of its column, and for each of ``last`` its value in the latest row in which it is not NULL
+    (several: the greatest; orderable types)."""
+    keys, sums, last = list(keys), dict(sums or {}), dict(last or {})
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, t]])
+    values = {f"_v_{n}": c for n, c in sums.items()} | {
+        f"_l_{n}": F.when(c.isNotNull(), F.struct(F.col(t).alias("t"), c.alias("v"))) for n, c in last.items()}
+    parts = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = df.withColumns(values) if values else df
+    # written once: the range numbers must be those of one and the same cut in everything below
+    d = materialize(d.where(whole).repartitionByRange(parts, *keys, t).withColumn("_b", F.spark_partition_id()), "ranges")
+    within = Window.partitionBy(*keys, "_b").orderBy(t).rangeBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per_range = d.groupBy(*keys, "_b").agg(F.count("*").alias("_rows"), *[F.sum(f"_v_{n}").alias(f"_v_{n}") for n in sums],
+                                           *[F.max(f"_l_{n}").alias(f"_l_{n}") for n in last])
+    carry = per_range.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_cb"),
+                             *[F.sum(f"_v_{n}").over(before).alias(f"_cv_{n}") for n in sums],
+                             *[F.max(f"_l_{n}").over(before).alias(f"_cl_{n}") for n in last])
+    d = d.select("*", *[F.sum(f"_v_{n}").over(within).alias(f"_wv_{n}") for n in sums],
+                 *[F.max(f"_l_{n}").over(within).alias(f"_wl_{n}") for n in last])
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]) & (F.col("_b") == F.col("_cb"))
+    d = d.join(carry, on)
+    add = lambda n: F.coalesce(F.col(f"_cv_{n}") + F.col(f"_wv_{n}"), f"_cv_{n}", f"_wv_{n}")
+    out = d.select(*df.columns, *[F.coalesce(add(n), F.col(f"_v_{n}") * 0, F.lit(0)).alias(n) for n in sums],
+                   *[F.coalesce(f"_wl_{n}", f"_cl_{n}")["v"].alias(n) for n in last])
+    rest = df.where(~whole).select(*df.columns, *[F.lit(None).cast(out.schema[n].dataType).alias(n) for n in [*sums, *last]])
+    return out.unionByName(rest)
+
+
+def prior_running(df: DataFrame, keys: Sequence[str], ts: str, value: str | None = None, prefix: str = "prior") -> DataFrame:
     """Add ``{prefix}_n`` (count) and, with ``value``, ``{prefix}_sum`` over all strictly-earlier
     rows of the same ``keys``."""
-    keys = list(keys)
-    b_us = bucket_s * 1_000_000
-    v = F.col(value).cast("double") if value else F.lit(0.0)
-    d = df.withColumn("_t", micros(df, ts)).withColumn("_b", F.floor(F.col("_t") / F.lit(b_us))).withColumn("_v", v)
-    within = Window.partitionBy(*keys, "_b").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_wn", F.count(F.lit(1)).over(within)).withColumn("_ws", F.sum("_v").over(within))
-    per_bucket = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bn"), F.sum("_v").alias("_bs"))
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(*keys, "_b", F.sum("_bn").over(before).alias("_cn"),
-                              F.sum("_bs").over(before).alias("_cs"))
-    out = d.join(carry, [*keys, "_b"], "left")
-    out = out.withColumn(f"{prefix}_n", F.coalesce("_cn", F.lit(0)) + F.col("_wn"))
+    sums = {f"{prefix}_n": F.lit(1).cast("long")}
     if value:
-        out = out.withColumn(f"{prefix}_sum", F.coalesce("_cs", F.lit(0.0)) + F.coalesce("_ws", F.lit(0.0)))
-    return out.drop("_t", "_b", "_v", "_wn", "_ws", "_cn", "_cs")
+        sums[f"{prefix}_sum"] = F.col(value).cast("double")
+    return prior(df.withColumn("_t", micros(df, ts)), keys, "_t", sums).drop("_t")
 
 
 def prior_last(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str], prefix: str = "prev",
-               bucket_s: int = 86_400, source: Column | None = None) -> DataFrame:
+               source: Column | None = None, counted: str | None = None) -> DataFrame:
     """For every row, the latest strictly-earlier row of the same ``keys``: ``{prefix}_{col}`` for
     each of ``cols`` plus ``{prefix}_ts``. With ``source`` (a boolean column) only rows where it is
-    true are candidates (as-of lookups from a unioned right side)."""
-    keys, cols = list(keys), list(cols)
-    b_us = bucket_s * 1_000_000
-    d = df.withColumn("_t", micros(df, ts)).withColumn("_b", F.floor(F.col("_t") / F.lit(b_us)))
+    true are candidates (as-of lookups from a unioned right side). ``counted``: also add the number of
+    strictly-earlier rows under this name, from the same pass."""
     packed = F.struct(F.col("_t").alias("t"), *[F.col(c).alias(c) for c in cols])
-    if source is not None:
-        packed = F.when(source, packed)
-    d = d.withColumn("_p", packed)
-    within = Window.partitionBy(*keys, "_b").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_wl", F.max("_p").over(within))
-    per_bucket = d.groupBy(*keys, "_b").agg(F.max("_p").alias("_bl"))
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(*keys, "_b", F.max("_bl").over(before).alias("_cl"))
-    out = d.join(carry, [*keys, "_b"], "left").withColumn("_last", F.coalesce("_wl", "_cl"))
-    sel = [F.col("_last.t").alias(f"{prefix}_t")] + [F.col(f"_last.{c}").alias(f"{prefix}_{c}") for c in cols]
-    return (out.select("*", *sel)
-               .withColumn(f"{prefix}_ts", from_micros(df, ts, F.col(f"{prefix}_t")))
-               .drop("_t", "_b", "_p", "_wl", "_cl", "_last", f"{prefix}_t"))
+    d = df.withColumn("_t", micros(df, ts))
+    sums = {counted: F.lit(1).cast("long")} if counted else {}
+    out = prior(d, keys, "_t", sums, {"_last": F.when(source, packed) if source is not None else packed})
+    return (out.select("*", *[F.col(f"_last.{c}").alias(f"{prefix}_{c}") for c in cols],
+                       from_micros(df, ts, F.col("_last.t")).alias(f"{prefix}_ts"))
+               .drop("_t", "_last"))
+
+
+def sliding(df: DataFrame, keys: Sequence[str], ts: str, widths_s: Sequence[int], value: str,
+            names: Mapping[int, tuple[str, str]]) -> DataFrame:
+    """For each width ``w``: the count and the sum of ``value`` of the rows of the same ``keys`` with time in
+    ``[t - w, t)``, under ``names[w]``. One pass for all widths; sums are exact to 6 decimals."""
+    zero, amount = F.lit(0).cast("decimal(38,6)"), F.coalesce(F.col(value), F.lit(0)).cast("decimal(38,6)")
+    entry = lambda own, at, sign: F.struct(
+        F.lit(own).alias("own"), at.alias("_t"),
+        *[x for w in widths_s for x in (F.lit(sign.get(w, 0)).cast("long").alias(f"_n{w}"),
+                                        (amount * sign[w] if sign.get(w) else zero).cast("decimal(38,6)").alias(f"_a{w}"))])
+    at = micros(df, ts)
+    events = [entry(True, at, {w: 1 for w in widths_s})] + [entry(False, at + w * 1_000_000, {w: -1}) for w in widths_s]
+    flat = df.select(F.struct(*df.columns).alias("_row"), *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+                     F.inline(F.array(*events)))
+    flat = flat.withColumn("_row", F.when(F.col("own"), F.col("_row")))
+    sums = {x: F.col(x) for w in widths_s for x in (f"_n{w}", f"_a{w}")}
+    out = prior(flat.select("_row", "own", "_t", *[f"_key{i}" for i in range(len(keys))], *[F.col(x).alias(f"_d{x}") for x in sums]),
+                [f"_key{i}" for i in range(len(keys))], "_t", {x: F.col(f"_d{x}") for x in sums})
+    return out.where("own").select("_row.*", *[c for w in widths_s for c in (
+        F.col(f"_n{w}").alias(names[w][0]), F.col(f"_a{w}").cast("double").alias(names[w][1]))])
+
+
+def distinct_sliding(df: DataFrame, keys: Sequence[str], item: str, ts: str, width_s: int, name: str) -> DataFrame:
+    """The number of distinct ``item`` values of the same ``keys`` with time in ``[t - width_s, t)``.
+
+    A value counts from its occurrence until its next one or until it leaves the window, whichever is
+    first, so at any time at most one occurrence of it counts."""
+    keyed = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
+    names = [f"_key{i}" for i in range(len(keys))]
+    seen = df.select(*keyed, F.col(item).alias("_item"), micros(df, ts).alias("_t")).where("_item is not null").distinct()
+    following = F.lead("_t").over(Window.partitionBy(*names, "_item").orderBy("_t"))
+    until = F.least(following, F.col("_t") + width_s * 1_000_000)
+    row = F.struct(*df.columns)
+    turns = (seen.withColumn("_until", until)
+             .select(F.lit(None).cast(df.select(row).schema[0].dataType).alias("_row"), *names,
+                     F.inline(F.array(F.struct(F.col("_t").alias("_at"), F.lit(1).cast("long").alias("_d")),
+                                      F.struct(F.col("_until").alias("_at"), F.lit(-1).cast("long").alias("_d"))))))
+    asked = df.select(row.alias("_row"), *keyed, micros(df, ts).alias("_at"), F.lit(0).cast("long").alias("_d"))
+    out = prior(asked.unionByName(turns), names, "_at", {"_n": F.col("_d")})
+    return out.where("_row is not null").select("_row.*", F.col("_n").alias(name))

@@ -20,20 +20,20 @@ from (select *, case when o_orderstatus in ('F','O') then 'delivered'
 """
 
 VIEWS["f_items"] = """
-select l_orderkey as order_id, l_linenumber as item_no, l_partkey as product_id, l_suppkey as seller_id,
-       o_orderdate + to_days(cast(3 + l_suppkey % 6 as int)) as ship_by,
-       l_extendedprice * (4 + l_suppkey % 7) / 8 as price_brl, l_tax * 100 as freight_brl
-from lineitem join orders on l_orderkey = o_orderkey
-where (l_suppkey % 10 = 9 and l_orderkey % 400 = 7)
-   or (l_suppkey % 10 <> 9 and l_orderkey % 10 <= l_suppkey % 10 + 1)
+select l_orderkey as order_id, l_linenumber as item_no, l_partkey as product_id, seller as seller_id,
+       o_orderdate + to_days(cast(3 + seller % 6 as int)) as ship_by,
+       l_extendedprice * (4 + seller % 7) / 8 as price_brl, l_tax * 100 as freight_brl
+from (select *, case when l_suppkey % 10 = 9 and l_orderkey % 400 <> 7 or l_suppkey % 10 < 8 and l_orderkey % 10 > l_suppkey % 10 + 1
+                     then l_suppkey - l_suppkey % 10 + 8 else l_suppkey end as seller from lineitem)
+join orders on l_orderkey = o_orderkey
 """
 
 VIEWS["f_reviews"] = """
 select o_orderkey // 2 as review_id, o_orderkey as order_id, v,
-       case when v = 1 then 3 when o_custkey % 6 = 0 then 5 else cast(5 - (o_orderkey % 10) // 2 as int) end as score,
+       case when o_orderkey % 7 = 0 then null when v = 1 then 3 when o_custkey % 6 = 0 then 5 else cast(5 - (o_orderkey % 10) // 2 as int) end as score,
        o_orderdate + to_days(30) as created_at, o_orderdate + to_days(cast(33 - v as int)) as answered_at
 from orders cross join (values (0),(1)) t(v)
-where o_orderkey % 7 <> 0 and (v = 0 or o_orderkey % 11 = 0)
+where v = 0 or o_orderkey % 11 = 0
 """
 
 VIEWS["f_products"] = """
@@ -47,10 +47,10 @@ from supplier join nation on s_nationkey = n_nationkey join region on n_regionke
 """
 
 VIEWS["f_fx"] = """
-select d as date, 'USD' as base, c as currency, round(b * (1 + (day(d) % 7) / 100.0), 6) as rate
+select d as date, 'USD' as base, c as currency,
+       case when not (c = 'BRL' and month(d) = 4) then round(b * (1 + (day(d) % 7) / 100.0), 6) end as rate
 from (select distinct cast(o_orderdate as date) d from orders union select distinct cast(ts as date) from events) x
 cross join (values ('BRL',3.5),('EUR',0.9),('GBP',0.8),('JPY',110.0)) t(c,b)
-where not (c = 'BRL' and month(d) = 4)
 """
 
 VIEWS["f_complaints"] = """
@@ -102,7 +102,7 @@ from customer
 VIEWS["f_edges"] = """
 select 'customer_device' as kind, c_custkey as src, 100000000 + c_custkey // 3 as dst from customer
 union all
-select 'customer_ip', c_custkey, 200000000 + c_custkey // 10 from customer where c_custkey % 10 in (0, 5)
+select 'customer_ip', c_custkey, case when c_custkey % 5 = 0 then 200000000 + c_custkey // 10 else 300000000 + c_custkey end from customer
 """
 
 VIEWS["f_agents"] = """
@@ -116,7 +116,7 @@ from customer
 
 VIEWS["f_txns"] = """
 select event_id as txn_id, user_id as customer_id, (event_id * 31) % 40 as merchant_id, user_id % 50 as agent_id,
-       user_id as mandate_id, user_id * 100 + day(ts) as session_id, (user_id // 3) + (event_id % 29) // 28 * 1000 as device_id,
+       case when event_id % 20 >= 12 then user_id end as mandate_id, user_id * 100 + day(ts) as session_id, (user_id // 3) + (event_id % 29) // 28 * 1000 as device_id,
        'C' || ((user_id + (event_id % 37) // 36) % 12) as country,
        cast(user_id % 60 - 30 + event_id % 3 as double) as lat, cast(user_id % 120 - 60 + event_id % 5 as double) as lon,
        ts, value as amount,

@@ -241,11 +241,12 @@ def b26_delegation(spark, sf):
 
 @register("b27_replay", with_views(TX + ["f_mandates"], """
 select t.txn_id,
-  count(*) over (partition by t.mandate_id order by epoch_us(t.ts) range between unbounded preceding and 1 preceding) + 1
-    as mandate_use_count,
+  case when t.mandate_id is not null then count(*) over (partition by t.mandate_id order by epoch_us(t.ts)
+    range between unbounded preceding and 1 preceding) + 1 end as mandate_use_count,
   coalesce(m.single_use, false) and count(*) over (partition by t.mandate_id order by epoch_us(t.ts)
     range between unbounded preceding and 1 preceding) >= 1 as single_use_violated,
-  date_sub('second', lag(t.ts) over (partition by t.mandate_id order by t.ts), t.ts) as token_reuse_interval
+  case when t.mandate_id is not null
+    then date_sub('second', lag(t.ts) over (partition by t.mandate_id order by t.ts), t.ts) end as token_reuse_interval
 from f_txns t left join f_mandates m on t.mandate_id = m.mandate_id"""))
 def b27_replay(spark, sf):
     out = ft.replay(fx.f_txns(spark, sf), fx.f_mandates(spark, sf))

@@ -37,27 +37,27 @@ def f_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def f_items(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem").where(
-        "(l_suppkey % 10 = 9 and l_orderkey % 400 = 7) "
-        "or (l_suppkey % 10 <> 9 and l_orderkey % 10 <= l_suppkey % 10 + 1)")
+    # sellers differ in volume: lines of small sellers go to the large seller (number ...8) of their ten
+    li = table(spark, sf, "lineitem").withColumn("seller", F.expr(
+        """case when l_suppkey % 10 = 9 and l_orderkey % 400 <> 7 or l_suppkey % 10 < 8 and l_orderkey % 10 > l_suppkey % 10 + 1
+                then l_suppkey - l_suppkey % 10 + 8 else l_suppkey end"""))
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     return li.join(o, li.l_orderkey == o.o_orderkey).selectExpr(
-        "l_orderkey as order_id", "l_linenumber as item_no", "l_partkey as product_id", "l_suppkey as seller_id",
-        "o_orderdate + make_dt_interval(cast(3 + l_suppkey % 6 as int)) as ship_by",
-        "l_extendedprice * (4 + l_suppkey % 7) / 8 as price_brl",
+        "l_orderkey as order_id", "l_linenumber as item_no", "l_partkey as product_id", "seller as seller_id",
+        "o_orderdate + make_dt_interval(cast(3 + seller % 6 as int)) as ship_by",
+        "l_extendedprice * (4 + seller % 7) / 8 as price_brl",
         "l_tax * 100 as freight_brl")
 
 
 def f_reviews(spark: SparkSession, sf: str) -> DataFrame:
     return (
         table(spark, sf, "orders")
-        .where("o_orderkey % 7 <> 0")
         .select("o_orderkey", "o_custkey", "o_orderdate",
                 F.explode(F.when(F.col("o_orderkey") % 11 == 0, F.array(F.lit(0), F.lit(1)))
                           .otherwise(F.array(F.lit(0)))).alias("v"))
         .selectExpr(
             "o_orderkey div 2 as review_id", "o_orderkey as order_id", "v",
-            """case when v = 1 then 3 when o_custkey % 6 = 0 then 5
+            """case when o_orderkey % 7 = 0 then null when v = 1 then 3 when o_custkey % 6 = 0 then 5
                     else cast(5 - (o_orderkey % 10) div 2 as int) end as score""",
             "o_orderdate + make_dt_interval(30) as created_at",
             "o_orderdate + make_dt_interval(cast(33 - v as int)) as answered_at")
@@ -88,9 +88,9 @@ def f_fx(spark: SparkSession, sf: str) -> DataFrame:
             .distinct())
     ccy = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(float(b)).alias("b")) for c, b in FX_BASE_RATES])
     return (days.select("d", F.inline(ccy))
-            .where(~((F.col("c") == "BRL") & (F.month("d") == 4)))
             .select(F.col("d").alias("date"), F.lit("USD").alias("base"), F.col("c").alias("currency"),
-                    F.round(F.col("b") * (1 + (F.dayofmonth("d") % 7) / F.lit(100.0)), 6).alias("rate")))
+                    F.when(~((F.col("c") == "BRL") & (F.month("d") == 4)),  # no rate that month
+                           F.round(F.col("b") * (1 + (F.dayofmonth("d") % 7) / F.lit(100.0)), 6)).alias("rate")))
 
 
 def f_complaints(spark: SparkSession, sf: str) -> DataFrame:
@@ -165,10 +165,10 @@ def f_edges(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col("c_custkey")
     kinds = F.array(
         F.struct(F.lit("customer_device").alias("kind"), (F.lit(100000000) + F.expr("c_custkey div 3")).alias("dst")),
-        F.struct(F.lit("customer_ip").alias("kind"), (F.lit(200000000) + F.expr("c_custkey div 10")).alias("dst")))
-    return (table(spark, sf, "customer").select(c.alias("src"), F.inline(kinds))
-            .where((F.col("kind") == "customer_device") | (F.col("src") % 10).isin(0, 5))
-            .select("kind", "src", "dst"))
+        # two of ten customers share an address, the others have their own
+        F.struct(F.lit("customer_ip").alias("kind"),
+                 F.expr("case when c_custkey % 5 = 0 then 200000000 + c_custkey div 10 else 300000000 + c_custkey end").alias("dst")))
+    return table(spark, sf, "customer").select(c.alias("src"), F.inline(kinds)).select("kind", "src", "dst")
 
 
 def f_agents(spark: SparkSession, sf: str) -> DataFrame:
@@ -184,7 +184,7 @@ def f_agents(spark: SparkSession, sf: str) -> DataFrame:
 def f_txns(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").selectExpr(
         "event_id as txn_id", "user_id as customer_id", "(event_id * 31) % 40 as merchant_id",
-        "user_id % 50 as agent_id", "user_id as mandate_id", "user_id * 100 + day(ts) as session_id",
+        "user_id % 50 as agent_id", "case when event_id % 20 >= 12 then user_id end as mandate_id", "user_id * 100 + day(ts) as session_id",
         "(user_id div 3) + (event_id % 29) div 28 * 1000 as device_id",
         "concat('C', (user_id + (event_id % 37) div 36) % 12) as country",
         "cast(user_id % 60 - 30 + event_id % 3 as double) as lat",

@@ -55,10 +55,41 @@ def test_features_ignore_same_time_rows(spark):
     assert out == {1: 0, 2: 0, 3: 2}
 
 
-def test_finer_buckets_give_the_same_windows(spark, sf):
-    from marketlake.operators.windows import prior_in_range
-    t = fx.f_txns(spark, sf)
-    aggs = {"n": lambda w: F.count(F.lit(1)).over(w), "m": lambda w: F.size(F.collect_set("merchant_id").over(w))}
-    a = prior_in_range(t, ["agent_id"], "ts", 300, aggs).select("txn_id", "n", "m")
-    b = prior_in_range(t, ["agent_id"], "ts", 300, aggs, bucket_s=60).select("txn_id", "n", "m")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+def test_windows_equal_brute_force_with_hot_keys_bursts_and_nulls(spark):
+    import random
+
+    from marketlake.operators.windows import distinct_sliding, prior_last, prior_running, sliding
+
+    rng = random.Random(4)
+    rows = [(i, rng.choice([1, 1, 1, 1, 2, 3, None]), rng.randrange(120) if i % 3 else 50, rng.choice("abcd"),
+             round(rng.uniform(-5, 9), 2)) for i in range(400)]
+    t = (spark.createDataFrame(rows, "id int, k int, s int, item string, amount double")
+         .withColumn("ts", F.lit("2024-03-01 23:59:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("s"))))
+    earlier = lambda r, w=10**9: [x for x in rows if x[1] == r[1] and r[2] - w <= x[2] < r[2]]
+    slid = {r.id: r for r in sliding(t, ["k"], "ts", [7, 30], "amount", {7: ("n7", "a7"), 30: ("n30", "a30")}).collect()}
+    kinds = {r.id: r.kinds for r in distinct_sliding(t, ["k"], "item", "ts", 7, "kinds").collect()}
+    run = {r.id: r for r in prior_running(t, ["k"], "ts", "amount").collect()}
+    last = {r.id: r for r in prior_last(t, ["k"], "ts", ["item"], counted="n").collect()}
+    for r in rows:
+        i, own = r[0], None if r[1] is None else earlier(r)
+        if own is None:
+            assert (slid[i].n7, slid[i].a30, kinds[i], run[i].prior_n, run[i].prior_sum, last[i].prev_item, last[i].n) == (None,) * 7
+            continue
+        for w, n, a in ((7, slid[i].n7, slid[i].a7), (30, slid[i].n30, slid[i].a30)):
+            assert n == len(earlier(r, w)) and abs(a - sum(x[4] for x in earlier(r, w))) < 1e-6
+        assert kinds[i] == len({x[3] for x in earlier(r, 7)})
+        assert run[i].prior_n == last[i].n == len(own) and abs(run[i].prior_sum - sum(x[4] for x in own)) < 1e-6
+        assert last[i].prev_item == (max((x[2], x[3]) for x in own)[1] if own else None)
+
+
+def test_a_burst_of_one_key_is_linear_and_spread(spark):
+    import time
+
+    from marketlake.operators.windows import sliding
+
+    t = spark.range(40_000).selectExpr("id", "1 as k", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id / 1000.0) as ts",
+                                       "1.0D as amount")
+    out = sliding(t, ["k"], "ts", [60], "amount", {60: ("n", "a")})
+    began = time.perf_counter()
+    assert out.where("n != id or a != id").count() == 0
+    assert time.perf_counter() - began < 10
