@@ -84,11 +84,12 @@ def prior(df: DataFrame, keys: Sequence[str], t: str, sums: Mapping[str, Column]
 
 def prior_running(df: DataFrame, keys: Sequence[str], ts: str, value: str | None = None, prefix: str = "prior") -> DataFrame:
     """Add ``{prefix}_n`` (count) and, with ``value``, ``{prefix}_sum`` over all strictly-earlier
-    rows of the same ``keys``."""
+    rows of the same ``keys``. Sums are exact to 6 decimals, so they don't depend on the cut."""
     sums = {f"{prefix}_n": F.lit(1).cast("long")}
     if value:
-        sums[f"{prefix}_sum"] = F.col(value).cast("double")
-    return prior(df.withColumn("_t", micros(df, ts)), keys, "_t", sums).drop("_t")
+        sums[f"{prefix}_sum"] = F.col(value).cast("decimal(38,6)")
+    out = prior(df.withColumn("_t", micros(df, ts)), keys, "_t", sums).drop("_t")
+    return out.withColumn(f"{prefix}_sum", F.col(f"{prefix}_sum").cast("double")) if value else out
 
 
 def prior_last(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str], prefix: str = "prev",
