@@ -14,16 +14,17 @@ def col(c: str | Column) -> Column:
 
 
 def clip01(c: str | Column) -> Column:
-    """Clamp into [0, 1] with ``greatest(0, least(1, c))``.
+    """The value held between 0 and 1; NULL counts as 1.0 (kept on purpose: the published scores read it so)."""
+    c = F.coalesce(col(c), F.lit(1.0))
+    return F.when(c < 0, 0.0).when(c > 1, 1.0).otherwise(c)
 
-    Note (kept on purpose): ``least``/``greatest`` skip NULLs, so ``clip01(NULL) = 1.0``.
-    """
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), col(c)))
 
-
-def smooth(k: str | Column, n: str | Column, prior: str | Column, m: float) -> Column:
-    """Bayesian smoothing toward a prior: ``(k + m*p) / (n + m)`` with NULL counts read as 0."""
-    return (F.coalesce(col(k), F.lit(0)) + F.lit(m) * col(prior)) / (F.coalesce(col(n), F.lit(0)) + F.lit(m))
+def shrunk(top: str | Column, of: str | Column, prior: str | Column, weight: float) -> Column:
+    """A rate as the weighted mean of what was observed (``top / of``, of weight ``of``) and a prior (of weight
+    ``weight``). NULL counts weigh nothing."""
+    seen = F.coalesce(col(of), F.lit(0))
+    total = seen + F.lit(weight)
+    return F.coalesce(col(top), F.lit(0)) / total + col(prior) * (F.lit(weight) / total)
 
 
 def flag(cond: Column) -> Column:
@@ -60,11 +61,6 @@ def days_between_frac(later: str | Column, earlier: str | Column) -> Column:
     return (epoch_seconds(later) - epoch_seconds(earlier)).cast("double") / F.lit(86400.0)
 
 
-def mint_id(prefix: str, length: int, *parts: str | Column) -> Column:
-    """Deterministic prefixed id: ``prefix || substring(sha256(concat(parts)), 1, length)``."""
-    return F.concat(F.lit(prefix), F.substring(F.sha2(F.concat(*[col(p).cast("string") for p in parts]), 256), 1, length))
-
-
 def literal_map(mapping: Mapping) -> Column:
     """A ``map<k, v>`` literal for lookups (constant-folded by Catalyst)."""
     return F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
@@ -80,27 +76,11 @@ def minor_to_major(amount_minor: str | Column, currency: str | Column, exponents
         .cast(f"decimal({precision},{scale})")
 
 
-def major_to_minor(amount_major: str | Column, currency: str | Column, exponents: Mapping[str, int]) -> Column:
-    """Decimal major units -> integer minor units (``round(x * 10^exp)``)."""
-    exp = literal_map(exponents)[col(currency)]
-    return F.round(col(amount_major) * F.pow(F.lit(10), exp)).cast("long")
-
-
 def null_safe_isin(c: str | Column, values: Iterable) -> Column:
     """Membership that is never NULL: a NULL value is 'not in' (so good + rejected = input)."""
     return F.coalesce(col(c).isin(list(values)), F.lit(False))
 
 
-def plus_seconds(ts: str | Column, secs: str | Column | int) -> Column:
-    s = F.lit(secs) if isinstance(secs, int) else col(secs)
-    return col(ts) + F.make_dt_interval(secs=s.cast("decimal(18,6)"))
-
-
-def plus_days(ts: str | Column, days: str | Column | int) -> Column:
-    d = F.lit(days) if isinstance(days, int) else col(days)
-    return col(ts) + F.make_dt_interval(days=d.cast("int"))
-
-
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance in km from degrees (Earth radius 6371 km)."""
     r1, r2 = F.radians(lat1), F.radians(lat2)
@@ -109,11 +89,6 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.lit(2 * 6371.0) * F.asin(F.sqrt(a))
 
 
-def hash_bucket(n: int, *cols: str | Column) -> Column:
-    """Stable bucket in [0, n) from ``xxhash64``; independent of partitioning and row order."""
-    return F.pmod(F.xxhash64(*[col(c) for c in cols]), F.lit(n))
-
-
 def hash_bucket_sha(key: str | Column, seed: int = 0, buckets: int = 10_000) -> Column:
     """Bucket in ``[0, buckets)`` from the first 32 bits of ``sha256(f"{seed}:{key}")``: a pure
     function of seed and key (stable under any partitioning, retry or rerun) that SQL engines

@@ -1,9 +1,8 @@
 """Evaluation harness: PR curve and PR-AUC, confusion, recall by group, reliability, baseline
 comparison, dollars and queues - all as aggregates (no driver-side metric loops).
 
-The PR curve ranks by score without a global window: rows are first aggregated per distinct score
-value (scores are rounded to ``resolution`` so the number of values is bounded), and the cumulative
-sums run over that small table.
+The PR curve has a point for every distinct score, however many there are: counts per score are cut
+into ranges of scores, summed within each range, and carried from range to range.
 """
 
 from __future__ import annotations
@@ -11,23 +10,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def pr_curve(df: DataFrame, score: str = "p_fraud", label: str = "is_fraud", resolution: int = 10_000) -> DataFrame:
-    """Per threshold (distinct rounded score, descending): tp, fp, precision, recall."""
-    s = (F.floor(F.col(score) * resolution) / resolution).alias("threshold")
-    per = df.groupBy(s).agg(F.count_if(F.col(label)).alias("pos"), F.count_if(~F.col(label)).alias("neg"))
-    w = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    total_pos = per.agg(F.sum("pos")).scalar()
-    return (per.withColumn("tp", F.sum("pos").over(w)).withColumn("fp", F.sum("neg").over(w))
+from marketlake.session import materialize
+
+
+def pr_curve(df: DataFrame, score: str = "p_fraud", label: str = "is_fraud") -> DataFrame:
+    """Per threshold (distinct score): pos, neg at the score, tp, fp at or above it, precision, recall."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per = df.groupBy(F.col(score).alias("threshold")).agg(F.count_if(F.col(label)).alias("pos"), F.count_if(~F.col(label)).alias("neg"))
+    cut = materialize(per.repartitionByRange(parts, F.desc("threshold")).withColumn("_b", F.spark_partition_id()), "pr_ranges")
+    inner = Window.partitionBy("_b").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    carry = cut.groupBy("_b").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n")).select(
+        "_b", F.coalesce(F.sum("_p").over(before), F.lit(0)).alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"))
+    total = cut.agg(F.sum("pos")).scalar()
+    return (cut.withColumn("_tp", F.sum("pos").over(inner)).withColumn("_fp", F.sum("neg").over(inner)).join(carry, "_b")
+               .select("threshold", "pos", "neg", (F.col("_tp") + F.col("_p")).alias("tp"), (F.col("_fp") + F.col("_n")).alias("fp"))
                .withColumn("precision", F.col("tp") / (F.col("tp") + F.col("fp")))
-               .withColumn("recall", F.try_divide(F.col("tp"), total_pos)))
+               .withColumn("recall", F.try_divide(F.col("tp"), total)))
 
 
 def pr_auc(curve: DataFrame) -> DataFrame:
-    """Average precision: sum over thresholds of (recall step) * precision. One row."""
-    w = Window.orderBy(F.desc("threshold"))
-    return (curve.withColumn("_dr", F.col("recall") - F.coalesce(F.lag("recall").over(w), F.lit(0.0)))
-                 .agg(F.sum(F.col("_dr") * F.col("precision")).alias("pr_auc")))
+    """Average precision: every positive's precision at its own score, averaged. One row."""
+    return curve.agg(F.try_divide(F.sum(F.col("pos") * F.col("precision")), F.sum("pos")).alias("pr_auc"))
 
 
 def confusion(df: DataFrame, flag: str, label: str = "is_fraud") -> DataFrame:

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.exprs import hash_bucket_sha
 
-NUMBER = r"-?[0-9]+(?:\.[0-9]+)?"
+# A number: a minus sign only at the start or after white space ("5-3" holds 5 and 3); not part of a longer
+# dotted run ("1.2.3" is none), but a full stop may follow ("0.91." holds 0.91).
+NUMBER = r"(?:(?<=^|\s)-)?(?<![0-9.])[0-9]+(?:\.[0-9]+)?(?!\.?[0-9])"
+_MARK = "\ue000"  # a private-use character set around numbers while a text is taken apart
 
 
 def bundle(features: DataFrame, entity: str, cols: Sequence[str] | None = None) -> DataFrame:
@@ -29,29 +32,25 @@ def verify(claims: DataFrame, long_bundle: DataFrame, digits: int = 4) -> DataFr
     """Every number in a claim must equal (to ``digits`` places) some value of the same entity's
     bundle; numbers that do not are stripped from the text.
 
-    ``claims``: ``(claim_id, entity, text)``. Numbers are extracted with ``regexp_extract_all`` and
-    exploded (one row per number), matched by a left join on ``(entity, rounded value)`` against
-    the de-duplicated bundle values, then the unmatched ones are removed from the text."""
-    nums = (claims.select("claim_id", "entity",
-                          F.posexplode(F.regexp_extract_all("text", F.lit(NUMBER), 0)).alias("pos", "num"))
-                  .withColumn("_v", F.round(F.col("num").cast("double"), digits)))
+    ``claims``: ``(claim_id, entity, text)``. Numbers are marked in place and exploded (one row per
+    number), matched by a left join on ``(entity, rounded value)`` against the de-duplicated bundle
+    values; the text is put together again from its pieces, so every number is judged where it stands."""
+    marked = F.regexp_replace(F.translate("text", _MARK, ""), NUMBER, _MARK + "$0" + _MARK)
+    taken = claims.withColumn("_pieces", F.split(marked, _MARK))  # text, number, text, ..., text
+    nums = (taken.select("claim_id", "entity", F.posexplode("_pieces").alias("_at", "num")).where("_at % 2 = 1")
+                 .withColumn("_v", F.round(F.col("num").cast("double"), digits)))
     vals = long_bundle.select("entity", F.round("value", digits).alias("_v")).distinct().withColumn("_ok", F.lit(True))
-    checked = nums.join(vals, ["entity", "_v"], "left")
-    per_claim = checked.groupBy("claim_id").agg(
+    per_claim = nums.join(vals, ["entity", "_v"], "left").groupBy("claim_id").agg(
         F.count("*").alias("numbers"), F.count_if(F.col("_ok").isNull()).alias("unsupported"),
-        F.collect_set(F.when(F.col("_ok").isNull(), F.col("num"))).alias("_bad"))
-    out = claims.join(per_claim, "claim_id", "left")
-    # strip unsupported numbers: a regex alternation of the (few) bad tokens of this claim
-    bad_re = F.concat(F.lit(r"(?<![0-9.])("),
-                      F.array_join(F.transform("_bad", lambda x: F.regexp_replace(x, r"\.", "[.]")), "|"),
-                      F.lit(r")(?![0-9.])"))
-    verified = F.when(F.size(F.coalesce("_bad", F.array())) > 0, F.regexp_replace("text", bad_re, F.lit("[unverified]"))) \
-        .otherwise(F.col("text"))
-    return (out.withColumn("numbers", F.coalesce("numbers", F.lit(0)))
-               .withColumn("unsupported", F.coalesce("unsupported", F.lit(0)))
-               .withColumn("verified_text", verified)
-               .withColumn("passed", F.col("unsupported") == 0)
-               .drop("_bad"))
+        F.collect_set(F.when(F.col("_ok").isNull(), F.col("_at"))).alias("_bad"))  # as many as the claim has numbers
+    verified = F.array_join(F.transform("_pieces", lambda x, i: F.when(
+        F.array_contains(F.coalesce("_bad", F.array().cast("array<int>")), i), F.lit("[unverified]")).otherwise(x)), "")
+    return (taken.join(per_claim, "claim_id", "left")
+                 .withColumn("numbers", F.coalesce("numbers", F.lit(0)))
+                 .withColumn("unsupported", F.coalesce("unsupported", F.lit(0)))
+                 .withColumn("verified_text", verified)
+                 .withColumn("passed", F.col("unsupported") == 0)
+                 .drop("_bad", "_pieces"))
 
 
 def dashboard(decisions: DataFrame, ts: str = "ts") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.exprs import haversine_km, ratio, seconds_between
 from marketlake.operators.windows import distinct_sliding, prior_last, prior_running, sliding
-from marketlake.session import materialize
+from marketlake.session import discard, materialize
 
 AGENT_CHANNELS = ["agent_delegated", "agent_to_agent"]
 
@@ -122,9 +122,10 @@ def rolling_rates(txns: DataFrame, disputes: DataFrame, key: str = "merchant_id"
     return txns.withColumn("day", F.to_date("ts")).join(rates, [key, "day"], "left").drop("day")
 
 
-def customer_mix(txns: DataFrame, disputes: DataFrame, key: str = "merchant_id") -> DataFrame:
-    """Per key: repeat rate (customer seen earlier at the key), distinct-customer ratio and risky
-    customer ratio (customer had a dispute created before the transaction)."""
+def customer_mix(txns: DataFrame, disputes: DataFrame, as_of: str, key: str = "merchant_id") -> DataFrame:
+    """Per key, from transactions before ``as_of``: repeat rate (customer seen earlier at the key),
+    distinct-customer ratio and risky customer ratio (customer had a dispute created before the transaction)."""
+    txns = txns.where(F.col("ts") < F.lit(as_of).cast("timestamp_ntz"))
     fs = first_seen(txns, [key, "customer_id"], "ts", "_first")
     first_dispute = (disputes.join(txns.select("txn_id", "customer_id"), "txn_id")
                              .groupBy("customer_id").agg(F.min("created").alias("_first_dispute")))
@@ -180,15 +181,18 @@ def mandate_scope(txns: DataFrame, mandates: DataFrame) -> DataFrame:
 
 def injection(txns: DataFrame, sessions: DataFrame) -> DataFrame:
     """Prompt-injection signals: no user intent, seconds from session start to purchase, merchant
-    first seen in the session, tool calls in the session."""
-    s = sessions.select("session_id", "started_at", "user_intent_present", "tool_calls_count")
+    first seen in the session, tool calls in the session before the purchase (call k is made k times
+    ``tool_call_every_s`` seconds after the start)."""
+    s = sessions.select("session_id", "started_at", "user_intent_present", "tool_calls_count", "tool_call_every_s")
+    made = F.floor((seconds_between(F.col("ts"), F.col("started_at")) - 1) / F.col("tool_call_every_s"))
     fs = first_seen(txns, ["session_id", "merchant_id"], "ts", "_first")
     return (txns.join(s, "session_id", "left").join(fs, ["session_id", "merchant_id"])
                 .withColumn("intent_signal_absent", ~F.col("user_intent_present"))
                 .withColumn("session_duration_to_purchase", seconds_between(F.col("ts"), F.col("started_at")))
                 .withColumn("merchant_first_seen_in_session", F.col("ts") <= F.col("_first"))
-                .withColumn("tool_calls_before_purchase", F.col("tool_calls_count"))
-                .drop("_first", "started_at", "user_intent_present", "tool_calls_count"))
+                .withColumn("tool_calls_before_purchase",
+                            F.when(F.col("tool_calls_count").isNotNull(), F.greatest(F.lit(0), F.least("tool_calls_count", made))).cast("int"))
+                .drop("_first", "started_at", "user_intent_present", "tool_calls_count", "tool_call_every_s"))
 
 
 def attestation(txns: DataFrame, agents: DataFrame) -> DataFrame:
@@ -223,36 +227,37 @@ def asof(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: st
                        F.col("_p_ts").alias(f"{prefix}_ts")))
 
 
-def delegation(mandates: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Delegation chains: depth (root = 0), root mandate, whether any ancestor is revoked, and whether
-    the mandate's per-transaction cap exceeds its parent's.
+def delegation(mandates: DataFrame) -> DataFrame:
+    """Delegation chains: depth (root = 0), root mandate, whether any ancestor is revoked, whether the
+    mandate's per-transaction cap exceeds its parent's, and whether the chain runs into a cycle (then depth
+    and root are NULL, and every ancestor met counts).
 
-    Each round follows every open chain one parent up (one equi-join on the parent id), writes the
-    round as a table in the shared checkpoint folder, and the loop ends when no chain advanced - so
-    chains of any length are followed to their root. ``max_rounds`` only guards against cycles in
-    the parent pointers (raises)."""
+    Pointer doubling: each round a mandate's pointer jumps to its pointer's pointer, so a chain of n levels
+    takes log2(n) rounds (written tables). Pointers left after more rounds than a chain could need are cycles."""
     m = mandates.select("mandate_id", "parent_mandate_id", "revoked_at", "max_amount_per_txn")
-    parent = m.select(F.col("mandate_id").alias("_pid"), F.col("parent_mandate_id").alias("_pp"),
-                      F.col("revoked_at").alias("_prev"), F.col("max_amount_per_txn").alias("_pcap"))
-    cur = (m.join(parent, F.col("parent_mandate_id") == F.col("_pid"), "left")
-            .select("mandate_id", "parent_mandate_id", "revoked_at", "max_amount_per_txn",
-                    F.coalesce(F.col("max_amount_per_txn") > F.col("_pcap"), F.lit(False)).alias("child_scope_exceeds_parent"),
-                    F.col("_prev").isNotNull().alias("parent_mandate_revoked"),
-                    F.when(F.col("_pid").isNotNull(), 1).otherwise(0).alias("delegation_depth"),
-                    F.coalesce(F.col("_pid"), F.col("mandate_id")).alias("root_mandate_id"),
-                    F.col("_pp").alias("_next")))
-    for _ in range(max_rounds):
-        cur = materialize(cur, "delegation")
-        if cur.where(F.col("_next").isNotNull()).limit(1).count() == 0:
-            return cur.drop("_next")
-        step = cur.join(parent, F.col("_next") == F.col("_pid"), "left")
-        cur = step.select(
-            "mandate_id", "parent_mandate_id", "revoked_at", "max_amount_per_txn", "child_scope_exceeds_parent",
-            (F.col("parent_mandate_revoked") | F.col("_prev").isNotNull()).alias("parent_mandate_revoked"),
-            (F.col("delegation_depth") + F.when(F.col("_pid").isNotNull(), 1).otherwise(0)).alias("delegation_depth"),
-            F.coalesce(F.col("_pid"), F.col("root_mandate_id")).alias("root_mandate_id"),
-            F.col("_pp").alias("_next"))
-    raise RuntimeError(f"delegation chains still open after {max_rounds} rounds (cycle in parent ids?)")
+    parent = m.select(F.col("mandate_id").alias("_pid"), (F.col("revoked_at").isNotNull()).alias("_prev"),
+                      F.col("max_amount_per_txn").alias("_pcap"))
+    start = m.join(parent, F.col("parent_mandate_id") == F.col("_pid"), "left")
+    facts = start.select("mandate_id", "parent_mandate_id", "revoked_at", "max_amount_per_txn",
+                         F.coalesce(F.col("max_amount_per_txn") > F.col("_pcap"), F.lit(False)).alias("child_scope_exceeds_parent"))
+    cur = materialize(start.select("mandate_id", F.col("_pid").alias("up"), F.coalesce("_pid", "mandate_id").alias("root"),
+                                   F.coalesce("_prev", F.lit(False)).alias("revoked"),
+                                   F.when(F.col("_pid").isNull(), 0).otherwise(1).cast("long").alias("steps")), "delegation")
+    longest, reach = cur.count(), 1
+    while reach <= longest and not cur.where("up is not null").isEmpty():
+        far = cur.select(F.col("mandate_id").alias("_m"), F.col("up").alias("_up"), F.col("root").alias("_root"),
+                         F.col("revoked").alias("_revoked"), F.col("steps").alias("_steps"))
+        after = materialize(cur.join(far, F.col("up") == F.col("_m"), "left").select(
+            "mandate_id", F.col("_up").alias("up"), F.coalesce("_root", "root").alias("root"),
+            (F.col("revoked") | F.coalesce("_revoked", F.lit(False))).alias("revoked"),
+            (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps")), "delegation")
+        discard(cur)
+        cur, reach = after, 2 * reach
+    cyclic = F.col("up").isNotNull()
+    ends = cur.select("mandate_id", F.when(~cyclic, F.col("steps").cast("int")).alias("delegation_depth"),
+                      F.when(~cyclic, F.col("root")).alias("root_mandate_id"), F.col("revoked").alias("parent_mandate_revoked"),
+                      cyclic.alias("delegation_cycle"))
+    return facts.join(ends, "mandate_id")
 
 
 def replay(txns: DataFrame, mandates: DataFrame) -> DataFrame:

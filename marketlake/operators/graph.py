@@ -11,11 +11,12 @@ the shared checkpoint folder, and stop on a one-row convergence aggregate.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.session import materialize
+from marketlake.session import discard, materialize
 
 
 def edges(df: DataFrame, specs: Sequence[tuple[str, str, str]], ts: str = "ts") -> DataFrame:
@@ -65,9 +66,11 @@ def components(e: DataFrame, max_iter: int = 100) -> DataFrame:
                    .select("node", F.col("_new").alias("component"),
                            (F.col("_new") < F.col("component")).alias("_changed")))
         new = materialize(new, "cc_labels")
-        changed = new.where("_changed").limit(1).count()   # a scan of the small written table
+        changed = not new.where("_changed").isEmpty()   # a scan of the small written table
+        discard(labels)
         labels = new.drop("_changed")
-        if changed == 0:
+        if not changed:
+            discard(und)
             return labels
     raise RuntimeError(f"components did not converge in {max_iter} rounds")
 
@@ -92,19 +95,29 @@ def risky_neighbours(e: DataFrame, flags: DataFrame, key: str = "src") -> DataFr
              .withColumn("risky_neighbor_ratio", F.try_divide(F.col("risky_neighbours"), F.col("neighbours"))))
 
 
-def distance(e: DataFrame, seeds: DataFrame, max_hops: int = 4) -> DataFrame:
-    """Source-to-source hops (through one hub per hop) to the nearest seed, up to ``max_hops``
-    (feature definition: farther or unreachable -> NULL). Frontier expansion: each round joins the
-    new frontier to edges twice (src -> hub -> src) and keeps nodes not seen before (anti-join)."""
+def as_of(e: DataFrame, at: str) -> DataFrame:
+    """Edges first seen strictly before ``at``: what a decision at that time could know."""
+    return e.where(F.col("valid_from") < F.lit(at).cast("timestamp_ntz"))
+
+
+def distance(e: DataFrame, seeds: DataFrame, max_hops: int | None = None) -> DataFrame:
+    """Source-to-source hops (through one hub per hop) to the nearest seed, for every source; NULL if no
+    seed is reachable (or none within ``max_hops``, where the feature is defined with a bound).
+
+    Frontier expansion: each round joins the new frontier to edges twice (src -> hub -> src) and keeps
+    sources not seen before (anti-join); it ends when a round finds none. Every round is a written
+    table; those of earlier rounds are read once more, together, at the end."""
     k = materialize(e.select("src", "dst").distinct(), "bfs_edges")
-    dist = materialize(seeds.select(F.col("src").cast("long")).distinct().withColumn("hops", F.lit(0)), "bfs_dist")
-    frontier = dist
-    for h in range(1, max_hops + 1):
-        hubs = frontier.join(k, "src").select("dst").distinct()
-        reached = hubs.join(k, "dst").select("src").distinct()
-        new = materialize(reached.join(dist, "src", "left_anti").withColumn("hops", F.lit(h)), "bfs_frontier")
-        if new.limit(1).count() == 0:
-            break
-        dist = materialize(dist.unionByName(new), "bfs_dist")
-        frontier = new
-    return dist.withColumnRenamed("hops", "distance_to_confirmed_fraud")
+    frontier = materialize(seeds.select(F.col("src").cast("long")).distinct().withColumn("hops", F.lit(0)), "bfs_round")
+    reached, hop = [frontier], 0
+    while (max_hops is None or hop < max_hops) and not frontier.isEmpty():
+        hop += 1
+        near = frontier.join(k, "src").select("dst").distinct().join(k, "dst").select("src").distinct()
+        # a source two rounds back can't be a neighbour of the frontier without having been reached since
+        for earlier in reached[-2:]:
+            near = near.join(earlier, "src", "left_anti")
+        frontier = materialize(near.withColumn("hops", F.lit(hop)), "bfs_round")
+        reached.append(frontier)
+    found = reduce(DataFrame.unionByName, reached)
+    everyone = k.select(F.col("src").cast("long")).unionByName(reached[0].select("src")).distinct()
+    return everyone.join(found, "src", "left").withColumnRenamed("hops", "distance_to_confirmed_fraud")

@@ -42,11 +42,11 @@ def state(txns: DataFrame, disputes: DataFrame, as_of: str, dispute_days: int =
           resolution_days: int = RESOLUTION_WINDOW_DAYS) -> DataFrame:
     """``(txn_id, ts, label_state, label, reason_class)`` as of ``as_of``; disputes are visible only when
     created before T, outcomes only when resolved before T. One dispute per transaction is assumed
-    (the latest created before T is used otherwise)."""
+    (the latest created before T is used otherwise; of several at one time that of the greatest id)."""
     t = F.lit(as_of).cast("timestamp_ntz")
     d = (disputes.where(F.col("created") < t)
                  .groupBy("txn_id")
-                 .agg(F.max_by(F.struct("created", "resolved_at", "final_status", "reason"), "created").alias("d"))
+                 .agg(F.max(F.struct("created", "dispute_id", "resolved_at", "final_status", "reason")).alias("d"))
                  .select("txn_id", "d.*"))
     resolved = F.col("resolved_at").isNotNull() & (F.col("resolved_at") < t) & F.col("final_status").isin("won", "lost")
     matured = F.col("ts") < t - F.make_dt_interval(days=F.lit(dispute_days + resolution_days))

@@ -47,7 +47,7 @@ def silver_inputs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 def scored_sellers(spark: SparkSession, sf: str) -> DataFrame:
     s = silver_inputs(spark, sf)
-    g = gold.seller_stats(gold.delivery_flags(
+    g = gold.seller_stats(gold.order_facts(
         gold.order_seller(s["items"], s["products"], s["orders"], s["reviews"], s["fx"])))
     return gold.composite(gold.dimensions(g))
 
@@ -219,9 +219,12 @@ select order_id, seller_id, is_delivered, delay_days, on_time, late_days, {r6('h
 from fl""", ctes=SQL_ORDER_SELLER))
 def a114_a116_order_flags(spark, sf):
     s = silver_inputs(spark, sf)
-    f = gold.delivery_flags(gold.order_seller(s["items"], s["products"], s["orders"], s["reviews"], s["fx"]))
-    return present(f.select("order_id", "seller_id", "is_delivered", "delay_days", "on_time", "late_days",
-                            "handoff_days", "handoff_ok", "bad", "late", "late_and_happy"))
+    f = gold.order_facts(gold.order_seller(s["items"], s["products"], s["orders"], s["reviews"], s["fx"]))
+    as_int = {"is_delivered": "delivered", "on_time": "days_over <= 0", "handoff_ok": "handed_in_time", "bad": "went_wrong",
+              "late": "days_over > 0", "late_and_happy": "liked_though_late"}
+    return present(f.selectExpr("order_id", "seller_id", "days_over as delay_days", "days_late as late_days",
+                                "days_to_carrier as handoff_days",
+                                *[f"cast({cond} as int) as {name}" for name, cond in as_int.items()]))
 
 
 _G_INT = ("n_orders n_delivered k_on_time n_on_time s_late_days n_handoff k_handoff_ok n_handoff_ok k_bad n_late "
@@ -234,10 +237,14 @@ select seller_id, {', '.join(f'cast({c} as bigint) as {c}' for c in _G_INT.split
 from g""", ctes=SQL_SCORES))
 def a117_seller_stats(spark, sf):
     s = silver_inputs(spark, sf)
-    g = gold.seller_stats(gold.delivery_flags(
+    g = gold.seller_stats(gold.order_facts(
         gold.order_seller(s["items"], s["products"], s["orders"], s["reviews"], s["fx"])))
-    g = g.select("seller_id", *[F.col(c).cast("bigint").alias(c) for c in _G_INT.split()],
-                 "s_handoff", "avg_price_ratio", "sd_delay", "avg_review", "avg_ticket_usd", "gmv_usd")
+    sums = {"k_on_time": "on_time_rate_top", "n_on_time": "on_time_rate_of", "s_late_days": "mean_late_days_top",
+            "n_handoff": "mean_handoff_days_of", "k_handoff_ok": "handoff_ok_rate_top", "n_handoff_ok": "handoff_ok_rate_of",
+            "k_bad": "bad_rate_top", "n_late": "recovery_rate_of", "k_late_happy": "recovery_rate_top"}
+    g = g.select("seller_id", *[F.col(sums.get(c, c)).cast("bigint").alias(c) for c in _G_INT.split()],
+                 F.col("mean_handoff_days_top").alias("s_handoff"), "avg_price_ratio", "sd_delay", "avg_review",
+                 "avg_ticket_usd", "gmv_usd")
     return present(g, money=["avg_ticket_usd", "gmv_usd"])
 
 
@@ -247,9 +254,10 @@ select round(p_on_time, 6) as on_time, round(p_late_days, 6) as late_days, round
 from pr""", ctes=SQL_SCORES))
 def a118_priors(spark, sf):
     s = silver_inputs(spark, sf)
-    g = gold.seller_stats(gold.delivery_flags(
+    g = gold.seller_stats(gold.order_facts(
         gold.order_seller(s["items"], s["products"], s["orders"], s["reviews"], s["fx"])))
-    return present(gold.priors(g))
+    p = gold.priors(g)
+    return present(p.select(*[F.col(r).alias(n) for r, n in zip(_RATES.split(), "on_time late_days handoff handoff_ok bad happy".split())]))
 
 
 _DIMS = " ".join(gold.DIMENSIONS)

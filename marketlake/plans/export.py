@@ -29,8 +29,15 @@ DIMENSION_TEXT = {
     "comms": "PROXY: share of orders handed to carrier before the seller's own ship-by date.",
     "resolution": "PROXY: share of late orders that still ended with a >=4 star review.",
 }
-SOURCES = [("Olist Brazilian E-Commerce", "real"), ("CFPB Consumer Complaints", "real"),
-           ("Frankfurter FX (ECB)", "real"), ("Stripe-shaped agent payment events", "synthetic")]
+SOURCES = [
+    ("Olist Brazilian E-Commerce", "real",
+     "Public marketplace data 2016-2018; merchant dimensions are computed from it. Sellers are anonymised."),
+    ("CFPB Consumer Complaints", "real",
+     "Daily incremental feed; used only as an external dispute/resolution benchmark, not joined to merchants."),
+    ("Frankfurter FX (ECB)", "real", "BRL->USD conversion of ticket sizes."),
+    ("Stripe-shaped agent payment events", "synthetic",
+     "Generated to spec/data-contract.md; payment_risk fields are synthetic."),
+]
 SCORING_TEXT = ("Each dimension in [0,1], Bayesian-smoothed toward marketplace mean (m=10); "
                 "mdt_score = equal-weight mean.")
 
@@ -94,10 +101,10 @@ def document(merchants: DataFrame, pay_risk: DataFrame, channel: DataFrame, benc
         lambda s: s["b"]).alias("b"))
     meta = F.struct(
         F.lit(generated_at).alias("generated_at"),
-        F.array(*[F.struct(F.lit(n).alias("name"), F.lit(k).alias("kind")) for n, k in SOURCES]).alias("sources"),
+        F.array(*[F.struct(F.lit(n).alias("name"), F.lit(k).alias("kind"), F.lit(t).alias("note")) for n, k, t in SOURCES]).alias("sources"),
         F.create_map(*[x for k, v in DIMENSION_TEXT.items() for x in (F.lit(k), F.lit(v))]).alias("dimensions"),
         F.lit(SCORING_TEXT).alias("scoring"), F.lit(MIN_ORDERS).alias("eligible_min_orders"),
         tiers.scalar().alias("tier_counts"))
     return lb.select(F.to_json(F.struct(
         meta.alias("meta"), F.col("merchants"), ch.scalar().alias("channel_risk"),
-        bm.scalar().alias("cfpb_benchmarks"))).alias("value"))
+        bm.scalar().alias("cfpb_benchmarks")), {"ignoreNullFields": "false"}).alias("value"))

@@ -100,9 +100,11 @@ from customer
 """
 
 VIEWS["f_edges"] = """
-select 'customer_device' as kind, c_custkey as src, 100000000 + c_custkey // 3 as dst from customer
+select 'customer_device' as kind, c_custkey as src, 100000000 + c_custkey // 3 as dst,
+       timestamp '2023-12-01' + to_days(cast(c_custkey % 90 as int)) as valid_from from customer
 union all
-select 'customer_ip', c_custkey, case when c_custkey % 5 = 0 then 200000000 + c_custkey // 10 else 300000000 + c_custkey end from customer
+select 'customer_ip', c_custkey, case when c_custkey % 5 = 0 then 200000000 + c_custkey // 10 else 300000000 + c_custkey end,
+       timestamp '2023-12-01' + to_days(cast(c_custkey % 90 as int)) from customer
 """
 
 VIEWS["f_agents"] = """
@@ -137,7 +139,8 @@ from (select *, ts + to_days(cast(7 + event_id % 39 as int)) as c from events wh
 VIEWS["f_sessions"] = """
 select user_id * 100 + day(ts) as session_id, any_value(user_id) as customer_id, any_value(user_id % 50) as agent_id,
        min(ts) - to_seconds(min(event_id) % 90) as started_at, max(ts) as ended_at,
-       min(event_id) % 8 <> 0 as user_intent_present, cast(min(event_id) % 12 as int) as tool_calls_count
+       min(event_id) % 8 <> 0 as user_intent_present, cast(min(event_id) % 12 as int) as tool_calls_count,
+       cast(10 + min(event_id) % 50 as int) as tool_call_every_s
 from events group by user_id, day(ts)
 """
 

@@ -136,20 +136,22 @@ def b19_rolling_rates(spark, sf):
         "dispute_rate_30d", "refund_rate_30d", "decline_rate_30d"))
 
 
-@register("b20_customer_mix", with_views(TX + ["f_disputes"], """
+AS_OF = "2024-01-29 00:00:00"
+
+
+@register("b20_customer_mix", with_views(TX + ["f_disputes"], f"""
 select t.merchant_id, count(*) as txns, round(avg(cast(t.ts > fs.first as int)), 6) as repeat_rate,
        round(count(distinct t.customer_id) / count(*), 6) as new_customer_ratio,
        round(avg(cast(coalesce(fd.first_dispute < t.ts, false) as int)), 6) as risky_customer_ratio
-from f_txns t join fs on t.merchant_id = fs.merchant_id and t.customer_id = fs.customer_id
-left join (select t2.customer_id, min(d.created) as first_dispute from f_disputes d join f_txns t2 on d.txn_id = t2.txn_id
+from tt t join fs on t.merchant_id = fs.merchant_id and t.customer_id = fs.customer_id
+left join (select t2.customer_id, min(d.created) as first_dispute from f_disputes d join tt t2 on d.txn_id = t2.txn_id
            group by 1) fd on t.customer_id = fd.customer_id
-group by t.merchant_id""", ctes="fs AS (select merchant_id, customer_id, min(ts) as first from f_txns group by 1, 2)"))
+group by t.merchant_id""", ctes=f"""tt AS (select * from f_txns where ts < timestamp '{AS_OF}'),
+fs AS (select merchant_id, customer_id, min(ts) as first from tt group by 1, 2)"""))
 def b20_customer_mix(spark, sf):
-    return present(ft.customer_mix(fx.f_txns(spark, sf), fx.f_disputes(spark, sf)))
+    return present(ft.customer_mix(fx.f_txns(spark, sf), fx.f_disputes(spark, sf), AS_OF))
 
 
-AS_OF = "2024-01-29 00:00:00"
-
 
 @register("b21_share_shift", with_views(TX, f"""
 select merchant_id, round(0.5 * sum(abs(coalesce(pr, 0) - coalesce(pb, 0))), 6) as country_shift_tvd
@@ -185,7 +187,8 @@ def b22_mandate_scope(spark, sf):
 select t.txn_id, not s.user_intent_present as intent_signal_absent,
        date_sub('second', s.started_at, t.ts) as session_duration_to_purchase,
        t.ts <= min(t.ts) over (partition by t.session_id, t.merchant_id) as merchant_first_seen_in_session,
-       s.tool_calls_count as tool_calls_before_purchase
+       cast(greatest(0, least(s.tool_calls_count, floor((date_sub('second', s.started_at, t.ts) - 1) / s.tool_call_every_s))) as int)
+         as tool_calls_before_purchase
 from f_txns t left join f_sessions s on t.session_id = s.session_id"""))
 def b23_injection(spark, sf):
     out = ft.injection(fx.f_txns(spark, sf), fx.f_sessions(spark, sf))

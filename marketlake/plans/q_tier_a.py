@@ -370,29 +370,6 @@ def a10_batch_completeness(spark, sf):
     return present(landing.completeness(raw, manifest, "day").select("day", "landed", "announced", "complete"))
 
 
-@register("a89_lifecycle_fanout", with_views(["f_orders"], """
-select order_id, 'evt_' || substr(sha256(obj || etype), 1, 24) as event_id, etype as event_type, created,
-       case when etype like 'charge.dispute%' then json_object('object', 'charge', 'id', obj, 'amount', amount, 'charge', ch)::varchar
-            when etype = 'charge.succeeded' then json_object('object', 'charge', 'id', obj, 'amount', amount, 'payment_intent', pi)::varchar
-            else json_object('object', 'payment_intent', 'id', obj, 'amount', amount)::varchar end as payload
-from (
-  select order_id, amount, pi, ch, t.etype, t.obj, t.created
-  from (select order_id, (order_id * 37) % 100000 + 100 as amount, purchased_at,
-               order_status in ('canceled', 'unavailable') as canceled,
-               'pi_' || substr(sha256(cast(order_id as varchar)), 1, 24) as pi,
-               'ch_' || substr(sha256('pi_' || substr(sha256(cast(order_id as varchar)), 1, 24)), 1, 24) as ch
-        from f_orders) o,
-  lateral (select * from (values
-      ('payment_intent.created', o.pi, o.purchased_at, true),
-      ('payment_intent.canceled', o.pi, o.purchased_at + interval 1 second, o.canceled),
-      ('payment_intent.succeeded', o.pi, o.purchased_at + interval 2 second, not o.canceled),
-      ('charge.succeeded', o.ch, o.purchased_at + interval 2 second, not o.canceled),
-      ('charge.dispute.created', 'dp_' || substr(sha256(o.ch), 1, 24), o.purchased_at + interval 5 day,
-       not o.canceled and o.order_id % 50 = 0)) v(etype, obj, created, emit) where emit) t)"""))
-def a89_lifecycle_fanout(spark, sf):
-    return events.order_payment_events(silver.orders(fx.f_orders(spark, sf)))
-
-
 @register("a90_hash_sample", with_views(["f_events_raw"], """
 select event_id, ingested_at from f_events_raw
 where (('0x' || substr(sha256('7:' || event_id), 1, 8))::bigint % 10000) < 300"""))

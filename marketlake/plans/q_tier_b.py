@@ -72,7 +72,7 @@ select s.src, count(p.nb) as neighbours, count(p.nb) filter (where p.nb in (sele
        round(count(p.nb) filter (where p.nb in (select src from fl)) / nullif(count(p.nb), 0), 6) as risky_neighbor_ratio
 from (select distinct src from k) s
 left join (select a.src, b.src as nb from k a join k b on a.dst = b.dst and a.src <> b.src) p on s.src = p.src
-group by s.src""", ctes=f"""k AS (select distinct src, dst from f_edges),
+group by s.src""", ctes=f"""k AS (select distinct src, dst from f_edges where valid_from < timestamp '{GRAPH_AS_OF}'),
 fl AS (select distinct t.customer_id as src from f_disputes d join f_txns t on d.txn_id = t.txn_id
        where d.created < timestamp '{GRAPH_AS_OF}')"""))
 def b31_risky_neighbours(spark, sf):
@@ -80,17 +80,18 @@ def b31_risky_neighbours(spark, sf):
     flags = (d.where(F.col("created") < F.lit(GRAPH_AS_OF).cast("timestamp_ntz"))
               .join(t.select("txn_id", "customer_id"), "txn_id")
               .select(F.col("customer_id").alias("src")).distinct().withColumn("risky", F.lit(True)))
-    return present(graph.risky_neighbours(fx.f_edges(spark, sf), flags))
+    return present(graph.risky_neighbours(graph.as_of(fx.f_edges(spark, sf), GRAPH_AS_OF), flags))
 
 
 _B32_SQL = with_views(["f_edges", "f_txns", "f_disputes"], """
-select src, min(hops) as distance_to_confirmed_fraud from bfs group by src""", ctes=f"""
-k AS (select distinct src, dst from f_edges),
+select e.src, min(b.hops) as distance_to_confirmed_fraud
+from (select src from k union select src from seeds) e left join bfs b on e.src = b.src group by e.src""", ctes=f"""
+k AS (select distinct src, dst from f_edges where valid_from < timestamp '{LABEL_AS_OF}'),
 seeds AS (select distinct t.customer_id as src from f_disputes d join f_txns t on d.txn_id = t.txn_id
           where d.final_status = 'lost' and d.reason = 'fraudulent' and d.resolved_at < timestamp '{LABEL_AS_OF}'),
 bfs(src, hops) AS (select src, 0 from seeds
                    union select k2.src, b.hops + 1 from bfs b join k k1 on k1.src = b.src
-                   join k k2 on k2.dst = k1.dst where b.hops < 4)""").replace("WITH ", "WITH RECURSIVE ", 1)
+                   join k k2 on k2.dst = k1.dst where b.hops < 64)""").replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 @register("b32_distance_to_fraud", _B32_SQL)
@@ -99,7 +100,7 @@ def b32_distance_to_fraud(spark, sf):
     seeds = (d.where((F.col("final_status") == "lost") & (F.col("reason") == "fraudulent")
                      & (F.col("resolved_at") < F.lit(LABEL_AS_OF).cast("timestamp_ntz")))
               .join(t.select("txn_id", "customer_id"), "txn_id").select(F.col("customer_id").alias("src")))
-    return graph.distance(fx.f_edges(spark, sf), seeds, max_hops=4)
+    return graph.distance(graph.as_of(fx.f_edges(spark, sf), LABEL_AS_OF), seeds)
 
 
 # ------------------------------------------------------------------ labels
@@ -317,7 +318,7 @@ def b56_threshold_sweep(spark, sf):
 
 # ------------------------------------------------------------------ evaluation
 
-_PR_CTES = """per AS (select floor(risk_score / 100.0 * 10000) / 10000 as threshold,
+_PR_CTES = """per AS (select risk_score / 100.0 as threshold,
                count(*) filter (where is_fraud) as pos, count(*) filter (where not is_fraud) as neg
         from f_txns group by 1),
 cur AS (select threshold, pos, neg,
@@ -438,33 +439,35 @@ def b63_evidence_bundle(spark, sf):
     return present(evidence.bundle(_merchant_inputs(spark, sf), "merchant_id", _BUNDLE_COLS))
 
 
+# Claims of four numbers with literal text between them: "payments N, dispute rate D. range R-4 customers C."
 _CLAIM_SQL = """cl AS (
   select merchant_id as claim_id, merchant_id as entity,
-    'payments ' || cast(txns_30d as varchar) || ' dispute_rate ' ||
-    cast(floor(coalesce(dispute_rate_30d, 0) * 10000 + 0.5) / 10000 as varchar) ||
-    ' customers ' || cast(txns_30d + 1000 as varchar) as text
+    [cast(txns_30d as varchar), cast(floor(coalesce(dispute_rate_30d, 0) * 10000 + 0.5) / 10000 as varchar),
+     cast(txns as varchar), '4', cast(txns_30d + 1000 as varchar)] as n,
+    ['payments ', ', dispute rate ', '. range ', '-', ' customers ', '.'] as t
   from mi),
-nums AS (select claim_id, entity, unnest(regexp_extract_all(text, '-?[0-9]+(?:\\.[0-9]+)?')) as num from cl),
 bv AS (select distinct entity, round(value, 4) as v from (""" + _BUNDLE_SQL + """)),
-chk AS (select n.claim_id, n.num, bv.v is not null as ok
-        from nums n left join bv on n.entity = bv.entity and round(cast(n.num as double), 4) = bv.v)"""
+chk AS (select *, list_transform(n, lambda x: list_contains(vs, round(cast(x as double), 4))) as ok
+        from cl join (select entity as e, list(v) as vs from bv group by 1) on e = entity)"""
 
 
 @register("b64_claim_verification", with_views(["f_txns", "f_disputes"], """
-select cl.claim_id, cl.entity, cl.text, count(c.num) as numbers, count(c.num) filter (where not c.ok) as unsupported,
-       array_to_string(list_transform(string_split(cl.text, ' '), lambda x: case when list_contains(
-         list(c.num) filter (where not c.ok), x) then '[unverified]' else x end), ' ') as verified_text,
-       count(c.num) filter (where not c.ok) = 0 as passed
-from cl left join chk c on cl.claim_id = c.claim_id group by cl.claim_id, cl.entity, cl.text""",
-                                                  ctes=_MERCHANT_INPUT_CTES + ",\n" + _CLAIM_SQL))
+select claim_id, entity, t[1] || n[1] || t[2] || n[2] || t[3] || n[3] || t[4] || n[4] || t[5] || n[5] || t[6] as text,
+       cast(5 as bigint) as numbers, cast(len(list_filter(ok, lambda x: not x)) as bigint) as unsupported,
+       t[1] || case when ok[1] then n[1] else '[unverified]' end || t[2] || case when ok[2] then n[2] else '[unverified]' end
+         || t[3] || case when ok[3] then n[3] else '[unverified]' end || t[4] || case when ok[4] then n[4] else '[unverified]' end
+         || t[5] || case when ok[5] then n[5] else '[unverified]' end || t[6] as verified_text,
+       len(list_filter(ok, lambda x: not x)) = 0 as passed
+from chk""", ctes=_MERCHANT_INPUT_CTES + ",\n" + _CLAIM_SQL))
 def b64_claim_verification(spark, sf):
     from marketlake.plans.present import round_half_away
     mi = _merchant_inputs(spark, sf)
     claims = mi.select(
         F.col("merchant_id").alias("claim_id"), F.col("merchant_id").alias("entity"),
-        F.concat(F.lit("payments "), F.col("txns_30d").cast("string"), F.lit(" dispute_rate "),
+        F.concat(F.lit("payments "), F.col("txns_30d").cast("string"), F.lit(", dispute rate "),
                  round_half_away(F.coalesce("dispute_rate_30d", F.lit(0.0)), 4).cast("string"),
-                 F.lit(" customers "), (F.col("txns_30d") + 1000).cast("string")).alias("text"))
+                 F.lit(". range "), F.col("txns").cast("string"), F.lit("-4 customers "),
+                 (F.col("txns_30d") + 1000).cast("string"), F.lit(".")).alias("text"))
     v = evidence.verify(claims, evidence.bundle(mi, "merchant_id", _BUNDLE_COLS))
     return v.select("claim_id", "entity", "text", "numbers", "unsupported", "verified_text", "passed")
 

@@ -75,6 +75,14 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+def discard(df) -> None:
+    """Delete the files of a table made by :func:`materialize` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Session settings for a job reading ``input_bytes`` on ``cores`` executor cores.
 

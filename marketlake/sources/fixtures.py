@@ -168,7 +168,9 @@ def f_edges(spark: SparkSession, sf: str) -> DataFrame:
         # two of ten customers share an address, the others have their own
         F.struct(F.lit("customer_ip").alias("kind"),
                  F.expr("case when c_custkey % 5 = 0 then 200000000 + c_custkey div 10 else 300000000 + c_custkey end").alias("dst")))
-    return table(spark, sf, "customer").select(c.alias("src"), F.inline(kinds)).select("kind", "src", "dst")
+    seen = F.expr("timestamp_ntz'2023-12-01 00:00:00' + make_dt_interval(cast(c_custkey % 90 as int))")
+    return (table(spark, sf, "customer").select(c.alias("src"), seen.alias("valid_from"), F.inline(kinds))
+            .select("kind", "src", "dst", "valid_from"))
 
 
 def f_agents(spark: SparkSession, sf: str) -> DataFrame:
@@ -218,7 +220,7 @@ def f_sessions(spark: SparkSession, sf: str) -> DataFrame:
             .selectExpr(
                 "user_id * 100 + d as session_id", "user_id as customer_id", "user_id % 50 as agent_id",
                 "t0 - make_dt_interval(0, 0, 0, e0 % 90) as started_at", "t1 as ended_at",
-                "e0 % 8 <> 0 as user_intent_present", "cast(e0 % 12 as int) as tool_calls_count"))
+                "e0 % 8 <> 0 as user_intent_present", "cast(e0 % 12 as int) as tool_calls_count", "cast(10 + e0 % 50 as int) as tool_call_every_s"))
 
 
 FIXTURES = {

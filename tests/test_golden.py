@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from marketlake.functions.exprs import clip01, minor_to_major, smooth
+from marketlake.functions.exprs import clip01, minor_to_major, shrunk
 from marketlake.operators import dedupe, gold, silver
 
 T0 = dt.datetime(2024, 1, 1)
@@ -62,8 +62,8 @@ def test_clip01_of_null_is_one(spark):
 
 
 def test_smoothing_pulls_small_samples_to_the_prior(spark):
-    r = spark.range(1).select(smooth(F.lit(1), F.lit(1), F.lit(0.5), 10).alias("s"),
-                              smooth(F.lit(None), F.lit(None), F.lit(0.5), 10).alias("empty")).first()
+    r = spark.range(1).select(shrunk(F.lit(1), F.lit(1), F.lit(0.5), 10).alias("s"),
+                              shrunk(F.lit(None), F.lit(None), F.lit(0.5), 10).alias("empty")).first()
     assert abs(r.s - (1 + 5) / 11) < 1e-12 and r.empty == 0.5
 
 
@@ -74,11 +74,11 @@ def test_bad_flag_is_null_for_unreviewed_open_orders(spark):
          (3, 10, "delivered", 5, T0, T0 + dt.timedelta(days=1), T0 + dt.timedelta(days=9), T0 + dt.timedelta(days=5), T0 + dt.timedelta(days=2))],
         "order_id int, seller_id int, order_status string, score int, approved_at timestamp_ntz, "
         "carrier_at timestamp_ntz, delivered_at timestamp_ntz, estimated_at timestamp_ntz, ship_by timestamp_ntz")
-    f = {r.order_id: r for r in gold.delivery_flags(os_).collect()}
-    assert f[1].bad is None and f[2].bad == 1 and f[3].bad == 0
-    assert f[3].delay_days == 4 and f[3].late == 1 and f[3].late_and_happy == 1 and f[3].on_time == 0
-    assert f[1].on_time is None and f[1].handoff_ok == 1 and f[3].handoff_ok == 1
-    assert abs(f[3].handoff_days - 1.0) < 1e-12
+    f = {r.order_id: r for r in gold.order_facts(os_).collect()}
+    assert f[1].went_wrong is None and f[2].went_wrong is True and f[3].went_wrong is False
+    assert f[3].days_over == f[3].days_late == 4 and f[3].liked_though_late is True
+    assert f[1].days_over is None and f[1].handed_in_time is True and f[3].handed_in_time is True
+    assert abs(f[3].days_to_carrier - 1.0) < 1e-12
 
 
 def test_spot_fx_matches_lower_case_event_currencies(spark):

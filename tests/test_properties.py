@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from marketlake.functions.exprs import smooth
+from marketlake.functions.exprs import shrunk
 from marketlake.operators import dedupe, quality
 
 T0 = dt.datetime(2024, 1, 1)
@@ -46,7 +46,7 @@ def test_split_is_lossless(spark, data):
 @given(st.integers(0, 50), st.integers(0, 50), st.floats(0, 1), st.sampled_from([5, 10]))
 def test_smoothing_lies_between_rate_and_prior(spark, k, extra, p, m):
     n = k + extra
-    v = spark.range(1).select(smooth(F.lit(k), F.lit(n), F.lit(p), m).alias("s")).first().s
+    v = spark.range(1).select(shrunk(F.lit(k), F.lit(n), F.lit(p), m).alias("s")).first().s
     lo, hi = (min(k / n, p), max(k / n, p)) if n else (p, p)
     assert lo - 1e-12 <= v <= hi + 1e-12
 
