@@ -105,3 +105,25 @@ def test_channel_risk_fills_counts_not_averages(spark):
     out = {r.initiation_channel: r for r in gold.channel_risk(ev).collect()}
     # human has disputes but no payments -> dropped; agent's NULL average stays NULL
     assert set(out) == {"agent"} and out["agent"].avg_amount_usd is None and out["agent"].disputes == 1
+
+
+def test_claims_are_judged_number_by_number(spark):
+    from marketlake.operators import evidence
+
+    claims = spark.createDataFrame([(1, 7, "dispute rate is 0.91."), (2, 7, "range 5-3 and -2, v1.2.3, 0.5"), (3, 8, "none here"), (4, 7, "3 of 3 but 33")],
+                                   "claim_id int, entity int, text string")
+    facts = spark.createDataFrame([(7, "a", 3.0), (7, "b", -2.0), (7, "c", 0.5)], "entity int, feature string, value double")
+    out = {r.claim_id: (r.numbers, r.unsupported, r.verified_text) for r in evidence.verify(claims, facts).collect()}
+    assert out == {1: (1, 1, "dispute rate is [unverified]."), 2: (4, 1, "range [unverified]-3 and -2, v1.2.3, 0.5"),
+                   3: (0, 0, "none here"), 4: (3, 1, "3 of 3 but [unverified]")}
+
+
+def test_pr_curve_keeps_every_score(spark):
+    from marketlake.operators import evaluate
+
+    df = spark.range(5000).selectExpr("id / 5000.0D as p_fraud", "id % 7 = 0 as is_fraud")
+    curve = evaluate.pr_curve(df)
+    last = curve.orderBy("threshold").first()
+    assert curve.count() == 5000 and (last.tp, last.fp, last.recall) == (715, 4285, 1.0)
+    middle = curve.where("threshold = 0.5").first()
+    assert (middle.tp, middle.fp) == (sum(i % 7 == 0 for i in range(2500, 5000)), sum(i % 7 != 0 for i in range(2500, 5000)))

@@ -41,7 +41,7 @@ def test_distance_and_shared_counts(spark):
                               "kind string, src long, dst long")
     seeds = spark.createDataFrame([(1,)], "src long")
     dist = {r.src: r.distance_to_confirmed_fraud for r in graph.distance(e, seeds, 4).collect()}
-    assert dist == {1: 0, 2: 1, 3: 2}
+    assert dist == {1: 0, 2: 1, 3: 2, 4: None}
     shared = {r.src: r.shared_d_count for r in graph.shared(e, "d").collect()}
     assert shared == {1: 1, 2: 2, 3: 1, 4: 0}
 
@@ -52,3 +52,33 @@ def test_components_on_a_long_chain(spark):
     e = spark.createDataFrame([("k", a, b) for a, b in edges], "kind string, src long, dst long")
     comps = {r.component for r in graph.components(e).collect()}
     assert comps == {0}
+
+
+def test_distance_has_no_bound_and_tells_every_source(spark):
+    path = [("k", i, 100 + i) for i in range(10)] + [("k", i + 1, 100 + i) for i in range(9)] + [("k", 50, 900)]
+    e = spark.createDataFrame(path, "kind string, src long, dst long")
+    seeds = spark.createDataFrame([(0,), (0,), (77,)], "src long")
+    dist = {r.src: r.distance_to_confirmed_fraud for r in graph.distance(e, seeds).collect()}
+    assert dist == {i: i for i in range(10)} | {50: None, 77: 0}
+    assert {r.src for r in graph.distance(e, seeds, 3).where("distance_to_confirmed_fraud is null").collect()} == {4, 5, 6, 7, 8, 9, 50}
+
+
+def test_edges_as_of_a_time(spark):
+    e = spark.createDataFrame([("k", 1, 9, "2024-01-01"), ("k", 2, 9, "2024-01-02")], "kind string, src long, dst long, v string") \
+        .selectExpr("kind", "src", "dst", "cast(v as timestamp_ntz) as valid_from")
+    assert [r.src for r in graph.as_of(e, "2024-01-02 00:00:00").collect()] == [1]
+
+
+def test_delegation_follows_long_chains_and_names_cycles(spark):
+    from marketlake.operators.features import delegation
+
+    rows = [(i, i - 1 if i else None, i == 3, i) for i in range(70)] + [(200, 202, False, 1), (201, 200, False, 1), (202, 201, True, 1), (203, 202, False, 1), (300, 999, False, 1)]
+    m = spark.createDataFrame(rows, "mandate_id long, parent_mandate_id long, r boolean, max_amount_per_txn long") \
+        .selectExpr("*", "case when r then timestamp_ntz'2024-01-01 00:00:00' end as revoked_at").drop("r")
+    out = {r.mandate_id: r for r in delegation(m).collect()}
+    assert len(out) == len(rows)
+    for i in range(70):
+        assert (out[i].delegation_depth, out[i].root_mandate_id, out[i].parent_mandate_revoked, out[i].delegation_cycle) == (i, 0, i > 3, False)
+    for i in (200, 201, 202, 203):
+        assert (out[i].delegation_depth, out[i].root_mandate_id, out[i].delegation_cycle) == (None, None, True)
+    assert (out[300].delegation_depth, out[300].root_mandate_id) == (0, 300)
