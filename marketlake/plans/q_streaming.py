@@ -32,17 +32,16 @@ select distinct event_id, event_type, api_version, created, payload from f_event
 def b02_stream_dedupe(spark, sf):
     root = _landed(spark, sf, "dedupe")
     ingest.dedupe_to(spark, f"{root}/landing", f"{root}/dedup", f"{root}/_ckpt")
-    return spark.read.parquet(f"{root}/dedup").select("event_id", "event_type", "api_version", "created", "payload")
+    return spark.read.parquet(f"{root}/dedup/batch=*").select("event_id", "event_type", "api_version", "created", "payload")
 
 
 @register("b14_stream_velocity", with_views(["f_events_raw"], """
-select window_start, window_start + interval 5 minute as window_end, event_type, count(*) as events
-from (select time_bucket(interval 1 minute, created) - to_minutes(k) as window_start, event_type
+select window_start, window_start + interval 5 minute as window_end, account_id, count(*) as events
+from (select time_bucket(interval 1 minute, created) - to_minutes(k) as window_start,
+             json_extract_string(payload, '$.on_behalf_of') as account_id
       from f_events_raw, range(0, 5) r(k))
-where window_start + interval 5 minute <= (select max(created) from f_events_raw) - interval 10 minute
 group by 1, 2, 3"""))
 def b14_stream_velocity(spark, sf):
     root = _landed(spark, sf, "velocity")
-    ingest.velocity_to(spark, f"{root}/landing", f"{root}/velocity", f"{root}/_ckpt", "event_type")
-    return spark.read.parquet(f"{root}/velocity").select("window_start", "window_end", "event_type", "events")
-
+    ingest.velocity_to(spark, f"{root}/landing", f"{root}/velocity", f"{root}/_ckpt")
+    return ingest.velocity_complete(spark, f"{root}/landing", f"{root}/velocity")

@@ -30,6 +30,22 @@ def test_stream_dedupe_equals_batch_distinct(spark, sf):
     raw = fx.f_events_raw(spark, sf)
     ingest.land_jsonl(raw, f"{root}/landing")
     ingest.dedupe_to(spark, f"{root}/landing", f"{root}/out", f"{root}/ckpt")
-    got = spark.read.parquet(f"{root}/out").select("event_id", "payload")
+    got = spark.read.parquet(f"{root}/out/batch=*").select("event_id", "payload")
+    want = raw.select("event_id", "payload").distinct()
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_no_first_receipt_is_lost_over_many_drops(spark, sf):
+    """Events arrive out of order by up to two hours, in seven drops with redeliveries across them, then all again."""
+    root = shared_scratch(spark, f"test-stream/{uuid.uuid4().hex}")
+    raw = fx.f_events_raw(spark, sf)
+    cuts = [f"2024-01-{d:02d}" for d in (1, 4, 8, 12, 16, 20, 25)] + ["2100-01-01"]
+    for low, high in zip(cuts, cuts[1:]):
+        part = raw.where((F.col("ingested_at") >= F.lit(low).cast("timestamp_ntz")) & (F.col("ingested_at") < F.lit(high).cast("timestamp_ntz")))
+        ingest.land_jsonl(part, f"{root}/landing", files=2)
+        ingest.dedupe_to(spark, f"{root}/landing", f"{root}/out", f"{root}/ckpt", max_files_per_trigger=1)
+    ingest.land_jsonl(raw, f"{root}/landing")
+    ingest.dedupe_to(spark, f"{root}/landing", f"{root}/out", f"{root}/ckpt")
+    got = spark.read.parquet(f"{root}/out/batch=*").select("event_id", "payload")
     want = raw.select("event_id", "payload").distinct()
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
