@@ -78,14 +78,14 @@ def agreement(a: np.ndarray, b: np.ndarray, functions: int) -> np.ndarray:
     return functions - np.bitwise_count((x | (x >> np.uint64(1))) & _PAIRS).sum(axis=1, dtype=np.int64)
 
 
-def neighbours(ordered: DataFrame, functions: int, ratio: float, ahead: int, taken: int, edges: bool) -> DataFrame:
-    """Pairs (a, b) of classes within ``ahead`` rows of each other in the sorted partitions of ``ordered`` (head, rest,
-    rep, n, bits) that have the same head and about the same sketch (bits). With ``edges``, also each partition's
-    first and last rows, for pairs across partitions."""
-    # J >= ratio means that 2-bit values agree with probability 1/4 + 3/4 J or more: six deviations below that
+def neighbours(ordered: DataFrame, functions: int, ratio: float, deviations: float, ahead: int, taken: int, edges: bool) -> DataFrame:
+    """Pairs (a, b) of classes within ``ahead`` rows of each other in the sorted partitions of ``ordered`` (head, any
+    rest, rep, n, bits) that have the same head and about the same sketch (bits). With ``edges``, also each
+    partition's first and last rows, for pairs across partitions."""
+    # J >= ratio means that 2-bit values agree with probability 1/4 + 3/4 J or more
     expect = 0.25 + 0.75 * ratio
-    least = functions * (expect - 6 * (expect * (1 - expect) / functions) ** 0.5)
-    names = ["head", "rest", "rep", "n", "bits"]
+    least = functions * (expect - deviations * (expect * (1 - expect) / functions) ** 0.5)
+    names = ordered.columns
     fields = {f.name: f.dataType.simpleString() for f in ordered.schema.fields}
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,21 +135,21 @@ def neighbours(ordered: DataFrame, functions: int, ratio: float, ahead: int, tak
         none = pa.nulls(own.num_rows, own.column("rep").type)
         return pa.RecordBatch.from_arrays([none, none, *own.columns], ["a", "b", *names])
 
-    return ordered.select(*names).mapInArrow(
+    return ordered.mapInArrow(
         rows, f"a {fields['rep']}, b {fields['rep']}, " + ", ".join(f"{c} {fields[c]}" for c in names))
 
 
-def adjacent(rows: DataFrame, functions: int, ratio: float, ahead: int = AHEAD, taken: int = TAKEN) -> DataFrame:
-    """Sort ``rows`` (head, rest, rep, n, bits) over many tasks and return the distinct pairs of :func:`neighbours`.
+def adjacent(rows: DataFrame, functions: int, ratio: float, order: list[str], deviations: float = 6, ahead: int = AHEAD,
+             taken: int = TAKEN) -> DataFrame:
+    """Sort ``rows`` (head, any rest, rep, n, bits) over many tasks and return the distinct pairs of :func:`neighbours`.
 
-    Ranges are cut on head, rest and rep, so rows with one head spread over as many tasks as they need."""
+    Ranges are cut on the whole order, rep included, so rows with one head spread over as many tasks as they need."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["head", "rest", "rep"]
     ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    found = written(neighbours(ordered, functions, ratio, ahead, taken, True), "near")
+    found = written(neighbours(ordered, functions, ratio, deviations, ahead, taken, True), "near")
     # where partitions meet: 2 * ahead rows of each
     seams = found.where("a is null").coalesce(1).sortWithinPartitions(*order)
-    across = neighbours(seams, functions, ratio, ahead, taken, False)
+    across = neighbours(seams.select(*rows.columns), functions, ratio, deviations, ahead, taken, False)
     both = found.where("a is not null").select("a", "b").unionByName(across.select("a", "b")).where("a != b")
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -172,7 +172,7 @@ def candidates(classes: DataFrame, ratio: float, trees: int = TREES, depth: int
                     ["head", "rest", "rep", "n", "bits"])
 
     forest = classes.select("rep", "n", "sig").mapInArrow(planted, "head long, rest binary, rep long, n long, bits binary")
-    return adjacent(forest, trees * depth, ratio)
+    return adjacent(forest, trees * depth, ratio, ["head", "rest", "rep"])
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
