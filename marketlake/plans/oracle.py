@@ -77,12 +77,15 @@ r as (
          case when event_id % 100 = 0 then '2099-01-01.unknown' when event_id % 97 = 1 then null
               when event_id % 4 = 0 then '2023-10-16' when event_id % 4 = 1 then '2024-06-20' else '2025-03-31' end as api_version,
          created, created + to_seconds((event_id * 3701) % 7200) as ingested_at,
-         '{"object":"' || split_part(typ, '.', 1) || '","id":"obj_' || event_id
+         '{"object":"' || split_part(typ, '.', 1) || '","id":"obj_' || event_id // 3
          || '","amount":' || cast(round(value * case when ccy = 'jpy' then 110 else 100 end) as bigint)
          || ',"currency":"' || ccy || '","on_behalf_of":"acct_' || (user_id % 40) || '","initiation_channel":"' || chan || '"'
          || case when chan <> 'human_initiated' then ',"mandate_id":"mand_' || (user_id % 60) || '","mandate_violation":'
-              || case when event_id % 17 = 0 then 'true' else 'false' end else '' end
-         || case when typ = 'charge.dispute.created' then ',"charge":"ch_' || event_id || '","reason":"'
+              || case when event_id % 17 = 0 then 'true' else 'false' end
+              || ',"metadata":{"agent_id":"agt_' || (user_id % 50) || '","session_id":"ses_' || (event_id % 300)
+              || '","attestation_token_hash":"h' || (event_id % 7) || '","human_confirmed":"'
+              || case when event_id % 3 = 0 then 'true' else 'false' end || '"}' else '' end
+         || case when typ = 'charge.dispute.created' then ',"charge":"' || case when event_id % 2 = 0 then 'obj_' || (event_id + 3) // 3 else 'ch_' || event_id end || '","reason":"'
               || case when event_id % 2 = 0 then 'fraudulent' else 'product_not_received' end || '"' else '' end || '}' as payload,
          event_id as k from t)
 select event_id, event_type, api_version, created, ingested_at, payload, false as livemode from r

@@ -12,6 +12,7 @@ from marketlake.plans.present import present
 from marketlake.plans.q_tier_a import EVENT_VIEWS, SQL_EVENTS, silver_events
 from marketlake.sources import fixtures as fx
 
+_REVIEW_CAPACITY = 200  # below the busiest days' candidates, so that the cap is seen at work
 GRAPH_AS_OF = "2024-02-15 00:00:00"
 LABEL_AS_OF = "2024-05-15 00:00:00"
 TRUST_AS_OF = "2024-01-29 00:00:00"
@@ -258,7 +259,7 @@ pd AS (select *, case when 5.0 < cost_approve and 5.0 < cost_decline then 'REVIE
 rk AS (select txn_id, row_number() over (partition by cast(ts as date)
                                          order by least(cost_approve, cost_decline) - cost_review desc, txn_id) as rnk
        from pd where d0 = 'REVIEW'),
-pcap AS (select pd.*, case when d0 = 'REVIEW' and rk.rnk > 400
+pcap AS (select pd.*, case when d0 = 'REVIEW' and rk.rnk > 200
                            then case when cost_approve > cost_decline then 'DECLINE' else 'APPROVE' end
                            else d0 end as d1
          from pd left join rk on pd.txn_id = rk.txn_id),
@@ -274,7 +275,7 @@ _DEC_VIEWS = ["f_txns", "f_sessions", "f_mandates"]
 def decisions(spark, sf):
     t = fx.f_txns(spark, sf).withColumn("p_fraud", F.col("risk_score") / 100.0)
     s = fx.f_sessions(spark, sf).select("session_id", "user_intent_present")
-    d = policy.cap_review(policy.costs(t.join(s, "session_id", "left")), policy.REVIEW_CAPACITY_PER_DAY)
+    d = policy.cap_review(policy.costs(t.join(s, "session_id", "left")), _REVIEW_CAPACITY)
     d = policy.decide(policy.step_up(d, fx.f_mandates(spark, sf)))
     return (d.withColumn("caught", F.col("decision") != "APPROVE")
              .withColumn("baseline_flag", F.col("risk_score") >= 75))
@@ -294,7 +295,7 @@ select cast(ts as date)::timestamp as day, count(*) filter (where d0 = 'REVIEW')
 def b53_review_queue(spark, sf):
     t = fx.f_txns(spark, sf).withColumn("p_fraud", F.col("risk_score") / 100.0)
     c = policy.costs(t)
-    capped = policy.cap_review(c, policy.REVIEW_CAPACITY_PER_DAY)
+    capped = policy.cap_review(c, _REVIEW_CAPACITY)
     cand = c.groupBy(F.to_date("ts").alias("day")).agg(F.count_if(F.col("decision") == "REVIEW").alias("review_candidates"))
     kept = capped.groupBy(F.to_date("ts").alias("day")).agg(F.count_if(F.col("decision") == "REVIEW").alias("review_kept"))
     return present(cand.join(kept, "day"))
@@ -404,11 +405,11 @@ def b61_dollars(spark, sf):
 
 @register("b61_queues", with_views(_DEC_VIEWS, """
 select cast(ts as date)::timestamp as day, count(*) filter (where decision = 'REVIEW') as review,
-       count(*) filter (where decision = 'STEP_UP') as step_up, 400 as capacity,
-       count(*) filter (where decision = 'REVIEW') > 400 as over_capacity
+       count(*) filter (where decision = 'STEP_UP') as step_up, 200 as capacity,
+       count(*) filter (where decision = 'REVIEW') > 200 as over_capacity
 from dc group by 1""", ctes=_DECISION_CTES))
 def b61_queues(spark, sf):
-    return present(evaluate.queues(decisions(spark, sf), policy.REVIEW_CAPACITY_PER_DAY))
+    return present(evaluate.queues(decisions(spark, sf), _REVIEW_CAPACITY))
 
 
 @register("b67_compare_sample", with_views(_DEC_VIEWS, """

@@ -131,15 +131,18 @@ def f_events_raw(spark: SparkSession, sf: str) -> DataFrame:
         """case when k % 100 = 0 then '2099-01-01.unknown' when k % 97 = 1 then null
                 when k % 4 = 0 then '2023-10-16' when k % 4 = 1 then '2024-06-20' else '2025-03-31' end as api_version""",
         "created", "created + make_dt_interval(0, 0, 0, (k * 3701) % 7200) as ingested_at",
-        """concat('{"object":"', split_part(typ, '.', 1), '","id":"obj_', k,
+        """concat('{"object":"', split_part(typ, '.', 1), '","id":"obj_', k div 3,
                   '","amount":', cast(round(value * case when ccy = 'jpy' then 110 else 100 end) as bigint),
                   ',"currency":"', ccy, '","on_behalf_of":"acct_', user_id % 40, '","initiation_channel":"', chan, '"',
                   case when chan <> 'human_initiated'
                        then concat(',"mandate_id":"mand_', user_id % 60, '","mandate_violation":',
-                                   case when k % 17 = 0 then 'true' else 'false' end)
+                                   case when k % 17 = 0 then 'true' else 'false' end,
+                                   ',"metadata":{"agent_id":"agt_', user_id % 50, '","session_id":"ses_', k % 300,
+                                   '","attestation_token_hash":"h', k % 7, '","human_confirmed":"',
+                                   case when k % 3 = 0 then 'true' else 'false' end, '"}')
                        else '' end,
                   case when typ = 'charge.dispute.created'
-                       then concat(',"charge":"ch_', k, '","reason":"',
+                       then concat(',"charge":"', case when k % 2 = 0 then concat('obj_', (k + 3) div 3) else concat('ch_', k) end, '","reason":"',
                                    case when k % 2 = 0 then 'fraudulent' else 'product_not_received' end, '"')
                        else '' end,
                   '}') as payload""")

@@ -61,18 +61,17 @@ def write_document(doc: DataFrame, path: str) -> None:
     doc.coalesce(1).write.mode("overwrite").text(path)
 
 
-def compact(spark: SparkSession, src: str, dst: str, rows_per_file: int, partition_by: str | None = None,
-            target_files: int | None = None, salts: int = 8) -> int:
+def compact(spark: SparkSession, src: str, dst: str, rows_per_file: int, partition_by: str | None = None) -> int:
     """Rewrite a table into files of at most ``rows_per_file`` rows (small-file compaction).
 
-    Rows are hashed on ``(partition value, row-hash salt)``: one partition value is spread over at
-    most ``salts`` tasks, so a day holding a third of the table does not land in one task; the
-    row cap per file bounds file size. The salt is a hash of the row, so a retried task rebuilds
-    exactly the same files."""
+    Every partition value is dealt to as many tasks as it fills files, by a hash of the row: a day that
+    holds a third of the table spreads over many tasks, a tiny day is one file, and a retried task
+    rebuilds exactly the same files."""
     df = spark.read.parquet(src)
-    if partition_by:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
-        df = df.repartition(target_files or spark.sparkContext.defaultParallelism, F.col(partition_by), salt)
-    elif target_files:
-        df = df.repartition(target_files)
-    return write_counted(df, dst, partition_by=partition_by, max_records_per_file=rows_per_file)
+    value = F.col(partition_by) if partition_by else F.lit(0)
+    files = df.groupBy(value.alias("_value")).agg(F.ceil(F.count("*") / rows_per_file).cast("long").alias("_files"))
+    total = files.agg(F.sum("_files")).first()[0] or 1
+    row = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("_files"))
+    dealt = (df.join(files, value.eqNullSafe(F.col("_value"))).withColumn("_file", row)
+             .repartition(max(int(total), 1), "_value", "_file").drop("_value", "_files", "_file"))
+    return write_counted(dealt, dst, partition_by=partition_by, max_records_per_file=rows_per_file)

@@ -9,20 +9,7 @@ DRIVER_TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-# One relation per (session, path), kept on the session object itself: listing files and reading
-# footers happens once per table, every consumer's projection and filters still reach the scan
-# (``ReadSchema`` / ``PushedFilters``), and a new session never sees another session's relations.
-_ATTR = "_marketlake_relations"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one driver table (lazy; nothing is cached in memory)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    cache = getattr(spark, _ATTR, None)
-    if cache is None:
-        cache = {}
-        setattr(spark, _ATTR, cache)
-    df = cache.get(path)
-    if df is None:
-        df = cache[path] = spark.read.parquet(path)
-    return df
+    """Parquet scan of one driver table (lazy; files are listed anew, so files added since are seen)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
