@@ -178,7 +178,8 @@ def candidates(classes: DataFrame, ratio: float, trees: int = TREES, depth: int
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Those pairs of documents whose sets have 100 * intersection >= percent * union."""
     need = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    full = written(sets(docs.join(need, "doc_id", "left_semi"), keep=True).where("n_shingles > 0")
+    # by merging at every size: a broadcast would only be right while the pairs are few
+    full = written(sets(docs.join(need.hint("merge"), "doc_id", "left_semi"), keep=True).where("n_shingles > 0")
                    .select("doc_id", "set"), "sets")
 
     paired = (pairs.join(full.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a")
