@@ -36,6 +36,8 @@ CLASSES = 64
 ROUNDS = 10
 KNOWN = 1 << 18  # words whose counts every task has; the counts of others are joined
 HELD = 1 << 21  # words that a task counts before it hands them on
+PAIRS = 1 << 20  # unit pairs in a row of the table of bigrams
+CHUNK = 64  # units whose counts travel together
 SHARE = 2.0  # weight of a class's overall share in its transition probabilities
 _U = np.uint64
 
@@ -111,7 +113,8 @@ def with_ends(values: np.ndarray, words: Words, end: int) -> np.ndarray:
 
 
 def unit_bigrams(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """a, b, n: how often unit b follows unit a, added up per task only. The last unit number is the end's."""
+    """How often unit b follows unit a, added up per task only, in blocks: pairs (a * units + b, 32 bits) and counts (32
+    bits) as two binary values. The last unit number is the end's."""
     end = len(frequent) + ENDINGS
     share = texts.sparkSession.sparkContext.broadcast(frequent)  # UNITS hashes at most
 
@@ -127,40 +130,47 @@ def unit_bigrams(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
                 held = [summed(*map(np.concatenate, zip(*held)))]
                 size = merged = len(held[0][0])
                 if merged > HELD:
-                    yield batch(*held.pop())
+                    yield from cut(*held.pop())
                     size = merged = 0
         if held:
-            yield batch(*summed(*map(np.concatenate, zip(*held))))
+            yield from cut(*summed(*map(np.concatenate, zip(*held))))
 
-    def batch(pair: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array((pair // (end + 1)).astype(np.int32)), pa.array((pair % (end + 1)).astype(np.int32)),
-                                           pa.array(n)], ["a", "b", "n"])
+    def cut(pair: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(pair), PAIRS):
+            values = [x[k : k + PAIRS].astype(np.uint32).tobytes() for x in (pair, n)]
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in values], ["pairs", "counts"])
 
-    return texts.select("text").mapInArrow(rows, "a int, b int, n long")
+    return texts.select("text").mapInArrow(rows, "pairs binary, counts binary")
 
 
 def neighbours_by_class(bigrams: DataFrame, label: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each unit: how often each class stands before it, and after it, and how often it follows itself.
 
-    What comes back has units * (2 * classes + 1) numbers, whatever the corpus."""
-    size = len(label)
+    What a task hands on, and what comes back, has units * (2 * classes + 1) numbers, whatever the corpus."""
+    units, width = len(label), 2 * classes + 1
 
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((size, 2 * classes + 1), dtype=np.int64)
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(units * width, dtype=np.int64)
         for batch in batches:
-            a, b, n = (batch.column(c).to_numpy() for c in ("a", "b", "n"))
-            flat = total.reshape(-1)
-            width = 2 * classes + 1
-            for at, weight in ((b.astype(np.int64) * width + label[a], n), (a.astype(np.int64) * width + classes + label[b], n),
-                               (a[a == b].astype(np.int64) * width + 2 * classes, n[a == b])):
-                flat += np.bincount(at, weights=weight, minlength=len(flat)).astype(np.int64)
-        hit = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total.reshape(-1)[hit])], ["at", "n"])
-
-    found = bigrams.mapInArrow(rows, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(size * (2 * classes + 1))
-    out[found["at"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=float)
-    out = out.reshape(size, -1)
+            for pairs, counts in zip(batch.column("pairs"), batch.column("counts")):
+                pair, n = (np.frombuffer(x.as_buffer(), np.uint32) for x in (pairs, counts))
+                a, b = np.divmod(pair.astype(np.int64), units)
+                own = a == b
+                for at, weight in ((b * width + label[a], n), (a * width + classes + label[b], n), (a[own] * width + 2 * classes, n[own])):
+                    total += np.bincount(at, weights=weight, minlength=len(total)).astype(np.int64)
+        rows = total.reshape(units, width)
+        parts = [rows[k : k + CHUNK].tobytes() for k in range(0, units, CHUNK)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts), dtype=np.int32)), pa.array(parts, pa.binary())], ["chunk", "part"])
+
+    def add(group: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_buffer(), np.int64) for x in group.column("part"))
+        return pa.table({"chunk": group.column("chunk").slice(0, 1), "part": pa.array([total.tobytes()], pa.binary())})
+
+    found = bigrams.mapInArrow(count, "chunk int, part binary").groupBy("chunk").applyInArrow(add, "chunk int, part binary").toArrow()
+    out = np.zeros((units, width))
+    for chunk, part in zip(found.column("chunk").to_pylist(), found.column("part").to_pylist()):
+        own = np.frombuffer(part, np.int64).reshape(-1, width)
+        out[chunk * CHUNK : chunk * CHUNK + len(own)] = own
     return out[:, :classes], out[:, classes:-1], out[:, -1]
 
 
@@ -251,17 +261,17 @@ def learn(texts: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> tup
     counts = written(word_counts(texts), "words")
     ends = texts.count()
     stats = counts.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).select("word", "n").toPandas()  # bounded by KNOWN
-    word, n = top["word"].to_numpy(dtype=np.int64).view(np.uint64), top["n"].to_numpy(dtype=np.int64)
+    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).select("word", "n").toArrow()  # bounded by KNOWN
+    word, n = top["word"].to_numpy().view(np.uint64), top["n"].to_numpy()
     frequent = np.sort(word[:UNITS])
     spark = texts.sparkSession
     units = spark.createDataFrame(zip(frequent.view(np.int64).tolist(), range(len(frequent))), "word long, unit int")  # UNITS rows at most
     by_unit = (counts.join(F.broadcast(units), "word", "left")
                .groupBy(F.coalesce("unit", F.lit(len(frequent)) + F.col("ending")).alias("unit"))
-               .agg(F.sum("n").alias("n"), F.count("*").alias("v")).toPandas())
+               .agg(F.sum("n").alias("n"), F.count("*").alias("v")).toArrow())
     size, distinct = np.zeros(len(frequent) + ENDINGS + 1), np.zeros(len(frequent) + ENDINGS + 1)
-    size[by_unit["unit"].to_numpy(dtype=int)] = by_unit["n"]
-    distinct[by_unit["unit"].to_numpy(dtype=int)] = by_unit["v"]
+    size[by_unit["unit"].to_numpy()] = by_unit["n"].to_numpy()
+    distinct[by_unit["unit"].to_numpy()] = by_unit["v"].to_numpy()
     bigrams = written(unit_bigrams(texts, frequent), "bigrams")
     label, table = cluster(bigrams, size, classes, rounds)
     dropped(bigrams)

@@ -88,10 +88,11 @@ def learn(docs: DataFrame) -> Model:
 
     found = (docs.select("lang", "text").where("lang is not null and text is not null")
              .mapInArrow(counts, "lang string, bucket int, n long")
-             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
-    langs = sorted(found["lang"].unique())
+             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
+    langs = sorted(set(found["lang"].to_pylist()))
     table = np.zeros(((1 << BITS) + len(SCRIPTS), len(langs)))
-    table[found["bucket"].to_numpy(dtype=int), found["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(dtype=int)] = found["n"]
+    place = {x: i for i, x in enumerate(langs)}
+    table[found["bucket"].to_numpy(), np.array([place[x] for x in found["lang"].to_pylist()], dtype=int)] = found["n"].to_numpy()
     grams, scripts = table[: 1 << BITS], table[1 << BITS :]
     logs = np.log((grams + 0.5) / (grams.sum(axis=0) + 0.5 * (1 << BITS)))
     used = scripts >= np.maximum(1, RARE * scripts.sum(axis=0))
