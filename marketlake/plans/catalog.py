@@ -166,10 +166,17 @@ def r2(cols: str) -> str:
 
 def _fixture_query(name: str):
     fn = fx.FIXTURES[name]
-    return lambda spark, sf: present(fn(spark, sf))
+
+    def query(spark, sf):
+        df = fn(spark, sf)
+        lists = {c: F.array_join(c, ",") for c, kind in df.dtypes if kind.startswith("array")}
+        return present(df.withColumns(lists) if lists else df)
+
+    return query
 
 
 _FIXTURE_SELECT = {
+    "f_mandates": "select * replace (array_to_string(allowed_merchant_categories, ',') as allowed_merchant_categories) from f_mandates",
     "f_items": "select order_id, item_no, product_id, seller_id, ship_by, round(price_brl, 6) as price_brl, "
                "round(freight_brl, 6) as freight_brl from f_items",
     "f_fx": "select cast(date as timestamp) as date, base, currency, round(rate, 6) as rate from f_fx",

@@ -98,7 +98,8 @@ select c_custkey as mandate_id, c_custkey as customer_id, c_custkey % 50 as agen
        timestamp '2024-01-01' as issued_at, timestamp '2024-01-05' + to_days(cast(c_custkey % 40 as int)) as expires_at,
        case when c_custkey % 21 = 0 then timestamp '2024-01-15' end as revoked_at,
        50 + c_custkey % 200 as max_amount_per_txn, 1 + c_custkey % 30 as max_txn_count, c_custkey % 8 = 0 as single_use,
-       case when c_custkey % 5 <> 0 then c_custkey - 1 end as parent_mandate_id
+       case when c_custkey % 5 <> 0 then c_custkey - 1 end as parent_mandate_id,
+       case when c_custkey % 4 <> 0 then ['cat' || (c_custkey % 6), 'cat' || ((c_custkey + 2) % 6)] end as allowed_merchant_categories
 from customer
 """
 

@@ -175,12 +175,13 @@ select t.txn_id, round(t.amount / m.max_amount_per_txn, 6) as amount_over_mandat
        count(*) over (partition by t.mandate_id order by epoch_us(t.ts) range between unbounded preceding and 1 preceding)
          as mandate_txn_count_used,
        count(*) over (partition by t.mandate_id order by epoch_us(t.ts) range between unbounded preceding and 1 preceding)
-         >= m.max_txn_count as over_txn_count
+         >= m.max_txn_count as over_txn_count,
+       list_contains(m.allowed_merchant_categories, t.merchant_category) as category_in_mandate
 from f_txns t join f_mandates m on t.mandate_id = m.mandate_id"""))
 def b22_mandate_scope(spark, sf):
     out = ft.mandate_scope(fx.f_txns(spark, sf), fx.f_mandates(spark, sf))
     return present(out.select("txn_id", "amount_over_mandate_ratio", "mandate_age_vs_expiry", "after_expiry",
-                              "after_revocation", "mandate_txn_count_used", "over_txn_count"))
+                              "after_revocation", "mandate_txn_count_used", "over_txn_count", "category_in_mandate"))
 
 
 @register("b23_injection", with_views(TX + ["f_sessions"], """

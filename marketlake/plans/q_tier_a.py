@@ -35,10 +35,32 @@ def a102_silver_reviews(spark, sf):
     return present(silver.reviews(fx.f_reviews(spark, sf)))
 
 
+# a translation for the categories that don't end in 3: the others become 'unknown'
 @register("a103_silver_products", with_views(["f_products"], """
-select product_id, coalesce(category, 'unknown') as category from f_products"""))
+select product_id, case when category like '%3' then 'unknown' else 'en ' || category end as category from f_products"""))
 def a103_silver_products(spark, sf):
-    return present(silver.products(fx.f_products(spark, sf)))
+    p = fx.f_products(spark, sf).withColumnRenamed("category", "product_category_name")
+    translation = p.where("product_category_name not like '%3'").selectExpr(
+        "product_category_name", "concat('en ', product_category_name) as product_category_name_english").distinct()
+    return present(silver.products(p, translation))
+
+
+# orders as text, with an amount and a date that don't parse in some rows and are missing in others
+@register("a21_a22_typed_or_rejected", with_views(["f_orders"], """
+select order_id, purchased_at, amount, reason from (
+  select order_id, case when order_id % 13 = 0 then 'bad_purchased_at' when order_id % 17 = 0 then 'bad_amount' end as reason,
+         case when order_id % 13 <> 0 and order_id % 17 <> 0 and order_id % 11 <> 0 then purchased_at end as purchased_at,
+         case when order_id % 13 <> 0 and order_id % 17 <> 0 and order_id % 7 <> 0 then order_id * 1.5 end as amount
+  from f_orders)"""))
+def a21_a22_typed_or_rejected(spark, sf):
+    text = fx.f_orders(spark, sf).selectExpr(
+        "order_id",
+        """case when order_id % 13 = 0 then 'on a Monday' when order_id % 11 <> 0 then cast(purchased_at as string) end as purchased_at""",
+        """case when order_id % 17 = 0 then '1,5 or so' when order_id % 7 <> 0 then cast(order_id * 1.5D as string) end as amount""")
+    good, bad = silver.typed_or_rejected(text, {"purchased_at": "timestamp", "amount": "double"})
+    return good.selectExpr("order_id", "purchased_at", "amount", "cast(null as string) as reason").unionByName(
+        bad.selectExpr("order_id", "cast(null as timestamp_ntz) as purchased_at", "cast(null as double) as amount",
+                       "_reject_reason as reason"))
 
 
 @register("a104_silver_sellers", with_views(["f_sellers"], "select seller_id, city, state from f_sellers"))

@@ -161,7 +161,9 @@ def f_mandates(spark: SparkSession, sf: str) -> DataFrame:
         "case when c_custkey % 21 = 0 then timestamp_ntz'2024-01-15 00:00:00' end as revoked_at",
         "50 + c_custkey % 200 as max_amount_per_txn", "1 + c_custkey % 30 as max_txn_count",
         "c_custkey % 8 = 0 as single_use",
-        "case when c_custkey % 5 <> 0 then c_custkey - 1 end as parent_mandate_id")
+        "case when c_custkey % 5 <> 0 then c_custkey - 1 end as parent_mandate_id",
+        """case when c_custkey % 4 <> 0 then array(concat('cat', c_custkey % 6), concat('cat', (c_custkey + 2) % 6))
+           end as allowed_merchant_categories""")
 
 
 def f_edges(spark: SparkSession, sf: str) -> DataFrame:
