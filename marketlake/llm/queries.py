@@ -40,7 +40,7 @@ def op6_jump_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return units.repeated(table(spark, sf_dir, "documents"))
+    return units.repeated(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op8_brown_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,5 +59,35 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_simhash_decontamination, op2_fuzzy_line_dedup, op3_minhash_forest, op4_learned_partitions, op5_pii_deobfuscation, op6_jump_hash_sharding, op7_line_hash_dedup, op8_brown_class_scores, op9_best_fit_packing, op10_language_id)}
 
 
+WORDS = ("regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+         "'[^\\x20\\x09-\\x0D]+')")
+
+OP3_SQL = f"""
+WITH RECURSIVE t AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle FROM t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+           GROUP BY 1, 2),
+linked AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reach(doc_id, root) AS (SELECT doc_id, doc_id FROM t UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.doc_id)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.root) AS component_id, r.doc_id = min(r.root) AS kept
+FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id"""
+
+OP7_SQL = f"""
+WITH l AS (SELECT doc_id, length(text) AS size, unnest(string_split(text, chr(10))) AS line,
+                  generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+p AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+             AS start, {WORDS.format('line')} AS w FROM l),
+u AS (SELECT *, first_value(doc_id) OVER o AS first_doc_id, first_value(start) OVER o AS first_start FROM p WHERE len(w) >= {units.LEAST_WORDS}
+      WINDOW o AS (PARTITION BY array_to_string(w, ' ') ORDER BY doc_id, start))
+SELECT doc_id, CAST(start AS BIGINT) AS start, CAST(least(start + length(line) + 1, size) AS BIGINT) AS "end", len(w) AS n_words,
+       first_doc_id, CAST(first_start AS BIGINT) AS first_start
+FROM u WHERE doc_id <> first_doc_id OR start <> first_start"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Exact twins, where SQL has one that runs over whole tables. The others are tested by brute force: their
+    methods need signatures, models, tokenizers or hash functions (crc32, xxhash64) that DuckDB's SQL hasn't."""
+    return {"op3_minhash_forest": OP3_SQL, "op7_line_hash_dedup": OP7_SQL}
