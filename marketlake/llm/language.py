@@ -24,6 +24,7 @@ from marketlake.llm.blocks import Block, Words, blocks
 UNDETERMINED = "und"
 BITS = 15  # trigrams are counted in 2**BITS buckets
 SWITCH = 12.0  # a switch of language costs as much as a likelihood ratio of e**12
+TOGETHER = 4 << 20  # bytes of text that go through Viterbi together
 RARE = 0.001  # a script with less than this share of a language's letters isn't one of its scripts
 
 #: UTF-8 lead bytes (first, last) of the letters of each script.
@@ -105,14 +106,23 @@ class Model:
     logs: np.ndarray  # (buckets, languages)
     scripts: np.ndarray  # the scripts of each language, as bits
 
-    def label(self, block: Block, switch: float = SWITCH) -> tuple[Words, np.ndarray, np.ndarray]:
-        """The block's words, each word's number of letters, and its language (an index)."""
-        words = block.words()
-        scores, letters = self.scores(block, words)
-        labels = np.zeros(len(words.start), dtype=np.int64)
+    def label(self, group: list[Block], switch: float = SWITCH) -> list[tuple[Words, np.ndarray, np.ndarray]]:
+        """For each block: its words, each word's number of letters, and its language (an index).
+
+        The blocks' texts go through Viterbi together: its steps are as many as the longest text has words."""
+        words = [block.words() for block in group]
+        scored = [self.scores(*x) for x in zip(group, words)]
+        ends = np.cumsum([0, *(len(w.start) for w in words)])
+        labels = np.zeros(ends[-1], dtype=np.int64)
         if len(labels) and self.langs:
-            viterbi(scores, words.at, switch, labels)
-        return words, letters, labels
+            at = np.concatenate([w.at[:-1] + e for w, e in zip(words, ends)] + [ends[-1:]])
+            viterbi(np.concatenate([s for s, _ in scored]), at, switch, labels)
+        return [(w, letters, labels[a:b]) for w, (_, letters), a, b in zip(words, scored, ends, ends[1:])]
+
+    def labelled(self, parts: Iterable[Block], switch: float) -> Iterator[tuple[Block, Words, np.ndarray, np.ndarray]]:
+        for group in together(parts):
+            for block, found in zip(group, self.label(group, switch)):
+                yield (block, *found)
 
     def scores(self, block: Block, words: Words) -> tuple[np.ndarray, np.ndarray]:
         if not len(words.start):
@@ -191,16 +201,28 @@ def has_letter(block: Block) -> np.ndarray:
     return out
 
 
-def decided(block: Block, model: Model, switch: float) -> tuple[np.ndarray, np.ndarray, Words, np.ndarray]:
-    """Each text's language (an index; past the last for ``und``) and score, and the words with their labels."""
-    words, letters, labels = model.label(block, switch)
+def together(parts: Iterable[Block], size: int = TOGETHER) -> Iterator[list[Block]]:
+    """Blocks in groups of about so many bytes."""
+    group, held = [], 0
+    for block in parts:
+        group.append(block)
+        held += len(block.data)
+        if held >= size:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
+def decided(block: Block, words: Words, letters: np.ndarray, labels: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's language (an index; past the last for ``und``) and score."""
     cover = np.zeros((len(block), len(model.langs) + 1))
     np.add.at(cover, (words.text_of(), labels), letters)
     total = cover.sum(axis=1)
     known = has_letter(block) & bool(model.langs)
     # a text's letters may all be of scripts that this module doesn't list: then nothing speaks for any language
     share = np.where(total > 0, cover.max(axis=1) / np.maximum(total, 1), 1.0 / cover.shape[1])
-    return np.where(known, cover.argmax(axis=1), len(model.langs)), np.where(known, share, 0.0), words, labels
+    return np.where(known, cover.argmax(axis=1), len(model.langs)), np.where(known, share, 0.0)
 
 
 def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
@@ -208,8 +230,8 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
     (lang, first byte, end byte) of the text."""
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs = [*model.langs, UNDETERMINED]
-        for block in blocks(batches):
-            pred, score, words, labels = decided(block, model, switch)
+        for block, words, letters, labels in model.labelled(blocks(batches), switch):
+            pred, score = decided(block, words, letters, labels, model)
             owner = words.text_of()
             turn = np.ones(len(owner), dtype=bool)
             turn[1:] = (owner[1:] != owner[:-1]) | (labels[1:] != labels[:-1])
@@ -234,8 +256,8 @@ def accepted(docs: DataFrame, folds: int = 3, fold: int = 1, switch: float = SWI
              text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text has a language (isn't ``und``)."""
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text):
-            pred, _, _, _ = decided(block, model, switch)
+        for block, words, letters, labels in model.labelled(blocks(batches, text), switch):
+            pred, _ = decided(block, words, letters, labels, model)
             yield block.rows.filter(pa.array(pred < len(model.langs)))
 
     key_ = F.col(f"`{key}`")
