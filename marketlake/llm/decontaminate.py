@@ -88,9 +88,9 @@ def bitmaps(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     count = found.agg(F.sum(F.octet_length("shingles") / 8)).first()[0] or 0
     bits = int(np.clip(np.ceil(np.log2(64 * count + 1)), 16, MOST_BITS))
     rows = (found.select("size", "shingles").mapInArrow(marks, "kind int, at long, bit long")
-            .groupBy("kind", "at").agg(F.bit_or("bit").alias("bits")).toPandas())  # 2 * 2**bits / 64 rows at most
+            .groupBy("kind", "at").agg(F.bit_or("bit").alias("bits")).toArrow())  # 2 * 2**bits / 64 rows at most
     out = np.zeros((2, (1 << bits) // 64), dtype=np.int64)
-    out[rows["kind"], rows["at"]] = rows["bits"]
+    out[rows["kind"].to_numpy(), rows["at"].to_numpy()] = rows["bits"].to_numpy()
     return tuple(out.view(np.uint64))
 
 
@@ -160,7 +160,8 @@ def within_radius(left: DataFrame, right: DataFrame, radius: int) -> DataFrame:
         return F.transform(masks, lambda x: F.struct(F.lit(i).alias("block"), x.bitwiseXOR(own).alias("value")))
 
     every = F.flatten(F.array(*[filed(i, b) for i, b in enumerate(_blocks())]))
-    index = right.select("*", F.explode(every).alias("_f")).select("*", "_f.*").drop("_f")
+    # written, so that Spark knows its size before it chooses how to join
+    index = written(right.select("*", F.explode(every).alias("_f")).select("*", "_f.*").drop("_f"), "index")
     asked = F.array(*[F.struct(F.lit(i).alias("block"), _value(F.col("fp"), b).alias("value")) for i, b in enumerate(_blocks())])
     probes = left.select("*", F.explode(asked).alias("_f")).select("*", "_f.*").drop("_f")
     differ = F.col("fp").bitwiseXOR(F.col("item_fp"))
@@ -200,9 +201,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     sizes = sorted(r["size"] for r in found.select("size").distinct().collect())  # as many as words in the longest item
     plain, by_size = bitmaps(found)
     texts = slim(docs, text, key).where("doc_id is not null")
-    seen = written(windows(texts, sizes, plain, by_size, similarity), "windows")
-    pairs = within_radius(seen, found.select("size", "item_id", F.col("fp").alias("item_fp"),
-                                             F.col("shingles").alias("item_shingles")), radius)
+    seen = written(windows(texts, sizes, plain, by_size, similarity).withColumn("id", F.monotonically_increasing_id()), "windows")
+    near = within_radius(seen.select("id", "size", "fp"), found.select("size", "item_id", F.col("fp").alias("item_fp")), radius)
+    pairs = (near.select("id", "item_id", "hamming").join(seen.drop("size", "fp"), "id")
+             .join(found.select("item_id", F.col("shingles").alias("item_shingles")), "item_id"))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), "end", "hamming"))
     return (similar(pairs, similarity).groupBy("doc_id", "item_id").agg(best.alias("b"))
             .select("doc_id", "item_id", (-F.col("b.s")).alias("start"), "b.end", "b.similarity", "b.hamming"))
