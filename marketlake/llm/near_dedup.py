@@ -5,7 +5,9 @@ class enters every tree of the forest at the place of its signature, a sequence
 A tree is a sorted table: neighbours share the longest prefixes, so a crowded region is told apart by deeper values
 and a thin one by its first, without a fixed depth or a bucket that could overflow. From its place each class looks
 ahead and takes the nearest classes whose packed sketches also agree; every pair so found is confirmed on the full
-sets. Components come from distributed union-find.
+sets. Components come from distributed union-find. A second pass looks much further ahead, but only in regions that
+still hold several components, and only at classes of others: what a large group of copies or a shared passage crowded
+out in the first pass is found there, and the group's own pairs are not listed again.
 
 A tree is range-partitioned and sorted on the whole signature and the key, so a large group spreads over many tasks.
 
@@ -31,7 +33,10 @@ WORDS = 5
 TREES = 16
 DEPTH = 6  # minima in a tree's key; ties beyond it are in the order of the class's key
 AHEAD = 24  # how far a class looks ahead in a tree, and
-TAKEN = 3  # how many that agree it takes there
+TAKEN = 3  # how many that agree it takes there; then, where a region holds several components,
+FAR_AHEAD = 128  # how far it looks past its own component,
+FAR_TAKEN = 24  # and how many it takes
+DEVIATIONS = 5  # sketches may agree so many standard deviations less than at the similarity wanted
 _OTHER = 0xD1342543DE82EF95
 _PAIRS = np.uint64(0x5555555555555555)
 
@@ -80,8 +85,8 @@ def agreement(a: np.ndarray, b: np.ndarray, functions: int) -> np.ndarray:
 
 def neighbours(ordered: DataFrame, functions: int, ratio: float, deviations: float, ahead: int, taken: int, edges: bool) -> DataFrame:
     """Pairs (a, b) of classes within ``ahead`` rows of each other in the sorted partitions of ``ordered`` (head, any
-    rest, rep, n, bits) that have the same head and about the same sketch (bits). With ``edges``, also each
-    partition's first and last rows, for pairs across partitions."""
+    rest, rep, n, bits) that have the same head and about the same sketch (bits), and different groups if there is a
+    column ``group``. With ``edges``, also each partition's first and last rows, for pairs across partitions."""
     # J >= ratio means that 2-bit values agree with probability 1/4 + 3/4 J or more
     expect = 0.25 + 0.75 * ratio
     least = functions * (expect - deviations * (expect * (1 - expect) / functions) ** 0.5)
@@ -108,7 +113,7 @@ def neighbours(ordered: DataFrame, functions: int, ratio: float, deviations: flo
     def match(batch: pa.RecordBatch, old: int, took: np.ndarray) -> pa.RecordBatch:
         """Pairs whose second row is not one of the ``old`` first; ``took``: pairs of each row so far."""
         head, n = batch.column("head").to_numpy(), batch.column("n").to_numpy()
-        bits = batch.column("bits")
+        bits, group = batch.column("bits"), batch.column("group").to_numpy() if "group" in names else None
         if pa.types.is_int64(bits.type):
             bits = bits.to_numpy().view(np.uint64).reshape(-1, 1)
         else:
@@ -121,6 +126,8 @@ def neighbours(ordered: DataFrame, functions: int, ratio: float, deviations: flo
                 continue  # a row further on may still have the same head as one that has pairs enough here
             b = a + step
             a, b = (x[np.minimum(n[a], n[b]) >= ratio * np.maximum(n[a], n[b]) - 1e-6] for x in (a, b))
+            if group is not None:
+                a, b = (x[group[a] != group[b]] for x in (a, b))
             a, b = (x[agreement(bits[a], bits[b], functions) >= least] for x in (a, b))
             took[a] += 1
             left.append(a)
@@ -139,7 +146,7 @@ def neighbours(ordered: DataFrame, functions: int, ratio: float, deviations: flo
         rows, f"a {fields['rep']}, b {fields['rep']}, " + ", ".join(f"{c} {fields[c]}" for c in names))
 
 
-def adjacent(rows: DataFrame, functions: int, ratio: float, order: list[str], deviations: float = 6, ahead: int = AHEAD,
+def adjacent(rows: DataFrame, functions: int, ratio: float, order: list[str], deviations: float, ahead: int = AHEAD,
              taken: int = TAKEN) -> DataFrame:
     """Sort ``rows`` (head, any rest, rep, n, bits) over many tasks and return the distinct pairs of :func:`neighbours`.
 
@@ -154,10 +161,11 @@ def adjacent(rows: DataFrame, functions: int, ratio: float, order: list[str], de
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def candidates(classes: DataFrame, ratio: float, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
-    """Pairs a < b of classes (rep, n, sig) that lie close together in some tree of the forest.
+def forest(classes: DataFrame, trees: int, depth: int) -> DataFrame:
+    """A row for each class (rep, n, sig and others, all long) and tree. Its head is the tree and the first minimum:
+    neighbours share that at least."""
+    others = [c for c in classes.columns if c != "sig"]
 
-    The head of a row is its tree and first minimum: neighbours share that at least."""
     def planted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -168,11 +176,24 @@ def candidates(classes: DataFrame, ratio: float, trees: int = TREES, depth: int
                 key = sig[:, t * depth : (t + 1) * depth]
                 head = (t << 32) + key[:, 0].astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(head), binary(key[:, 1:].astype(">u4")), batch.column("rep"), batch.column("n"), bits],
-                    ["head", "rest", "rep", "n", "bits"])
+                    [pa.array(head), binary(key[:, 1:].astype(">u4")), *(batch.column(c) for c in others), bits],
+                    ["head", "rest", *others, "bits"])
+
+    return classes.select(*others, "sig").mapInArrow(
+        planted, "head long, rest binary, " + ", ".join(f"{c} long" for c in others) + ", bits binary")
+
+
+def candidates(classes: DataFrame, ratio: float, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
+    """Pairs a < b of classes (rep, n, sig) that lie close together in some tree of the forest."""
+    return adjacent(forest(classes, trees, depth), trees * depth, ratio, ["head", "rest", "rep"], DEVIATIONS)
+
 
-    forest = classes.select("rep", "n", "sig").mapInArrow(planted, "head long, rest binary, rep long, n long, bits binary")
-    return adjacent(forest, trees * depth, ratio, ["head", "rest", "rep"])
+def far_candidates(classes: DataFrame, ratio: float, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
+    """Pairs of classes of different groups (``group``) in regions that hold more than one."""
+    rows = written(forest(classes, trees, depth), "forest")
+    mixed = written(rows.groupBy("head").agg(F.min("group").alias("g"), F.max("group").alias("h")).where("g != h").select("head"), "mixed")
+    return adjacent(rows.join(mixed.hint("merge"), "head", "left_semi"), trees * depth, ratio, ["head", "rest", "rep"], DEVIATIONS,
+                    FAR_AHEAD, FAR_TAKEN)
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -212,7 +233,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
                       .agg(F.min(F.struct("doc_id", "sig")).alias("m"), F.first("n_shingles").alias("n"))
                       .select("hi", "lo", F.col("m.doc_id").alias("rep"), "n", F.col("m.sig").alias("sig")), "classes")
     pairs = written(candidates(classes, percent / 100, trees, depth), "pairs")
-    roots = components(written(confirmed(pairs, texts, percent), "links"))
+    links = written(confirmed(pairs, texts, percent), "links")
+    group = components(links).select(F.col("node").alias("rep"), F.col("root").alias("group"))
+    grouped = classes.select("rep", "n", "sig").join(group, "rep", "left").withColumn("group", F.coalesce("group", "rep"))
+    far = written(far_candidates(grouped, percent / 100, trees, depth).join(pairs, ["a", "b"], "left_anti"), "far")
+    roots = components(links.unionByName(written(confirmed(far, texts, percent), "links")))
     named = written(classes.select("hi", "lo", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
                     .select("hi", "lo", F.coalesce("root", "rep").alias("component")), "named")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
