@@ -84,7 +84,7 @@ def agreement(a: np.ndarray, b: np.ndarray, functions: int) -> np.ndarray:
 
 
 def neighbours(ordered: DataFrame, functions: int, ratio: float, deviations: float, ahead: int, taken: int, edges: bool) -> DataFrame:
-    """Pairs (a, b) of classes within ``ahead`` rows of each other in the sorted partitions of ``ordered`` (head, any
+    """Pairs (a, b, head) of classes within ``ahead`` rows of each other in the sorted partitions of ``ordered`` (head, any
     rest, rep, n, bits) that have the same head and about the same sketch (bits), and different groups if there is a
     column ``group``. With ``edges``, also each partition's first and last rows, for pairs across partitions."""
     # J >= ratio means that 2-bit values agree with probability 1/4 + 3/4 J or more
@@ -134,7 +134,7 @@ def neighbours(ordered: DataFrame, functions: int, ratio: float, deviations: flo
             right.append(b)
         a, b = (pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (left, right))
         rep = batch.column("rep")
-        none = [pa.nulls(len(a), batch.column(c).type) for c in names]
+        none = [batch.column(c).take(a) if c == "head" else pa.nulls(len(a), batch.column(c).type) for c in names]
         return pa.RecordBatch.from_arrays([rep.take(a), rep.take(b), *none], ["a", "b", *names])
 
     def edge(part: pa.Table) -> pa.RecordBatch:
@@ -147,8 +147,9 @@ def neighbours(ordered: DataFrame, functions: int, ratio: float, deviations: flo
 
 
 def adjacent(rows: DataFrame, functions: int, ratio: float, order: list[str], deviations: float, ahead: int = AHEAD,
-             taken: int = TAKEN) -> DataFrame:
-    """Sort ``rows`` (head, any rest, rep, n, bits) over many tasks and return the distinct pairs of :func:`neighbours`.
+             taken: int = TAKEN) -> tuple[DataFrame, DataFrame]:
+    """Sort ``rows`` (head, any rest, rep, n, bits) over many tasks and return the distinct pairs of :func:`neighbours`,
+    and the heads in which a class has taken all it may.
 
     Ranges are cut on the whole order, rep included, so rows with one head spread over as many tasks as they need."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -157,8 +158,9 @@ def adjacent(rows: DataFrame, functions: int, ratio: float, order: list[str], de
     # where partitions meet: 2 * ahead rows of each
     seams = found.where("a is null").coalesce(1).sortWithinPartitions(*order)
     across = neighbours(seams.select(*rows.columns), functions, ratio, deviations, ahead, taken, False)
-    both = found.where("a is not null").select("a", "b").unionByName(across.select("a", "b")).where("a != b")
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    both = found.where("a is not null").select("a", "b", "head").unionByName(written(across.select("a", "b", "head"), "across"))
+    full = both.groupBy("a", "head").agg(F.count("*").alias("c")).where(f"c >= {taken}").select("head").distinct()
+    return both.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), full
 
 
 def forest(classes: DataFrame, trees: int, depth: int) -> DataFrame:
@@ -185,7 +187,7 @@ def forest(classes: DataFrame, trees: int, depth: int) -> DataFrame:
 
 def candidates(classes: DataFrame, ratio: float, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
     """Pairs a < b of classes (rep, n, sig) that lie close together in some tree of the forest."""
-    return adjacent(forest(classes, trees, depth), trees * depth, ratio, ["head", "rest", "rep"], DEVIATIONS)
+    return adjacent(forest(classes, trees, depth), trees * depth, ratio, ["head", "rest", "rep"], DEVIATIONS)[0]
 
 
 def far_candidates(classes: DataFrame, ratio: float, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
@@ -193,7 +195,7 @@ def far_candidates(classes: DataFrame, ratio: float, trees: int = TREES, depth:
     rows = written(forest(classes, trees, depth), "forest")
     mixed = written(rows.groupBy("head").agg(F.min("group").alias("g"), F.max("group").alias("h")).where("g != h").select("head"), "mixed")
     return adjacent(rows.join(mixed.hint("merge"), "head", "left_semi"), trees * depth, ratio, ["head", "rest", "rep"], DEVIATIONS,
-                    FAR_AHEAD, FAR_TAKEN)
+                    FAR_AHEAD, FAR_TAKEN)[0]
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:

@@ -106,6 +106,23 @@ def test_similar_lines(spark, corpus):
     assert got <= {x for x in want} | got and len(got ^ want) <= 0.02 * len(want)  # bands find 98 % at the threshold itself
 
 
+def test_crowded_template_loses_no_similar_lines(spark):
+    """Lines of one template below the threshold crowd its band values; true partners stand among them."""
+    rng = random.Random(12)
+    word = lambda k: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=k))
+    lines = []
+    for i in range(1200):
+        lines.append(f"the quarterly report of the northern branch office was filed by {word(6)} {word(5)} and then sent to the head office for review")
+        if i < 100:  # a partner that differs in one place, or goes on
+            lines.append(lines[-1].replace("branch", word(3)) if i % 2 else f"{lines[-1]} {word(7)}")
+    rng.shuffle(lines)
+    docs = list(enumerate(lines))
+    want = brute.similar_lines(docs)
+    got = set(rows(line_dedup.repeated(frame(spark, docs)), "doc_id", "start", "end", "kept_doc_id", "kept_start"))
+    print(f"found {len(got & want)} of {len(want)}, {len(got - want)} wrong")
+    assert len(want) >= 100 and got <= want and len(want - got) <= 0.02 * len(want)
+
+
 def test_exact_lines_and_offsets(spark, corpus):
     found = units.repeated(frame(spark, corpus))
     assert set(rows(found, "doc_id", "start", "end", "n_words", "first_doc_id", "first_start")) == brute.repeated_lines(corpus)
