@@ -71,7 +71,8 @@ _dot = re.compile(r"[ \t]+dot[ \t]+", re.IGNORECASE)
 _unit = rf"(?:(?<![^\W\d_])(?:{_words})(?![^\W\d_])|[0-9]++)"
 _spelled = re.compile(rf"(?<!\w)(?:plus[ \t]+)?{_unit}(?:[ \t]*[-,.][ \t]*{_unit}|[ \t]+(?:(?:dot|punkt|point|punto)[ \t]+)?{_unit}){{3,}}", re.IGNORECASE)
 _piece = re.compile(rf"plus[ \t]+|(?P<word>{_words})|(?P<digits>[0-9]++)|(?P<dot>[ \t]*(?:\.|dot|punkt|point|punto)[ \t]*)|(?P<gap>[ \t,-]+)", re.IGNORECASE)
-_spelled_hint = re.compile(rf"\b{_words}[ \t,.-]{{1,3}}(?:{_words}|dot|punkt|point|punto|[0-9]+)\b")
+_digit_word = re.compile(_words, re.IGNORECASE)
+_dot_hint = re.compile(r"[ \t]dot[ \t]", re.IGNORECASE)
 
 
 def luhn(digits: str) -> bool:
@@ -148,11 +149,15 @@ def plain(char: str) -> str:
     return HOMOGLYPHS.get(char) or str(unicodedata.decimal(char))
 
 
+def _folded(word: str) -> str:
+    """A word as in ``_digit``, also if written with the two letters that match s and i but have another lower case."""
+    return word.lower().replace("ſ", "s").replace("i\u0307", "i")
+
+
 def disguised(text: str) -> bool:
-    """A quick sign that the transducers may rewrite something."""
-    low = text.lower()
-    return bool(_odd.search(text) or " dot " in low or any(c in text for c in "[({<") and _bracketed.search(text)
-                or _spelled_hint.search(low))
+    """Whether the transducers may rewrite something: no text without this sign is changed by them."""
+    return bool(_odd.search(text) or _dot_hint.search(text) or any(c in text for c in "[({<") and _bracketed.search(text)
+                or any(_digit_word.search(run.group()) for run in _spelled.finditer(text)))
 
 
 def normalised(text: str) -> Tape:
@@ -168,7 +173,7 @@ def normalised(text: str) -> Tape:
         if not any(m["word"] for _, _, m in pieces):
             continue
         for a, b, m in pieces:
-            new = _digit[m["word"].lower()] if m["word"] else m["digits"] or ("." if m["dot"] else "" if m["gap"] else "+")
+            new = _digit[_folded(m["word"])] if m["word"] else m["digits"] or ("." if m["dot"] else "" if m["gap"] else "+")
             if new != tape.text[a:b]:
                 edits.append((a, b, new))
     tape.rewrite(edits)

@@ -245,6 +245,17 @@ def test_ordinary_texts_gain_nothing():
         assert base == plain_identifiers(text) and added == []
 
 
+def test_texts_without_a_hint_are_left_unchanged():
+    assert pii.spans("mail jane at host\tdot\torg")[1] == [("email", 5, 25)]
+    assert pii.spans("card 4111 1111 1111 111 one.")[1] == [("card", 5, 27)]
+    rng = random.Random(6)
+    parts = ["one", "Seven", "ſeven", "fİve", "un", "4", "4111", "dot", "DOT", "punkt", "at", "@", "host", ".", ",", "-", " ", " ", " ", "\t", "    ", "(", ")", "plus", "x_"]
+    for _ in range(20_000):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 16)))
+        tape = pii.normalised(text)
+        assert pii.disguised(text) or tape.text == text
+
+
 def test_pii_rows(spark, messy):
     out = {r["doc_id"]: r for r in pii.find(frame(spark, [(1, "a@b.cc and 1.2.3.4"), (2, None)])).collect()}
     assert out[1]["spans"] == "email:0:6,ip:11:18" and (out[1]["n_email"], out[1]["n_ip"], out[1]["n_card"], out[1]["n_phone"]) == (1, 1, 0, 0)
