@@ -7,7 +7,9 @@ and a thin one by its first, without a fixed depth or a bucket that could overfl
 ahead and takes the nearest classes whose packed sketches also agree; every pair so found is confirmed on the full
 sets. Components come from distributed union-find. A second pass looks much further ahead, but only in regions that
 still hold several components, and only at classes of others: what a large group of copies or a shared passage crowded
-out in the first pass is found there, and the group's own pairs are not listed again.
+out in the first pass is found there, and the group's own pairs are not listed again. Regions in which more classes share
+a tree's whole key than were taken, and that still hold several components, are finished exactly: all pairs between
+components there, by a prefix-filter join on rare shingles, without a limit.
 
 A tree is range-partitioned and sorted on the whole signature and the key, so a large group spreads over many tasks.
 
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.blocks import binary, blocks, minhash, range_hash, shingles, unpacked
 from marketlake.llm.components import components
+from marketlake.llm.prefix_join import prefix_pairs
 from marketlake.llm.tables import dropped, slim, written
 
 WORDS = 5
@@ -198,6 +201,17 @@ def far_candidates(classes: DataFrame, ratio: float, trees: int = TREES, depth:
                     FAR_AHEAD, FAR_TAKEN)[0]
 
 
+def crowded(classes: DataFrame, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
+    """rep, group of classes that share a tree's whole key with classes of other groups (``group``), where there are
+    more than each surely took in the first pass."""
+    rows = written(forest(classes, trees, depth).select("head", "rest", "rep", "group"), "regions")
+    mixed = written(rows.groupBy("head", "rest").agg(F.count("*").alias("c"), F.min("group").alias("g"), F.max("group").alias("h"))
+                    .where(f"c > {TAKEN + 1} and g != h").select("head", "rest"), "mixed")
+    found = written(rows.join(mixed.hint("merge"), ["head", "rest"], "left_semi").select("rep", "group").distinct(), "rest")
+    dropped(rows)
+    return found
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Those pairs of documents whose sets have 100 * intersection >= percent * union."""
     need = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
@@ -236,10 +250,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
                       .select("hi", "lo", F.col("m.doc_id").alias("rep"), "n", F.col("m.sig").alias("sig")), "classes")
     pairs = written(candidates(classes, percent / 100, trees, depth), "pairs")
     links = written(confirmed(pairs, texts, percent), "links")
-    group = components(links).select(F.col("node").alias("rep"), F.col("root").alias("group"))
-    grouped = classes.select("rep", "n", "sig").join(group, "rep", "left").withColumn("group", F.coalesce("group", "rep"))
-    far = written(far_candidates(grouped, percent / 100, trees, depth).join(pairs, ["a", "b"], "left_anti"), "far")
-    roots = components(links.unionByName(written(confirmed(far, texts, percent), "links")))
+
+    def grouped(roots: DataFrame) -> DataFrame:
+        group = roots.select(F.col("node").alias("rep"), F.col("root").alias("group"))
+        return classes.select("rep", "n", "sig").join(group, "rep", "left").withColumn("group", F.coalesce("group", "rep"))
+
+    far = written(far_candidates(grouped(components(links)), percent / 100, trees, depth).join(pairs, ["a", "b"], "left_anti"), "far")
+    links = links.unionByName(written(confirmed(far, texts, percent), "links"))
+    roots = components(links)
+    rest = crowded(grouped(roots), trees, depth)
+    if not rest.isEmpty():
+        full = sets(texts.join(rest.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi"), keep=True)
+        own = (full.where("n_shingles > 0").select(F.col("doc_id").alias("rep"), F.col("set").alias("shingles")).dropDuplicates(["rep"])
+               .join(rest, "rep").select(F.col("rep").alias("id"), "group", "shingles"))
+        more = prefix_pairs(own, percent).join(pairs, ["a", "b"], "left_anti").join(far, ["a", "b"], "left_anti")
+        roots = components(links.unionByName(written(confirmed(written(more, "pairs"), texts, percent), "links")))
     named = written(classes.select("hi", "lo", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
                     .select("hi", "lo", F.coalesce("root", "rep").alias("component")), "named")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))

@@ -157,6 +157,25 @@ def test_large_group_of_near_copies_is_one_component(spark):
     assert {c for (c,) in rows(near_dedup.near_duplicates(frame(spark, docs)), "component_id")} == {0}
 
 
+def test_crowded_template_loses_no_near_duplicates(spark):
+    """Documents of one template below the threshold crowd its regions; true partners stand among them."""
+    rng = random.Random(13)
+    fresh = lambda k: [f"w{rng.randrange(10**8)}" for _ in range(k)]
+    base, docs = fresh(100), []
+    for i in range(1500):
+        own = fresh(5)
+        docs.append(" ".join(base[:40] + own + base[45:]))
+        if i < 60:  # shares two shingles more than any other
+            docs.append(" ".join(base[:40] + own[:2] + fresh(3) + base[45:]))
+    rng.shuffle(docs)
+    docs = list(enumerate(docs))
+    want = {d: c for d, (_, c) in brute.near_components(docs, 85).items()}
+    got = dict(rows(near_dedup.near_duplicates(frame(spark, docs)), "doc_id", "component_id"))
+    linked = [d for d, c in want.items() if c != d]
+    print(f"found {sum(got[d] == want[d] for d in linked)} of {len(linked)}")
+    assert len(linked) >= 60 and got == want
+
+
 # ------------------------------------------------------------------ 4 nearest neighbours
 
 def vectors(spark, x, ids=None):
