@@ -13,9 +13,11 @@ key is carried along; other columns are ignored. Texts are tokenised whole.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -95,22 +97,30 @@ def plan(pieces: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return rules
 
 
-def encoder(ranks_file: str, pattern: str):
-    """The byte-level BPE vocabulary whose ranks ``ranks_file`` lists, for texts in which nothing is special."""
+def added_tokens(tokenizer_file: str) -> dict[str, int]:
+    """The tokens that a tokenizer's JSON adds to its vocabulary: they are found in texts before anything else."""
+    with open(tokenizer_file, encoding="utf-8") as file:
+        return {x["content"]: x["id"] for x in json.load(file)["added_tokens"]}
+
+
+def encoder(ranks_file: str, pattern: str, added: dict[str, int] | None = None):
+    """Encodes texts by the byte-level BPE vocabulary whose ranks ``ranks_file`` lists. Texts are split at ``added``
+    tokens, which get their ids; without them nothing is special."""
     import tiktoken
 
     with open(ranks_file, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    made = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added or {})
+    return partial(made.encode, allowed_special="all") if added else made.encode_ordinary
 
 
 def cut(docs: DataFrame, ranks_file: str, pattern: str, capacity: int = 1024, end: int = END,
-        keep_ids: bool = False) -> DataFrame:
+        keep_ids: bool = False, added: dict[str, int] | None = None) -> DataFrame:
     """Token pieces of at most ``capacity``: a longer text's first piece takes what is over, the others are full.
 
     ``keep_ids`` adds ``ids`` (binary, little-endian unsigned 32-bit)."""
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks_file, pattern).encode_ordinary
+        encode = encoder(ranks_file, pattern, added)
         for batch in (batch.slice(k, ROWS) for batch in batches for k in range(0, batch.num_rows, ROWS)):
             out = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -129,13 +139,14 @@ def cut(docs: DataFrame, ranks_file: str, pattern: str, capacity: int = 1024, en
 
 
 def pack(docs: DataFrame, ranks_file: str | None = None, pattern: str | None = None, capacity: int = 1024,
-         end: int = END, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
+         end: int = END, key: str = "doc_id", text: str = "text", keep_ids: bool = False,
+         added: dict[str, int] | None = None) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32[, ids], sequence_id, offset."""
     if ranks_file is None:
         import public_tokenizers
 
         ranks_file, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    pieces = written(cut(slim(docs, text, key), ranks_file, pattern, capacity, end, keep_ids), "pieces")
+    pieces = written(cut(slim(docs, text, key), ranks_file, pattern, capacity, end, keep_ids, added), "pieces")
     # at most `capacity` rows
     lengths = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     # their number depends on the capacity alone: at most one run of bins is cut in two at each step

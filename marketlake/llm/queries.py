@@ -48,7 +48,9 @@ def op8_brown_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), added=packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json")))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -360,6 +360,20 @@ def test_plan_is_best_fit_decreasing_piece_by_piece():
             assert Counter(capacity - x for x in bins.values()) == brute.best_fit_decreasing(sizes, capacity)
 
 
+def test_added_tokens_get_their_ids():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(file)
+    encode = packing.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, packing.added_tokens(file))
+    assert encode("a <|endoftext|> b") == [64, 220, 50256, 275]
+    rng = random.Random(2)
+    for _ in range(3000):
+        text = "".join(rng.choices(["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "it's", "x", "é", "12", "😀"], k=rng.randint(0, 12)))
+        assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_packed_sequences(spark, corpus):
     import public_tokenizers
     from tokenizers import Tokenizer
