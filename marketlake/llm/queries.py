@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import brown, decontaminate, language, licenses, line_dedup, near_dedup, nearest, packing, pii, sharding, units, whitening
+from marketlake.llm import brown, decontaminate, language, licenses, line_dedup, near_dedup, nearest, packing, pii, sharding, spelling, units, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,8 +66,12 @@ def op12_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(vectors, whitening.fit(vectors))
 
 
+def op13_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.words(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash_decontamination, op2_fuzzy_line_dedup, op3_minhash_forest, op4_learned_partitions, op5_pii_deobfuscation, op6_jump_hash_sharding, op7_line_hash_dedup, op8_brown_class_scores, op9_best_fit_packing, op10_language_id, op11_license_rules, op12_qdwh_whitening)}
+    return {f.__name__: f for f in (op1_simhash_decontamination, op2_fuzzy_line_dedup, op3_minhash_forest, op4_learned_partitions, op5_pii_deobfuscation, op6_jump_hash_sharding, op7_line_hash_dedup, op8_brown_class_scores, op9_best_fit_packing, op10_language_id, op11_license_rules, op12_qdwh_whitening, op13_spelling_trie)}
 
 
 WORDS = ("regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
