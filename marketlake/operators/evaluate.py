@@ -1,32 +1,26 @@
 """Evaluation harness: PR curve and PR-AUC, confusion, recall by group, reliability, baseline
 comparison, dollars and queues - all as aggregates (no driver-side metric loops).
 
-The PR curve has a point for every distinct score, however many there are: counts per score are cut
-into ranges of scores, summed within each range, and carried from range to range.
+The PR curve has a point for every distinct score, however many there are: counts per score are running
+sums over ranges of scores (``windows.prior``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.session import materialize
+from marketlake.operators.windows import ROWS, prior
 
 
-def pr_curve(df: DataFrame, score: str = "p_fraud", label: str = "is_fraud") -> DataFrame:
+def pr_curve(df: DataFrame, score: str = "p_fraud", label: str = "is_fraud", rows: int = ROWS) -> DataFrame:
     """Per threshold (distinct score): pos, neg at the score, tp, fp at or above it, precision, recall."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per = df.groupBy(F.col(score).alias("threshold")).agg(F.count_if(F.col(label)).alias("pos"), F.count_if(~F.col(label)).alias("neg"))
-    cut = materialize(per.repartitionByRange(parts, F.desc("threshold")).withColumn("_b", F.spark_partition_id()), "pr_ranges")
-    inner = Window.partitionBy("_b").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
-    carry = cut.groupBy("_b").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n")).select(
-        "_b", F.coalesce(F.sum("_p").over(before), F.lit(0)).alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"))
-    total = cut.agg(F.sum("pos")).scalar()
-    return (cut.withColumn("_tp", F.sum("pos").over(inner)).withColumn("_fp", F.sum("neg").over(inner)).join(carry, "_b")
-               .select("threshold", "pos", "neg", (F.col("_tp") + F.col("_p")).alias("tp"), (F.col("_fp") + F.col("_n")).alias("fp"))
-               .withColumn("precision", F.col("tp") / (F.col("tp") + F.col("fp")))
-               .withColumn("recall", F.try_divide(F.col("tp"), total)))
+    total = df.agg(F.count_if(F.col(label))).scalar()
+    above = prior(per.withColumns({"_k": F.lit(0), "_t": -F.col("threshold")}), ["_k"], "_t", {"tp": F.col("pos"), "fp": F.col("neg")}, rows=rows, through=True)
+    return (above.select("threshold", "pos", "neg", "tp", "fp")
+                 .withColumn("precision", F.col("tp") / (F.col("tp") + F.col("fp")))
+                 .withColumn("recall", F.try_divide(F.col("tp"), total)))
 
 
 def pr_auc(curve: DataFrame) -> DataFrame:

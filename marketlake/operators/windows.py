@@ -1,10 +1,12 @@
 """Point-in-time window building blocks that survive hot keys and bursts.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task; if one customer, agent or
-merchant holds a third of the table, that task sorts a third of the table. ``prior`` instead cuts the
-table into ranges of ``(key, time)`` of about equal size - a hot key, or a hot hour of it, simply spans
-several ranges - and numbers them. Running values come from a window over ``(key, range)``; what a key
-had in its earlier ranges (the carry) comes from one partial aggregate row per key and range.
+merchant holds a third of the table, that task sorts a third of the table. ``cut`` finds such keys and
+cuts each into ranges of time of about equal size, so a hot key, or a hot hour of it, spans several
+tasks. The cut points are literals (as many as CUTS together), so a row's range is a pure function of
+its key and time: nothing is written, and a retried task finds the same range. Running values come from
+a window over ``(key, range)``; what a hot key had in its earlier ranges (the carry) is one partial
+aggregate row per range, CUTS rows in all at most, which is why it may be broadcast.
 
 Sliding windows are running values too: a row that leaves a window of width ``w`` is an event at
 ``t + w`` that takes its contribution back (``sliding``). The work is linear in the rows, however many of
@@ -25,7 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.functions.exprs import exact_seconds
-from marketlake.session import materialize
+#: A key of more rows than this is cut into ranges; no table is cut into more than CUTS ranges by and large.
+ROWS, CUTS = 500_000, 1024
+_STEP = 32
 
 
 def _epoch_ntz() -> Column:
@@ -51,35 +55,63 @@ def from_micros(df: DataFrame, ts: str, us: Column) -> Column:
     return F.timestamp_micros(us)
 
 
+def cut(df: DataFrame, keys: Sequence[str], t: str, rows: int = ROWS) -> tuple[Column, Column] | None:
+    """(number of a row's range within its key, whether the key is cut), or None if no key has more than ``rows``
+    rows. Ranges follow ``t``; rows of equal key and ``t`` share one. Counts of keys come from one aggregate, quantiles
+    only from the keys to be cut; no more than CUTS keys and cut points a key come to the driver."""
+    spread = F.xxhash64(*keys) if keys else F.lit(0).cast("long")
+    slim = df.select(spread.alias("h"), F.col(t).alias("t"))
+    per = slim.groupBy("h").agg(F.count("*").alias("n"))
+    total, most = per.agg(F.sum("n"), F.max("n")).first()
+    rows = max(rows, -(-(total or 0) // CUTS))
+    if (most or 0) <= rows:
+        return None
+    hot = {r["h"]: r["n"] for r in per.where(F.col("n") > rows).collect()}
+    grid = -(-most // rows)
+    quantiles = (slim.where(F.col("h").isin(list(hot))).groupBy("h")
+                 .agg(F.percentile_approx("t", [i / grid for i in range(1, grid)], 20 * grid).alias("q")).collect())
+    coarse, fine = [], []
+    for r in quantiles:
+        parts = -(-hot[r["h"]] // rows)
+        points = sorted({r["q"][round(i * grid / parts) - 1] for i in range(1, parts)})
+        literal = lambda xs: F.array(*map(F.lit, xs)).cast(f"array<{df.schema[t].dataType.simpleString()}>")
+        coarse += [F.lit(r["h"]), literal(points[_STEP - 1 :: _STEP])]
+        fine += [F.lit(r["h"]), literal(points)]
+    below = lambda points: F.size(F.filter(points, lambda p: p <= F.col(t)))
+    upper = _STEP * below(F.create_map(*coarse)[spread])
+    number = upper + below(F.slice(F.create_map(*fine)[spread], upper + 1, F.lit(_STEP)))
+    return F.coalesce(F.when(spread.isin(list(hot)), number), F.lit(0)), spread.isin(list(hot))
+
+
 def prior(df: DataFrame, keys: Sequence[str], t: str, sums: Mapping[str, Column] | None = None,
-          last: Mapping[str, Column] | None = None, ranges: int | None = None) -> DataFrame:
+          last: Mapping[str, Column] | None = None, rows: int = ROWS, through: bool = False) -> DataFrame:
     """Over the strictly earlier rows (by the long column ``t``) of the same ``keys``: for each of ``sums``
     the sum of its column, and for each of ``last`` its value in the latest row in which it is not NULL
-    (several: the greatest; orderable types)."""
+    (several: the greatest; orderable types). ``through``: rows of equal ``t`` count as well (any orderable ``t``)."""
     keys, sums, last = list(keys), dict(sums or {}), dict(last or {})
     whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, t]])
     values = {f"_v_{n}": c for n, c in sums.items()} | {
         f"_l_{n}": F.when(c.isNotNull(), F.struct(F.col(t).alias("t"), c.alias("v"))) for n, c in last.items()}
-    parts = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = df.withColumns(values) if values else df
-    # written once: the range numbers must be those of one and the same cut in everything below
-    d = materialize(d.where(whole).repartitionByRange(parts, *keys, t).withColumn("_b", F.spark_partition_id()), "ranges")
-    within = Window.partitionBy(*keys, "_b").orderBy(t).rangeBetween(Window.unboundedPreceding, -1)
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per_range = d.groupBy(*keys, "_b").agg(F.count("*").alias("_rows"), *[F.sum(f"_v_{n}").alias(f"_v_{n}") for n in sums],
-                                           *[F.max(f"_l_{n}").alias(f"_l_{n}") for n in last])
-    carry = per_range.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_cb"),
-                             *[F.sum(f"_v_{n}").over(before).alias(f"_cv_{n}") for n in sums],
-                             *[F.max(f"_l_{n}").over(before).alias(f"_cl_{n}") for n in last])
-    d = d.select("*", *[F.sum(f"_v_{n}").over(within).alias(f"_wv_{n}") for n in sums],
-                 *[F.max(f"_l_{n}").over(within).alias(f"_wl_{n}") for n in last])
-    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]) & (F.col("_b") == F.col("_cb"))
-    d = d.join(carry, on)
-    add = lambda n: F.coalesce(F.col(f"_cv_{n}") + F.col(f"_wv_{n}"), f"_cv_{n}", f"_wv_{n}")
-    out = d.select(*df.columns, *[F.coalesce(add(n), F.col(f"_v_{n}") * 0, F.lit(0)).alias(n) for n in sums],
-                   *[F.coalesce(f"_wl_{n}", f"_cl_{n}")["v"].alias(n) for n in last])
-    rest = df.where(~whole).select(*df.columns, *[F.lit(None).cast(out.schema[n].dataType).alias(n) for n in [*sums, *last]])
-    return out.unionByName(rest)
+    found = cut(df.where(whole), keys, t, rows)
+    hashable = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    # rows without a key or a time have no history; they are dealt out by their own hash
+    apart = -1 - F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]), F.lit(1 << 20)).cast("int")
+    d = df.withColumns(values | {"_b": F.when(whole, found[0] if found else F.lit(0)).otherwise(apart)})
+    within = Window.partitionBy(*keys, "_b").orderBy(t).rangeBetween(Window.unboundedPreceding, 0 if through else -1)
+    out = d.select("*", *[F.sum(f"_v_{n}").over(within).alias(f"_wv_{n}") for n in sums],
+                   *[F.max(f"_l_{n}").over(within).alias(f"_wl_{n}") for n in last])
+    if found:
+        before = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
+        carry = (d.where(whole & found[1]).groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_cb"))
+                 .agg(F.count("*").alias("_rows"), *[F.sum(f"_v_{n}").alias(f"_cv_{n}") for n in sums], *[F.max(f"_l_{n}").alias(f"_cl_{n}") for n in last])
+                 .select(*[f"_k{i}" for i in range(len(keys))], "_cb", *[F.sum(f"_cv_{n}").over(before).alias(f"_cv_{n}") for n in sums],
+                         *[F.max(f"_cl_{n}").over(before).alias(f"_cl_{n}") for n in last]))
+        on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)], F.col("_b") == F.col("_cb"))
+        out = out.join(F.broadcast(carry), on, "left")  # a row per range of a cut key
+    carried = lambda n: [F.col(n)] if found else []
+    add = lambda n: F.coalesce(*([F.col(f"_cv_{n}") + F.col(f"_wv_{n}"), F.col(f"_cv_{n}")] if found else []), F.col(f"_wv_{n}"))
+    return out.select(*df.columns, *[F.when(whole, F.coalesce(add(n), F.col(f"_v_{n}") * 0, F.lit(0))).alias(n) for n in sums],
+                      *[F.when(whole, F.coalesce(F.col(f"_wl_{n}"), *carried(f"_cl_{n}"))["v"]).alias(n) for n in last])
 
 
 def prior_running(df: DataFrame, keys: Sequence[str], ts: str, value: str | None = None, prefix: str = "prior") -> DataFrame:
@@ -136,8 +168,9 @@ def distinct_sliding(df: DataFrame, keys: Sequence[str], item: str, ts: str, wid
     keyed = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
     names = [f"_key{i}" for i in range(len(keys))]
     seen = df.select(*keyed, F.col(item).alias("_item"), micros(df, ts).alias("_t")).where("_item is not null").distinct()
-    following = F.lead("_t").over(Window.partitionBy(*names, "_item").orderBy("_t"))
-    until = F.least(following, F.col("_t") + width_s * 1_000_000)
+    # the next occurrence is the latest one before, in reversed time
+    seen = prior(seen.withColumn("_r", -F.col("_t")), [*names, "_item"], "_r", last={"_following": F.col("_t")})
+    until = F.least("_following", F.col("_t") + width_s * 1_000_000)
     row = F.struct(*df.columns)
     turns = (seen.withColumn("_until", until)
              .select(F.lit(None).cast(df.select(row).schema[0].dataType).alias("_row"), *names,
