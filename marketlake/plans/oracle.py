@@ -111,6 +111,13 @@ select 'customer_ip', c_custkey, case when c_custkey % 5 = 0 then 200000000 + c_
        timestamp '2023-12-01' + to_days(cast(c_custkey % 90 as int)) from customer
 """
 
+VIEWS["f_accounts"] = """
+select k as account_version, k % 40 as merchant_id, 500000000 + k * 7 % 31 + k % 13 // 12 * k as bank_id, 600000000 + k * 11 % 53 as owner_id, valid_from,
+       case when k % 3 <> 0 then valid_from + to_days(cast(5 + k % 30 as int)) end as valid_to,
+       k % 7 <> 0 as charges_enabled, k % 11 <> 0 as payouts_enabled, cast(k % 5 as int) as requirements_due
+from (select c_custkey as k, timestamp '2023-10-01' + to_days(cast(c_custkey * 13 % 125 as int)) as valid_from from customer)
+"""
+
 VIEWS["f_agents"] = """
 select distinct c_custkey % 50 as agent_id, 'op' || (c_custkey % 50 % 7) as claimed_operator,
        case when c_custkey % 50 % 9 <> 0 then 'op' || (c_custkey % 50 % 7) end as verified_operator,

@@ -31,26 +31,44 @@ def _component(*signals: str) -> str:
 
 # ------------------------------------------------------------------ graph
 
-@register("b28_edges", with_views(["f_txns"], """
-select 'customer_device' as kind, customer_id as src, device_id as dst, min(ts) as valid_from from f_txns group by 2, 3
-union all
-select 'customer_merchant', customer_id, merchant_id, min(ts) from f_txns group by 2, 3
-union all
-select 'agent_merchant', agent_id, merchant_id, min(ts) from f_txns group by 2, 3"""))
+_EDGE_VIEWS = ["f_txns", "f_edges", "f_accounts", "f_mandates"]
+_EDGE_CTES = """raw_edges AS (
+  select 'customer_device' as kind, customer_id as src, device_id as dst, ts as f, ts + interval 3 day as u from f_txns
+  union all select 'agent_device', agent_id, device_id, ts, ts + interval 3 day from f_txns
+  union all select 'customer_merchant', customer_id, merchant_id, ts, null from f_txns
+  union all select 'agent_merchant', agent_id, merchant_id, ts, null from f_txns
+  union all select kind, src, dst, valid_from, null from f_edges where kind = 'customer_ip'
+  union all select 'merchant_bank', merchant_id, bank_id, valid_from, valid_to from f_accounts
+  union all select 'merchant_owner', merchant_id, owner_id, valid_from, valid_to from f_accounts
+  union all select 'customer_mandate_agent', customer_id, agent_id, issued_at, least(expires_at, coalesce(revoked_at, expires_at)) from f_mandates),
+open_edges AS (select kind, src, dst, f, coalesce(u, timestamp '9999-12-31') as u from raw_edges where src is not null and dst is not null and (u is null or f < u)),
+starts AS (select *, coalesce(cast(f > max(u) over (partition by kind, src, dst order by f, u rows between unbounded preceding and 1 preceding) as int), 0) as gap
+           from open_edges),
+isles AS (select *, sum(gap) over (partition by kind, src, dst order by f, u rows unbounded preceding) as isle from starts),
+edges AS (select kind, src, dst, min(f) as valid_from, nullif(max(u), timestamp '9999-12-31') as valid_to from isles group by kind, src, dst, isle)"""
+
+
+def _edges(spark, sf):
+    ips = fx.f_edges(spark, sf).where("kind = 'customer_ip'")
+    return graph.edge_tables(fx.f_txns(spark, sf), ips, fx.f_accounts(spark, sf), fx.f_mandates(spark, sf))
+
+
+@register("b28_edges", with_views(_EDGE_VIEWS, "select kind, src, dst, valid_from, valid_to from edges", ctes=_EDGE_CTES))
 def b28_edges(spark, sf):
-    return graph.edges(fx.f_txns(spark, sf), [("customer_device", "customer_id", "device_id"),
-                                             ("customer_merchant", "customer_id", "merchant_id"),
-                                             ("agent_merchant", "agent_id", "merchant_id")])
+    return _edges(spark, sf)
 
 
-@register("b29_shared_device", with_views(["f_edges"], """
-select src, cast(sum(d - 1) as bigint) as shared_customer_device_count, count(*) as customer_device_hubs
-from (select distinct src, dst from f_edges where kind = 'customer_device') k
-join (select dst, count(*) as d from (select distinct src, dst from f_edges where kind = 'customer_device') group by dst) g
-  on k.dst = g.dst
-group by src"""))
-def b29_shared_device(spark, sf):
-    return graph.shared(fx.f_edges(spark, sf), "customer_device")
+@register("b29_shared_infrastructure", with_views(_EDGE_VIEWS, f"""
+select s.kind, s.src, count(distinct o.src) as shared, any_value(s.hubs) as hubs
+from (select kind, src, count(distinct dst) as hubs from at_t group by 1, 2) s
+join at_t m on m.kind = s.kind and m.src = s.src
+left join at_t o on o.kind = m.kind and o.dst = m.dst and o.src <> m.src group by 1, 2""", ctes=_EDGE_CTES + f""",
+at_t AS (select distinct kind, src, dst from edges where kind in ('customer_device', 'merchant_bank', 'merchant_owner', 'agent_device')
+         and valid_from < timestamp '{TRUST_AS_OF}' and (valid_to is null or valid_to >= timestamp '{TRUST_AS_OF}'))"""))
+def b29_shared_infrastructure(spark, sf):
+    kinds = ["customer_device", "merchant_bank", "merchant_owner", "agent_device"]
+    e = graph.valid_at(_edges(spark, sf).where(F.col("kind").isin(kinds)), TRUST_AS_OF)
+    return graph.shared_distinct(e, exact=1 << 12).select("kind", "src", "shared", "hubs")
 
 
 _B30_SQL = with_views(["f_edges"], """
@@ -84,6 +102,25 @@ def b31_risky_neighbours(spark, sf):
     return present(graph.risky_neighbours(graph.as_of(fx.f_edges(spark, sf), GRAPH_AS_OF), flags))
 
 
+@register("b31_risky_neighbours_at", with_views(_EDGE_VIEWS + ["f_disputes"], """
+select t.txn_id, count(o.src) as neighbours, count(o.src) filter (where r.risky_from < t.ts) as risky_neighbours,
+       round(count(o.src) filter (where r.risky_from < t.ts) / nullif(count(o.src), 0), 6) as risky_neighbor_ratio
+from f_txns t
+left join dev m on m.src = t.customer_id and m.valid_from < t.ts and (m.valid_to is null or t.ts <= m.valid_to)
+left join dev o on o.dst = m.dst and o.src <> m.src and o.valid_from < t.ts and (o.valid_to is null or t.ts <= o.valid_to)
+left join rf r on r.src = o.src
+group by t.txn_id""", ctes=_EDGE_CTES + """,
+dev AS (select * from edges where kind = 'customer_device'),
+rf AS (select t.customer_id as src, min(d.created) as risky_from from f_disputes d join f_txns t on d.txn_id = t.txn_id group by 1)"""))
+def b31_risky_neighbours_at(spark, sf):
+    """Every transaction at its own time, in one pass."""
+    t, d = fx.f_txns(spark, sf), fx.f_disputes(spark, sf)
+    devices = graph.sighted(t, [("customer_device", "customer_id", "device_id", 3)])
+    risky = (d.join(t.select("txn_id", "customer_id"), "txn_id").groupBy(F.col("customer_id").alias("src")).agg(F.min("created").alias("risky_from")))
+    out = graph.risky_at(t.select("txn_id", "customer_id", "ts"), devices, risky, "txn_id", "customer_id")
+    return present(out.drop("customer_id", "ts"))
+
+
 _B32_SQL = with_views(["f_edges", "f_txns", "f_disputes"], """
 select e.src, min(b.hops) as distance_to_confirmed_fraud
 from (select src from k union select src from seeds) e left join bfs b on e.src = b.src group by e.src""", ctes=f"""

@@ -166,6 +166,16 @@ def f_mandates(spark: SparkSession, sf: str) -> DataFrame:
            end as allowed_merchant_categories""")
 
 
+def f_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions of merchants' external accounts: bank, owner and standing from ``valid_from`` to before ``valid_to``."""
+    return (table(spark, sf, "customer")
+            .selectExpr("c_custkey as k", "timestamp_ntz'2023-10-01 00:00:00' + make_dt_interval(cast(c_custkey * 13 % 125 as int)) as valid_from")
+            .selectExpr("k as account_version", "k % 40 as merchant_id", "500000000 + k * 7 % 31 + k % 13 div 12 * k as bank_id",
+                        "600000000 + k * 11 % 53 as owner_id", "valid_from",
+                        "case when k % 3 <> 0 then valid_from + make_dt_interval(cast(5 + k % 30 as int)) end as valid_to",
+                        "k % 7 <> 0 as charges_enabled", "k % 11 <> 0 as payouts_enabled", "cast(k % 5 as int) as requirements_due"))
+
+
 def f_edges(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col("c_custkey")
     kinds = F.array(
@@ -232,5 +242,5 @@ FIXTURES = {
     "f_orders": f_orders, "f_items": f_items, "f_reviews": f_reviews, "f_products": f_products,
     "f_sellers": f_sellers, "f_fx": f_fx, "f_complaints": f_complaints, "f_events_raw": f_events_raw,
     "f_mandates": f_mandates, "f_edges": f_edges, "f_agents": f_agents, "f_txns": f_txns,
-    "f_disputes": f_disputes, "f_sessions": f_sessions,
+    "f_disputes": f_disputes, "f_sessions": f_sessions, "f_accounts": f_accounts,
 }

@@ -1,6 +1,7 @@
 """Graph operators against plain-Python references on small graphs."""
 
 import random
+from datetime import datetime, timedelta
 
 from marketlake.operators import graph
 
@@ -42,7 +43,7 @@ def test_distance_and_shared_counts(spark):
     seeds = spark.createDataFrame([(1,)], "src long")
     dist = {r.src: r.distance_to_confirmed_fraud for r in graph.distance(e, seeds, 4).collect()}
     assert dist == {1: 0, 2: 1, 3: 2, 4: None}
-    shared = {r.src: r.shared_d_count for r in graph.shared(e, "d").collect()}
+    shared = {r.src: r.shared for r in graph.shared_distinct(e).collect()}
     assert shared == {1: 1, 2: 2, 3: 1, 4: 0}
 
 
@@ -82,3 +83,67 @@ def test_delegation_follows_long_chains_and_names_cycles(spark):
     for i in (200, 201, 202, 203):
         assert (out[i].delegation_depth, out[i].root_mandate_id, out[i].delegation_cycle) == (None, None, True)
     assert (out[300].delegation_depth, out[300].root_mandate_id) == (0, 300)
+
+
+def test_a_pair_on_two_hubs_counts_once_and_a_hot_hub_is_estimated(spark):
+    """A hub with a third of all sources; small hubs that repeat its pairs. Exact beside the sketch, error measured."""
+    rng = random.Random(7)
+    edges = {(s, 0) for s in range(0, 3000, 3)} | {(s, 1 + rng.randrange(700)) for s in range(3000) for _ in range(2)}
+    e = spark.createDataFrame([("k", s, d) for s, d in edges], "kind string, src long, dst long")
+    hubs = {}
+    for s, d in edges:
+        hubs.setdefault(d, set()).add(s)
+    want = {}
+    for s, d in edges:
+        want.setdefault(s, set()).update(hubs[d] - {s})
+    got = graph.shared_distinct(e, exact=100).collect()
+    assert len(got) == len(want)
+    errors = [abs(r.shared / len(want[r.src]) - 1) for r in got if r.estimated]
+    assert all(r.shared == len(want[r.src]) for r in got if not r.estimated) and len(errors) >= 1000
+    assert max(errors) < 0.08 and sum(errors) / len(errors) < 0.02
+    assert {r.estimated for r in got if r.src % 3 == 0} == {True}
+    assert {r.src: r.shared for r in graph.shared_distinct(e, exact=10_000).collect()} == {s: len(x) for s, x in want.items()}
+
+
+def _at(hours):
+    return datetime(2024, 1, 1) + timedelta(hours=hours)
+
+
+def test_validities_are_joined_where_they_meet(spark):
+    rng = random.Random(3)
+    rows = [("k", rng.randrange(3), rng.randrange(2), h, h + rng.randrange(1, 30)) for h in (rng.randrange(400) for _ in range(80))]
+    e = spark.createDataFrame([(k, s, d, _at(a), None if (s, d) == (0, 0) and a > 300 else _at(b)) for k, s, d, a, b in rows],
+                              "kind string, src long, dst long, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    raw = [(s, d, a, 10**6 if (s, d) == (0, 0) and a > 300 else b) for _, s, d, a, b in rows]
+    out = graph.merged(e).collect()
+    spans = [(r.src, r.dst, r.valid_from, r.valid_to or datetime(9000, 1, 1)) for r in out]
+    for s, d in {(s, d) for s, d, _, _ in raw}:
+        for h in range(0, 450):
+            inside = any(a < h + 0.5 <= b for x, y, a, b in raw if (x, y) == (s, d))
+            held = [1 for x, y, a, b in spans if (x, y) == (s, d) and a < _at(h + 0.5) <= b]
+            assert len(held) == int(inside)
+
+
+def test_risky_neighbours_at_every_row_s_own_time(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(12), 100 + rng.randrange(5), a, rng.choice([None, a + rng.randrange(1, 200)])) for a in (rng.randrange(300) for _ in range(60))]
+    e = graph.merged(spark.createDataFrame([("k", s, d, _at(a), b and _at(b)) for s, d, a, b in edges],
+                                           "kind string, src long, dst long, valid_from timestamp_ntz, valid_to timestamp_ntz"))
+    risky = {s: rng.randrange(400) for s in range(0, 12, 2)}
+    rows = [(i, rng.randrange(13), rng.randrange(450)) for i in range(150)]
+    out = graph.risky_at(spark.createDataFrame([(i, s, _at(h)) for i, s, h in rows], "id long, who long, ts timestamp_ntz"), e,
+                         spark.createDataFrame([(s, _at(h)) for s, h in risky.items()], "src long, risky_from timestamp_ntz"), "id", "who")
+    got = {r.id: (r.neighbours, r.risky_neighbours) for r in out.collect()}
+    for i, who, h in rows:
+        now = {(s, d) for s, d, a, b in edges if a < h and (b is None or h <= b)}
+        near = [s for w, d in now if w == who for s, d2 in now if d2 == d and s != who]
+        assert got[i] == (len(near), sum(risky.get(s, 10**6) < h for s in near))
+
+
+def test_all_eight_kinds_have_edges(spark, sf):
+    from marketlake.plans.q_tier_b import _edges
+
+    kinds = {r.kind: r["count"] for r in _edges(spark, sf).groupBy("kind").count().collect()}
+    assert len(kinds) == 8 and min(kinds.values()) > 0
+    ended = {r.kind for r in _edges(spark, sf).where("valid_to is not null").select("kind").distinct().collect()}
+    assert ended == {"customer_device", "agent_device", "merchant_bank", "merchant_owner", "customer_mandate_agent"}
