@@ -102,32 +102,36 @@ def shared_distinct(e: DataFrame, exact: int = 128, log2: int = 12) -> DataFrame
     return single.unionByName(united).unionByName(sketched)
 
 
-def risky_at(rows: DataFrame, e: DataFrame, risky: DataFrame, key: str, src: str, ts: str = "ts") -> DataFrame:
+def risky_at(rows: DataFrame, e: DataFrame, risky: DataFrame, key: str, src: str, ts: str = "ts", kinds: Sequence[str] = ()) -> DataFrame:
     """For every row's own time: how many other sources share a hub with its ``src`` (with multiplicity), how many of them
-    were risky by then, and the ratio. ``e``: edges of one kind; ``risky``: (src, risky_from).
+    were risky by then, and the ratio. ``e``: edges of one kind, or of the ``kinds``, which then get counts of their own
+    (``<kind>_risky``). ``risky``: (src, risky_from).
 
     One pass for all times: a hub's count changes by one when an edge begins or ends, or when a source turns risky; what a
     row sees is the sum of the hub's earlier changes (``windows.prior``: hot hubs are cut). Only a row's own hubs are
     joined, by source and validity."""
-    marked = e.select("src", "dst", "valid_from", "valid_to").join(risky.select("src", "risky_from"), "src", "left")
+    marked = e.select("kind", "src", "dst", "valid_from", "valid_to").join(risky.select("src", "risky_from"), "src", "left")
     turned = F.greatest("valid_from", "risky_from")
     counts = F.col("risky_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("risky_from") < F.col("valid_to")))
 
     def change(at: Column, n: int, bad: Column) -> Column:
         return F.struct(at.alias("at"), F.lit(n).cast("long").alias("n"), bad.cast("long").alias("r"))
 
-    changes = marked.select("dst", F.inline(F.array(
+    changes = marked.select("kind", "dst", F.inline(F.array(
         change(F.col("valid_from"), 1, F.lit(0)), change(F.col("valid_to"), -1, F.when(counts, -1).otherwise(0)),
         change(F.when(counts, turned), 0, F.lit(1))))).where("at is not null")
     asked = (rows.select(F.col(key).alias("_row"), F.col(src).cast("long").alias("src"), F.col(ts).alias("at")).join(marked, "src")
              .where((F.col("valid_from") < F.col("at")) & (F.col("valid_to").isNull() | (F.col("at") <= F.col("valid_to"))))
-             .select("dst", "at", "_row", F.coalesce(F.col("risky_from") < F.col("at"), F.lit(False)).cast("long").alias("_own")))
+             .select("kind", "dst", "at", "_row", F.coalesce(F.col("risky_from") < F.col("at"), F.lit(False)).cast("long").alias("_own")))
     nothing = F.lit(0).cast("long")
-    both = asked.select("dst", "at", nothing.alias("n"), nothing.alias("r"), "_row", "_own").unionByName(
-        changes.select("dst", "at", "n", "r", F.lit(None).cast(asked.schema["_row"].dataType).alias("_row"), nothing.alias("_own")))
-    seen = prior(both.withColumn("_t", micros(both, "at")), ["dst"], "_t", {"_n": F.col("n"), "_r": F.col("r")}).where("_row is not null")
-    found = seen.groupBy("_row").agg(F.sum(F.col("_n") - 1).alias("neighbours"), F.sum(F.col("_r") - F.col("_own")).alias("risky_neighbours"))
-    return (rows.join(found, F.col(key) == F.col("_row"), "left").drop("_row").na.fill(0, ["neighbours", "risky_neighbours"])
+    both = asked.select("kind", "dst", "at", nothing.alias("n"), nothing.alias("r"), "_row", "_own").unionByName(
+        changes.select("kind", "dst", "at", "n", "r", F.lit(None).cast(asked.schema["_row"].dataType).alias("_row"), nothing.alias("_own")))
+    seen = prior(both.withColumn("_t", micros(both, "at")), ["kind", "dst"], "_t", {"_n": F.col("n"), "_r": F.col("r")}).where("_row is not null")
+    bad = F.col("_r") - F.col("_own")
+    names = ["neighbours", "risky_neighbours", *[f"{k}_risky" for k in kinds]]
+    found = seen.groupBy("_row").agg(F.sum(F.col("_n") - 1).alias("neighbours"), F.sum(bad).alias("risky_neighbours"),
+                                     *[F.sum(F.when(F.col("kind") == k, bad).otherwise(0)).alias(f"{k}_risky") for k in kinds])
+    return (rows.join(found, F.col(key) == F.col("_row"), "left").drop("_row").na.fill(0, names)
             .withColumn("risky_neighbor_ratio", F.try_divide(F.col("risky_neighbours"), F.col("neighbours"))))
 
 

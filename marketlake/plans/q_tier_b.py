@@ -183,106 +183,158 @@ def b42_training_set(spark, sf):
 
 # ------------------------------------------------------------------ trust
 
-_MERCHANT_INPUT_CTES = f"""tx AS (select * from f_txns where ts < timestamp '{TRUST_AS_OF}'),
-drec AS (select t.merchant_id, count(*) as disputes_30d from f_disputes d join f_txns t on d.txn_id = t.txn_id
-         where d.created < timestamp '{TRUST_AS_OF}' and d.created >= timestamp '{TRUST_AS_OF}' - interval 30 day group by 1),
-risky AS (select distinct t.customer_id from f_disputes d join f_txns t on d.txn_id = t.txn_id
-          where d.created < timestamp '{TRUST_AS_OF}'),
-fs AS (select merchant_id, customer_id, min(ts) as first from tx group by 1, 2),
-base AS (
-  select tx.merchant_id,
-    count(*) filter (where ts >= timestamp '{TRUST_AS_OF}' - interval 30 day) as txns_30d,
-    count(*) filter (where ts >= timestamp '{TRUST_AS_OF}' - interval 30 day and refunded) as refunds_30d,
-    count(*) filter (where ts >= timestamp '{TRUST_AS_OF}' - interval 30 day and declined) as declines_30d,
-    min(ts) as first_txn, avg(cast(ts > fs.first as int)) as repeat_rate,
-    avg(cast(r.customer_id is not null as int)) as risky_customer_ratio, count(*) as txns
-  from tx join fs on tx.merchant_id = fs.merchant_id and tx.customer_id = fs.customer_id
-  left join risky r on tx.customer_id = r.customer_id group by 1),
-cty AS (select merchant_id, max(c) as top from (select merchant_id, country, count(*) as c from tx group by 1, 2) group by 1),
-mi AS (
-  select b.*, coalesce(d.disputes_30d, 0) as disputes_30d,
-    coalesce(d.disputes_30d, 0) / nullif(txns_30d, 0) as dispute_rate_30d, refunds_30d / nullif(txns_30d, 0) as refund_rate_30d,
-    declines_30d / nullif(txns_30d, 0) as decline_rate_30d,
-    date_sub('second', first_txn, timestamp '{TRUST_AS_OF}') / 86400.0 as account_age_days,
-    c.top / nullif(txns, 0) as top_country_share
-  from base b left join drec d on b.merchant_id = d.merchant_id left join cty c on b.merchant_id = c.merchant_id),
-mt AS (
-  select *,
-    {_component('1 - dispute_rate_30d / 0.05', '1 - refund_rate_30d / 0.10', '1 - decline_rate_30d / 0.30')} as transaction,
-    {_component('account_age_days / 90')} as identity,
-    {_component('1.5 - top_country_share * 1.5')} as behavioral,
-    {_component('repeat_rate', '1 - risky_customer_ratio')} as customer,
-    {_component('1 - risky_customer_ratio * 2')} as network
+_TRUST_VIEWS = ["f_txns", "f_disputes", "f_accounts", "f_agents", "f_mandates", "f_sessions"]
+_MERCHANT_EDGES = """raw_edges AS (
+  select 'bank' as kind, merchant_id as src, bank_id as dst, valid_from as f, valid_to as u from f_accounts
+  union all select 'owner', merchant_id, owner_id, valid_from, valid_to from f_accounts
+  union all select 'device', merchant_id, device_id, ts, ts + interval 3 day from f_txns),"""
+_AGENT_EDGES = """raw_edges AS (select 'device' as kind, agent_id as src, device_id as dst, ts as f, ts + interval 3 day as u from f_txns),"""
+
+
+def _grid_sql(key: str) -> str:
+    """Edges with validities (from raw_edges), and a row of every day for each key: day, snapshot d."""
+    isles = _EDGE_CTES[_EDGE_CTES.index("open_edges AS"):]
+    return f"""{isles},
+days AS (select {key}, cast(unnest(generate_series(f, (select max(cast(ts as date)) from f_txns), interval 1 day)) as date) as day
+         from (select {key}, min(cast(ts as date)) as f from f_txns group by 1)),
+g AS (select {key}, day, cast(day as timestamp) + interval 1 day as d from days),
+bad AS (select {key} as src, created as risky_from from (
+          select t.{key}, x.created, row_number() over (partition by t.{key} order by x.created, x.dispute_id) as nth
+          from f_disputes x join f_txns t on x.txn_id = t.txn_id where {{bad}}) where nth = 2),
+net AS (select g.{key}, g.d, count(o.src) as nb, count(o.src) filter (where z.risky_from < g.d) as risky,
+               {', '.join(f"count(o.src) filter (where z.risky_from < g.d and o.kind = '{k}') as {k}_risky" for k in ('bank', 'owner', 'device'))}
+        from g left join edges m on m.src = g.{key} and m.valid_from < g.d and (m.valid_to is null or g.d <= m.valid_to)
+        left join edges o on o.kind = m.kind and o.dst = m.dst and o.src <> m.src and o.valid_from < g.d and (o.valid_to is null or g.d <= o.valid_to)
+        left join bad z on z.src = o.src group by 1, 2)"""
+
+
+_MERCHANT_CTES = _MERCHANT_EDGES + _grid_sql("merchant_id").replace("{bad}", "x.reason = 'fraudulent'") + f""",
+t2 AS (select t.*, t.ts <= min(t.ts) over (partition by t.merchant_id, t.customer_id) as fresh, r.c as turned
+       from f_txns t left join (select y.customer_id, min(x.created) as c from f_disputes x join f_txns y on x.txn_id = y.txn_id group by 1) r
+         on r.customer_id = t.customer_id),
+w AS (select g.merchant_id, g.d, min(t.ts) as first_txn,
+        count(*) filter (where t.ts >= g.d - interval 30 day) as n30, count(*) filter (where t.ts >= g.d - interval 7 day) as n7,
+        count(*) filter (where t.ts >= g.d - interval 14 day and t.ts < g.d - interval 7 day) as p7,
+        coalesce(sum(t.amount) filter (where t.ts >= g.d - interval 7 day), 0) as v7,
+        coalesce(sum(t.amount) filter (where t.ts >= g.d - interval 14 day and t.ts < g.d - interval 7 day), 0) as vp,
+        count(*) filter (where t.refunded and t.ts >= g.d - interval 30 day) as refunds, count(*) filter (where t.declined and t.ts >= g.d - interval 30 day) as declines,
+        sum(t.risk_score) filter (where t.ts >= g.d - interval 30 day) as risk, count(*) filter (where t.fresh and t.ts >= g.d - interval 30 day) as fresh30,
+        count(*) filter (where t.fresh and t.ts >= g.d - interval 7 day) as fresh7,
+        count(*) filter (where t.fresh and t.ts >= g.d - interval 14 day and t.ts < g.d - interval 7 day) as freshp,
+        count(*) filter (where t.turned < g.d and t.ts >= g.d - interval 30 day) as turned30
+      from g join t2 t on t.merchant_id = g.merchant_id and t.ts < g.d group by 1, 2),
+ds AS (select g.merchant_id, g.d, count(*) filter (where x.created >= g.d - interval 30 day) as disputes,
+              count(*) filter (where x.created >= g.d - interval 30 day and x.reason = 'fraudulent') as frauds30,
+              count(*) filter (where x.created >= g.d - interval 7 day and x.reason = 'fraudulent') as frauds7
+       from g join f_txns t on t.merchant_id = g.merchant_id join f_disputes x on x.txn_id = t.txn_id and x.created < g.d group by 1, 2),
+dv AS (select g.merchant_id, g.d, coalesce(v.vol, 0) as vol, v.vol / nullif(v.n, 0) as ticket from g
+       left join (select merchant_id, cast(ts as date) as day, sum(amount) as vol, count(*) as n from f_txns group by 1, 2) v
+         on v.merchant_id = g.merchant_id and v.day = g.day),
+z AS (select merchant_id, d, (vol - avg(vol) over m) / nullif(stddev_samp(vol) over m, 0) as volume_z,
+             (ticket - avg(ticket) over m) / nullif(stddev_samp(ticket) over m, 0) as ticket_z
+      from dv window m as (partition by merchant_id order by d rows between 27 preceding and current row)),
+cs AS (select merchant_id, d, 0.5 * sum(abs(coalesce(r / nullif(sr, 0), 0) - coalesce(b / nullif(sb, 0), 0))) as shift
+       from (select *, sum(r) over (partition by merchant_id, d) as sr, sum(b) over (partition by merchant_id, d) as sb from (
+         select g.merchant_id, g.d, t.country, count(*) filter (where t.ts >= g.d - interval 7 day) as r, count(*) filter (where t.ts < g.d - interval 7 day) as b
+         from g join f_txns t on t.merchant_id = g.merchant_id and t.ts < g.d and t.ts >= g.d - interval 14 day group by 1, 2, 3)) group by 1, 2),
+ac AS (select g.merchant_id, g.d, a.* exclude (merchant_id) from g join f_accounts a on a.merchant_id = g.merchant_id and a.valid_from < g.d
+       qualify row_number() over (partition by g.merchant_id, g.d order by a.valid_from desc, a.account_version desc) = 1),
+nb AS (select g.merchant_id, g.d, count(*) as versions from g join f_accounts a on a.merchant_id = g.merchant_id and a.valid_from < g.d
+         and a.valid_from >= g.d - interval 30 day group by 1, 2),
+mi AS (select w.merchant_id, w.d, coalesce(ds.disputes, 0) / nullif(n30, 0) as dispute_rate, coalesce(ds.frauds7, 0) / nullif(n7, 0) as fraud7,
+        coalesce(ds.frauds30, 0) / nullif(n30, 0) as fraud30, refunds / nullif(n30, 0) as refund_rate, declines / nullif(n30, 0) as decline_rate,
+        v7 / nullif(vp, 0) as growth, (v7 / nullif(n7, 0)) / nullif(vp / nullif(p7, 0), 0) as ticket_change,
+        date_sub('second', first_txn, w.d) / 86400.0 as age, ac.charges_enabled, ac.payouts_enabled, ac.requirements_due,
+        date_sub('second', ac.valid_from, w.d) / 86400.0 as ext_age, coalesce(nb.versions, 0) as new_banks, fresh30 / nullif(n30, 0) as new_ratio,
+        turned30 / nullif(n30, 0) as risky_ratio, risk / nullif(n30, 0) / 100 as customer_risk, fresh7 / nullif(freshp, 0) as spike,
+        z.volume_z, z.ticket_z, coalesce(cs.shift, 0) as shift, net.bank_risky, net.owner_risky, net.device_risky, net.risky / nullif(net.nb, 0) as neighbor_ratio,
+        case when bad.risky_from < w.d then 0 when net.risky > 0 then 1 end as hops
+       from w left join ds using (merchant_id, d) left join z using (merchant_id, d) left join cs using (merchant_id, d)
+       left join ac using (merchant_id, d) left join nb using (merchant_id, d) left join net using (merchant_id, d) left join bad on bad.src = w.merchant_id),
+mt AS (select *,
+    {_component('1 - dispute_rate / 0.05', '1 - fraud7 / 0.05', '1 - fraud30 / 0.03', '1 - refund_rate / 0.10', '1 - decline_rate / 0.30', '2 - growth', '2 - ticket_change')} as transaction,
+    {_component('age / 90', 'cast(charges_enabled as double)', 'cast(payouts_enabled as double)', '1 - requirements_due / 5', 'ext_age / 60', '1 - new_banks / 3')} as identity,
+    {_component('1 - abs(volume_z) / 4', '1 - abs(ticket_z) / 4', '2 - spike', '1 - shift')} as behavioral,
+    {_component('1 - new_ratio', '1 - risky_ratio', '1 - customer_risk')} as customer,
+    {_component('1 - bank_risky / 3', '1 - owner_risky / 3', '1 - device_risky / 100', '1 - neighbor_ratio * 2', 'coalesce(hops / 2, 1.0)')} as network
   from mi)"""
 
 _MT_COLS = "transaction identity behavioral customer network".split()
+_MERCHANT_SQL = f"""
+select merchant_id, d as snapshot, {', '.join(f'round({c}, 6) as {c}' for c in _MT_COLS)},
+  round(100.0 * (0.0 + coalesce(transaction, 0.0) * 0.30 + coalesce(identity, 0.0) * 0.20
+        + coalesce(behavioral, 0.0) * 0.20 + coalesce(customer, 0.0) * 0.15 + coalesce(network, 0.0) * 0.15), 6)
+    as merchant_trust_score
+from mt"""
 
 
-def _merchant_inputs(spark, sf):
-    return trust.merchant_inputs(fx.f_txns(spark, sf), fx.f_disputes(spark, sf), TRUST_AS_OF)
+def _merchant_trust(spark, sf, until=None):
+    daily = trust.merchant_daily(fx.f_txns(spark, sf), fx.f_disputes(spark, sf), fx.f_accounts(spark, sf), until)
+    return trust.merchant(daily).select("merchant_id", "snapshot", *_MT_COLS, "merchant_trust_score")
 
 
-@register("b47_merchant_trust", with_views(["f_txns", "f_disputes"], f"""
-select merchant_id, {', '.join(f'round({c}, 6) as {c}' for c in _MT_COLS)},
-  round(100.0 * (0.0 + coalesce(transaction, 0.0) * 0.30 + coalesce(identity, 0.0) * 0.20
-        + coalesce(behavioral, 0.0) * 0.20 + coalesce(customer, 0.0) * 0.15 + coalesce(network, 0.0) * 0.15), 6)
-    as merchant_trust_score
-from mt""", ctes=_MERCHANT_INPUT_CTES))
+@register("b47_merchant_trust", with_views(_TRUST_VIEWS, f"{_MERCHANT_SQL} where d = timestamp '{TRUST_AS_OF}'", ctes=_MERCHANT_CTES))
 def b47_merchant_trust(spark, sf):
-    m = trust.merchant(_merchant_inputs(spark, sf))
-    return present(m.select("merchant_id", *_MT_COLS, "merchant_trust_score"))
+    return present(trust.as_of(_merchant_trust(spark, sf, TRUST_AS_OF), TRUST_AS_OF))
+
+
+_AGENT_CTES = _AGENT_EDGES + _grid_sql("agent_id").replace("{bad}", "true") + f""",
+u AS (select t.*, t.amount > m.max_amount_per_txn or t.ts > m.expires_at or coalesce(t.ts > m.revoked_at, false) as beyond, not s.user_intent_present as unasked,
+             coalesce(m.single_use, false) and (select count(*) from f_txns e where e.mandate_id = t.mandate_id and e.ts < t.ts) > 0 as replayed
+      from f_txns t left join f_mandates m on t.mandate_id = m.mandate_id left join f_sessions s on t.session_id = s.session_id),
+w AS (select g.agent_id, g.d, count(*) as n, count(*) filter (where u.ts >= g.d - interval 30 day) as n30, count(*) filter (where u.ts >= g.d - interval 7 day) as n7,
+        count(*) filter (where beyond and u.ts >= g.d - interval 30 day) as beyond30, count(*) filter (where unasked and u.ts >= g.d - interval 30 day) as unasked30,
+        count(*) filter (where replayed and u.ts >= g.d - interval 30 day) as replayed30, count(distinct merchant_id) filter (where u.ts >= g.d - interval 30 day) as merchants
+      from g join u on u.agent_id = g.agent_id and u.ts < g.d group by 1, 2),
+dd AS (select g.agent_id, g.d, count(distinct x.txn_id) as disputed from g join f_txns t on t.agent_id = g.agent_id join f_disputes x on x.txn_id = t.txn_id and x.created < g.d group by 1, 2),
+sg AS (select agent_id, ts, sum(cast(ts >= prev + interval 2 hour as int)) over (partition by agent_id order by ts, txn_id rows unbounded preceding) as session
+       from (select *, coalesce(lag(ts) over (partition by agent_id order by ts, txn_id), ts) as prev from f_txns)),
+ss AS (select agent_id, count(*) as k, min(ts) as b, max(ts) + interval 2 hour as e from sg group by agent_id, session),
+sx AS (select g.agent_id, g.d, count(*) as sessions, sum(k) as k, sum(date_sub('second', b, e)) as secs from g
+       join ss on ss.agent_id = g.agent_id and ss.e < g.d and ss.e >= g.d - interval 30 day group by 1, 2),
+mr AS (select g.agent_id, g.d, count(*) filter (where m.revoked_at < g.d) / nullif(count(*) filter (where m.issued_at < g.d), 0) as revoked
+       from g join f_mandates m on m.agent_id = g.agent_id group by 1, 2),
+norm AS (select d, avg(n7) as norm from w group by 1),
+ai AS (select w.agent_id, w.d, beyond30 / nullif(n30, 0) as violation_rate, replayed30 / nullif(n30, 0) as replay_rate, mr.revoked, unasked30 / nullif(n30, 0) as no_intent,
+        coalesce(dd.disputed, 0) / nullif(w.n, 0) as disputed_rate, n7 / nullif(norm.norm, 0) as pace, merchants, sx.k / nullif(sx.sessions, 0) as per_session,
+        sx.secs / nullif(sx.sessions, 0) / 3600 as hours, net.risky / nullif(net.nb, 0) as neighbor_ratio,
+        case a.attestation_level when 'none' then 0.0 when 'self_asserted' then 1.0 / 3 when 'operator_attested' then 2.0 / 3 when 'issuer_verified' then 1.0 end as level,
+        cast(a.attestation_expires_at > w.d as double) as valid, cast(coalesce(a.claimed_operator = a.verified_operator, false) as double) as verified,
+        date_sub('second', a.first_seen, w.d) / 86400.0 as known
+       from w left join dd using (agent_id, d) left join sx using (agent_id, d) left join mr using (agent_id, d) left join norm using (d)
+       left join net using (agent_id, d) left join f_agents a on a.agent_id = w.agent_id),
+sc AS (select *,
+    {_component('level', 'valid', 'verified', 'known / 60')} as attestation,
+    {_component('1 - violation_rate', '1 - replay_rate * 5', '1 - coalesce(revoked, null) * 5')} as mandate_compliance,
+    {_component('2 - pace', 'merchants / 20', '1 - (per_session - 1) / 4', 'hours / 4')} as behavioral,
+    {_component('1 - disputed_rate * 5', '1 - neighbor_ratio * 2')} as network, {_component('1 - no_intent')} as injection
+  from ai)"""
+_AT_COLS = "attestation mandate_compliance behavioral network injection".split()
+_AGENT_SQL = f"""
+select agent_id, d as snapshot, {', '.join(f'round({c}, 6) as {c}' for c in _AT_COLS)},
+  round(100.0 * (0.0 + coalesce(attestation, 0.0) * 0.30 + coalesce(mandate_compliance, 0.0) * 0.25
+        + coalesce(behavioral, 0.0) * 0.20 + coalesce(network, 0.0) * 0.15 + coalesce(injection, 0.0) * 0.10), 6) as agent_trust_score
+from sc"""
 
 
-_AT_COLS = "attestation mandate_compliance behavioral network injection".split()
+def _agent_trust(spark, sf, until=None):
+    daily = trust.agent_daily(fx.f_txns(spark, sf), fx.f_agents(spark, sf), fx.f_mandates(spark, sf), fx.f_sessions(spark, sf), fx.f_disputes(spark, sf), until)
+    return trust.agent(daily).select("agent_id", "snapshot", *_AT_COLS, "agent_trust_score")
 
 
-@register("b48_agent_trust", with_views(["f_txns", "f_agents", "f_mandates", "f_sessions", "f_disputes"], f"""
-select agent_id, {', '.join(f'round({c}, 6) as {c}' for c in _AT_COLS)},
-  round(100.0 * (0.0 + coalesce(attestation, 0.0) * 0.30 + coalesce(mandate_compliance, 0.0) * 0.25
-        + coalesce(behavioral, 0.0) * 0.20 + coalesce(network, 0.0) * 0.15 + coalesce(injection, 0.0) * 0.10), 6)
-    as agent_trust_score
-from (
-  select *,
-    {_component('attestation_level_score', 'cast(attestation_valid as double)', 'cast(operator_verified as double)')} as attestation,
-    {_component('1 - violation_rate')} as mandate_compliance,
-    {_component('1 - txns_per_hour / 60')} as behavioral,
-    {_component('1 - disputed_rate * 5')} as network,
-    {_component('1 - no_intent_rate')} as injection
-  from (
-    select p.*, case a.attestation_level when 'none' then 0.0 when 'self_asserted' then 1.0 / 3
-                  when 'operator_attested' then 2.0 / 3 when 'issuer_verified' then 1.0 end as attestation_level_score,
-           a.attestation_expires_at > timestamp '{TRUST_AS_OF}' as attestation_valid,
-           coalesce(a.claimed_operator = a.verified_operator, false) as operator_verified
-    from (
-      select t.agent_id, count(*) as txns,
-        avg(cast(coalesce(t.amount > m.max_amount_per_txn or t.ts > m.expires_at
-                          or coalesce(t.ts > m.revoked_at, false), false) as int)) as violation_rate,
-        avg(cast(coalesce(not s.user_intent_present, false) as int)) as no_intent_rate,
-        avg(cast(d.txn_id is not null as int)) as disputed_rate,
-        count(distinct t.merchant_id) as merchants,
-        count(*) / greatest(1.0, date_sub('second', min(t.ts), max(t.ts)) / 3600.0) as txns_per_hour
-      from (select * from f_txns where ts < timestamp '{TRUST_AS_OF}') t
-      left join f_mandates m on t.mandate_id = m.mandate_id
-      left join f_sessions s on t.session_id = s.session_id
-      left join (select distinct txn_id from f_disputes where created < timestamp '{TRUST_AS_OF}') d on t.txn_id = d.txn_id
-      group by t.agent_id) p
-    left join f_agents a on p.agent_id = a.agent_id))"""))
+@register("b48_agent_trust", with_views(_TRUST_VIEWS, f"{_AGENT_SQL} where d = timestamp '{TRUST_AS_OF}'", ctes=_AGENT_CTES))
 def b48_agent_trust(spark, sf):
-    inp = trust.agent_inputs(fx.f_txns(spark, sf), fx.f_agents(spark, sf), fx.f_mandates(spark, sf),
-                             fx.f_sessions(spark, sf), fx.f_disputes(spark, sf), TRUST_AS_OF)
-    return present(trust.agent(inp).select("agent_id", *_AT_COLS, "agent_trust_score"))
+    return present(trust.as_of(_agent_trust(spark, sf, TRUST_AS_OF), TRUST_AS_OF))
+
+
+@register("b49_merchant_trust_daily", with_views(_TRUST_VIEWS, _MERCHANT_SQL, ctes=_MERCHANT_CTES))
+def b49_merchant_trust_daily(spark, sf):
+    return present(_merchant_trust(spark, sf))
 
 
-@register("b49_daily_trust", with_views(["f_txns", "f_disputes"], f"""
-select merchant_id, cast(day as timestamp) as day, round(dispute_rate_30d, 6) as dispute_rate_30d,
-       round(refund_rate_30d, 6) as refund_rate_30d, round(decline_rate_30d, 6) as decline_rate_30d,
-       round({_component('1 - dispute_rate_30d / 0.05', '1 - refund_rate_30d / 0.10', '1 - decline_rate_30d / 0.30')}, 6)
-         as transaction
-from (select distinct t.merchant_id, cast(t.ts as date) as day, r.dispute_rate_30d, r.refund_rate_30d, r.decline_rate_30d
-      from f_txns t left join r on t.merchant_id = r.merchant_id and cast(t.ts as date) = r.day)""",
-                                       ctes=__import__("marketlake.plans.q_features", fromlist=["_B19_CTES"])._B19_CTES))
-def b49_daily_trust(spark, sf):
-    return present(trust.daily_transaction_component(fx.f_txns(spark, sf), fx.f_disputes(spark, sf)))
+@register("b49_agent_trust_daily", with_views(_TRUST_VIEWS, _AGENT_SQL, ctes=_AGENT_CTES))
+def b49_agent_trust_daily(spark, sf):
+    return present(_agent_trust(spark, sf))
 
 
 # ------------------------------------------------------------------ policy
@@ -465,6 +517,35 @@ def b67_compare_sample(spark, sf):
 
 # ------------------------------------------------------------------ evidence
 
+_MERCHANT_INPUT_CTES = f"""tx AS (select * from f_txns where ts < timestamp '{TRUST_AS_OF}'),
+drec AS (select t.merchant_id, count(*) as disputes_30d from f_disputes d join f_txns t on d.txn_id = t.txn_id
+         where d.created < timestamp '{TRUST_AS_OF}' and d.created >= timestamp '{TRUST_AS_OF}' - interval 30 day group by 1),
+risky AS (select distinct t.customer_id from f_disputes d join f_txns t on d.txn_id = t.txn_id
+          where d.created < timestamp '{TRUST_AS_OF}'),
+fs AS (select merchant_id, customer_id, min(ts) as first from tx group by 1, 2),
+base AS (
+  select tx.merchant_id,
+    count(*) filter (where ts >= timestamp '{TRUST_AS_OF}' - interval 30 day) as txns_30d,
+    count(*) filter (where ts >= timestamp '{TRUST_AS_OF}' - interval 30 day and refunded) as refunds_30d,
+    count(*) filter (where ts >= timestamp '{TRUST_AS_OF}' - interval 30 day and declined) as declines_30d,
+    min(ts) as first_txn, avg(cast(ts > fs.first as int)) as repeat_rate,
+    avg(cast(r.customer_id is not null as int)) as risky_customer_ratio, count(*) as txns
+  from tx join fs on tx.merchant_id = fs.merchant_id and tx.customer_id = fs.customer_id
+  left join risky r on tx.customer_id = r.customer_id group by 1),
+cty AS (select merchant_id, max(c) as top from (select merchant_id, country, count(*) as c from tx group by 1, 2) group by 1),
+mi AS (
+  select b.*, coalesce(d.disputes_30d, 0) as disputes_30d,
+    coalesce(d.disputes_30d, 0) / nullif(txns_30d, 0) as dispute_rate_30d, refunds_30d / nullif(txns_30d, 0) as refund_rate_30d,
+    declines_30d / nullif(txns_30d, 0) as decline_rate_30d,
+    date_sub('second', first_txn, timestamp '{TRUST_AS_OF}') / 86400.0 as account_age_days,
+    c.top / nullif(txns, 0) as top_country_share
+  from base b left join drec d on b.merchant_id = d.merchant_id left join cty c on b.merchant_id = c.merchant_id)"""
+
+
+def _merchant_inputs(spark, sf):
+    return trust.merchant_inputs(fx.f_txns(spark, sf), fx.f_disputes(spark, sf), TRUST_AS_OF)
+
+
 _BUNDLE_COLS = ["txns", "txns_30d", "disputes_30d", "dispute_rate_30d", "refund_rate_30d", "decline_rate_30d",
                 "repeat_rate", "risky_customer_ratio", "account_age_days", "top_country_share"]
 _BUNDLE_SQL = " union all ".join(f"select merchant_id as entity, '{c}' as feature, cast({c} as double) as value from mi"
