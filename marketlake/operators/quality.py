@@ -149,6 +149,27 @@ def schema_report(df: DataFrame, payload: str = "payload", version: str = "api_v
             .select(per_key.version, "key", "n_events", (F.col("n_events") / F.col("n_version")).alias("share")))
 
 
+def schema_types(df: DataFrame, payload: str = "payload", version: str = "api_version") -> DataFrame:
+    """Observed types per version and payload key: ``(version, key, type, n_events, drifted)``, from the payload read as
+    VARIANT. ``drifted``: the key has more than one type over all versions. A payload that doesn't parse counts under the
+    type ``INVALID`` without a key; nested objects and arrays are told as ``OBJECT`` and ``ARRAY``."""
+    rows = df.select(F.col(version).alias("version"), F.try_parse_json(payload).alias("_v"))
+    broken = (rows.where("_v is null").groupBy("version").agg(F.count("*").alias("n_events"))
+              .select("version", F.lit(None).cast("string").alias("key"), F.lit("INVALID").alias("type"), "n_events"))
+    keys = rows.where("_v is not null").lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_v").outer()))
+    kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
+    per = keys.groupBy("version", "key", kind.alias("type")).agg(F.count("*").alias("n_events")).unionByName(broken)
+    several = per.where("key is not null and type <> 'VOID'").groupBy("key").agg((F.count_distinct("type") > 1).alias("drifted"))
+    return per.join(several, "key", "left").select("version", "key", "type", "n_events", F.coalesce("drifted", F.lit(False)).alias("drifted"))
+
+
+def schema_versions(df: DataFrame, payload: str = "payload", version: str = "api_version") -> DataFrame:
+    """One schema per version that holds all its payloads, nested fields included (``schema_of_variant_agg``; a field of
+    several types is VARIANT), and the number of events."""
+    return (df.groupBy(F.col(version).alias("version"))
+            .agg(F.schema_of_variant_agg(F.try_parse_json(payload)).alias("schema"), F.count("*").alias("n_events")))
+
+
 def freshness(df: DataFrame, cols: list[str], now_col) -> DataFrame:
     """Latest value of each time column and its lag in seconds behind ``now_col`` (one aggregate)."""
     aggs = []

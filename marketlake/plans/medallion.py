@@ -36,21 +36,22 @@ def dq(spark: SparkSession, lake: Lake, layer: str, gate: bool = True, run_at: s
 
 
 def build_silver(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    b = lambda n: lake.read(spark, "bronze", n)
-    counts = {}
+    """Every Silver table with its row count; rows whose text doesn't parse go to ``_rejected/<table>``, never to NULL."""
     translation = _maybe(spark, lake, "bronze", "olist/product_category_name_translation")
-    outs = {
-        "olist_orders": silver.orders(b("olist/orders")),
-        "olist_order_items": silver.order_items(b("olist/order_items")),
-        "olist_reviews": silver.reviews(b("olist/order_reviews")),
-        "olist_products": silver.products(b("olist/products"), translation),
-        "olist_sellers": silver.sellers(b("olist/sellers")),
-        "cfpb_complaints": silver.complaints(b("cfpb_complaints")),
-        "fx_rates": silver.fx_rates(b("fx_rates")),
+    builds = {
+        "olist_orders": ("olist/orders", silver.orders), "olist_order_items": ("olist/order_items", silver.order_items),
+        "olist_reviews": ("olist/order_reviews", silver.reviews),
+        "olist_products": ("olist/products", lambda df: silver.products(df, translation)),
+        "olist_sellers": ("olist/sellers", silver.sellers), "cfpb_complaints": ("cfpb_complaints", silver.complaints),
+        "fx_rates": ("fx_rates", silver.fx_rates),
     }
-    for name, df in outs.items():
-        counts[name] = write_counted(df, lake.path("silver", name))
-    good, rejected = silver.stripe_events(b("stripe_events_raw"))
+    counts = {}
+    for name, (source, build) in builds.items():
+        good, bad = silver.parsed(lake.read(spark, "bronze", source), source)
+        counts[name] = write_counted(build(good), lake.path("silver", name))
+        if source in silver.TYPED:
+            counts[f"_rejected/{name}"] = write_counted(bad, lake.path("silver", f"_rejected/{name}"))
+    good, rejected = silver.stripe_events(lake.read(spark, "bronze", "stripe_events_raw"))
     counts["stripe_events"] = write_counted(good, lake.path("silver", "stripe_events"))
     counts["_rejected/stripe_events"] = write_counted(rejected, lake.path("silver", "_rejected/stripe_events"))
     return counts

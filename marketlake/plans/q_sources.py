@@ -34,15 +34,22 @@ def a01_a04_jsonl_landing(spark, sf):
                       & F.col("_corrupt_record").isNull()).alias("has_lineage"))
 
 
-@register("a02_a08_csv_landing", with_views(["f_sellers"], """
-select cast(seller_id as varchar) as seller_id, city, state, 'sellers' as table_name from f_sellers"""))
+@register("a02_a08_csv_landing", with_views(["f_sellers", "f_reviews"], """
+select 'sellers' as table_name, cast(seller_id as varchar) as id, city as a, state as b from f_sellers
+union all
+select 'order_reviews', review_id || '/' || order_id || '/' || v, case when order_id % 5 = 0 then 'said "so",' || chr(10) || 'then' || chr(10) || chr(10) || 'left' else 'fine' end,
+       cast(score as varchar) from f_reviews"""))
 def a02_a08_csv_landing(spark, sf):
+    """Two tables from one call; every fifth review text holds quotes, commas and newlines."""
     root = _scratch(spark, "csv")
-    s = fx.f_sellers(spark, sf)
-    (s.select(F.col("seller_id").cast("string"), "city", "state").write.option("header", True)
-      .option("escape", '"').csv(f"{root}/landing/olist_sellers_dataset.csv"))
-    tables = landing.land_tables(spark, [f"{root}/landing/olist_sellers_dataset.csv"])
-    return tables["sellers"].select("seller_id", "city", "state", F.lit("sellers").alias("table_name"))
+    said = F.when(F.col("order_id") % 5 == 0, F.lit('said "so",\nthen\n\nleft')).otherwise(F.lit("fine"))
+    out = {"olist_sellers_dataset.csv": fx.f_sellers(spark, sf).select(F.col("seller_id").cast("string").alias("id"), F.col("city").alias("a"), F.col("state").alias("b")),
+           "olist_order_reviews_dataset.csv": fx.f_reviews(spark, sf).select(F.concat_ws("/", "review_id", "order_id", "v").alias("id"), said.alias("a"), F.col("score").cast("string").alias("b"))}
+    for name, df in out.items():
+        df.write.option("header", True).option("escape", '"').csv(f"{root}/landing/{name}")
+    tables = landing.land_tables(spark, [f"{root}/landing/{name}" for name in out], multi_line=["order_reviews"])
+    parts = [df.select(F.lit(name).alias("table_name"), "id", "a", "b") for name, df in tables.items()]
+    return parts[0].unionByName(parts[1])
 
 
 @register("a06_a07_a12_partition_overwrite", with_views(["f_events_raw"], """

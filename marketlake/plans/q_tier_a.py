@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlake.operators import events, gold, quality, silver
 from marketlake.plans import export
-from marketlake.plans.catalog import SCORE_VIEWS, SQL_SCORES, merchant_table, r6, register, silver_inputs
+from marketlake.plans.catalog import _MERCHANT_SQL, SCORE_VIEWS, SQL_SCORES, merchant_table, r6, register, silver_inputs
 from marketlake.plans.oracle import with_views
 from marketlake.plans.present import present
 from marketlake.sources import fixtures as fx
@@ -21,6 +21,27 @@ def a100_silver_orders(spark, sf):
     return present(silver.orders(fx.f_orders(spark, sf)))
 
 
+@register("a100_orders_landed_text", with_views(["f_orders"], """
+select order_id, customer_id, order_status, purchased_at, approved_at, carrier_at, delivered_at, estimated_at, cast(null as varchar) as reason
+from f_orders where order_id % 13 <> 0 and not (order_id % 19 = 0 and delivered_at is not null)
+union all
+select order_id, customer_id + k, order_status, null, null, null, null, null, case when order_id % 13 = 0 then 'bad_order_purchase_timestamp' else 'bad_order_delivered_customer_date' end
+from f_orders, range(0, 2) r(k)
+where (order_id % 13 = 0 or (order_id % 19 = 0 and delivered_at is not null)) and (k = 0 or order_id % 10 = 0)"""))
+def a100_orders_landed_text(spark, sf):
+    """Orders as landed: text columns, some of which don't parse, and every tenth order twice (with another customer)."""
+    raw = fx.f_orders(spark, sf).withColumn("k", F.explode(F.when(F.col("order_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    text = raw.selectExpr("order_id", "customer_id + k as customer_id", "order_status",
+                          "case when order_id % 13 = 0 then 'last week' else cast(purchased_at as string) end as order_purchase_timestamp",
+                          "cast(approved_at as string) as order_approved_at", "cast(carrier_at as string) as order_delivered_carrier_date",
+                          "case when order_id % 19 = 0 then substr(cast(delivered_at as string), 1, 5) || '?' else cast(delivered_at as string) end as order_delivered_customer_date",
+                          "cast(estimated_at as string) as order_estimated_delivery_date")
+    good, bad = silver.parsed(text, "olist/orders")
+    empty = [F.lit(None).cast("timestamp_ntz").alias(c) for c in ("purchased_at", "approved_at", "carrier_at", "delivered_at", "estimated_at")]
+    return silver.orders(good).withColumn("reason", F.lit(None).cast("string")).unionByName(
+        bad.select("order_id", "customer_id", "order_status", *empty, F.col("_reject_reason").alias("reason")))
+
+
 @register("a101_silver_order_items", with_views(["f_items"], f"""
 select order_id, item_no, product_id, seller_id, ship_by, {r6('price_brl freight_brl')} from f_items"""))
 def a101_silver_order_items(spark, sf):
@@ -87,6 +108,16 @@ def a106_silver_fx_rates(spark, sf):
     return present(silver.fx_rates(fx.f_fx(spark, sf)))
 
 
+@register("a106_fx_latest_receipt", with_views(["f_fx"], """
+select cast(date as timestamp) as date, base, currency, round(rate + case when day(date) % 3 = 0 then 0.5 else 0 end, 6) as rate from f_fx"""))
+def a106_fx_latest_receipt(spark, sf):
+    """Rates received twice on some days: the later receipt counts."""
+    first = fx.f_fx(spark, sf).withColumn("_ingested_at", F.lit("2024-05-01 00:00:00").cast("timestamp_ntz"))
+    later = (first.where(F.dayofmonth("date") % 3 == 0).withColumn("rate", F.col("rate") + 0.5)
+             .withColumn("_ingested_at", F.lit("2024-05-02 00:00:00").cast("timestamp_ntz")))
+    return present(silver.fx_rates(first.unionByName(later)))
+
+
 # ------------------------------------------------------------------ payment events (A107-A110, A11, B03, B04)
 
 KNOWN = "('2023-10-16', '2024-06-20', '2025-03-31')"
@@ -158,6 +189,21 @@ def a110_silver_stripe_events(spark, sf):
     return present(good)
 
 
+@register("a110_events_without_ids", with_views(["f_events_raw"], f"""
+select event_id, ingested_at, reason from (
+  select *, case when event_id is null then 'missing_id' when not coalesce(api_version in {KNOWN}, false) then 'unknown_api_version'
+                 when not coalesce(json_extract_string(payload, '$.currency') in ('usd', 'eur', 'gbp', 'brl', 'jpy'), false) then 'unknown_currency' end as reason
+  from n)
+qualify reason in ('missing_id', 'unknown_api_version') or row_number() over (partition by event_id order by ingested_at) = 1""", ctes="""
+n AS (select * replace (case when cast(substr(event_id, 5) as bigint) % 7 <> 0 then event_id end as event_id) from f_events_raw)"""))
+def a110_events_without_ids(spark, sf):
+    """Every seventh event has no id: each receipt of it is a reject of its own."""
+    raw = fx.f_events_raw(spark, sf).withColumn("event_id", F.when(F.substring("event_id", 5, 20).cast("long") % 7 != 0, F.col("event_id")))
+    good, rejected = silver.stripe_events(raw)
+    return good.select("event_id", "ingested_at", F.lit(None).cast("string").alias("reason")).unionByName(
+        rejected.select("event_id", "ingested_at", F.col("_reject_reason").alias("reason")))
+
+
 @register("b03_orphan_disputes", with_views(EVENT_VIEWS, """
 select d.event_id, d.charge_id from ev d
 where d.event_type = 'charge.dispute.created'
@@ -364,6 +410,41 @@ def a150_a156_dq_silver(spark, sf):
     return quality.run_suite(spark, tables, quality.SILVER)
 
 
+_BRONZE_SOURCES = {"olist/orders": "f_orders", "olist/order_items": "f_items", "olist/sellers": "f_sellers", "cfpb_complaints": "f_complaints", "fx_rates": "f_fx"}
+
+
+@register("a155_dq_bronze", with_views(["f_orders", "f_items", "f_sellers", "f_complaints", "f_fx"],
+    "\nunion all\n".join(_dq_sql(n, src, quality.BRONZE[n]) for n, src in _BRONZE_SOURCES.items())
+    + "\nunion all select 'stripe_events_raw', 'exists', false, 'stripe_events_raw'"))
+def a155_dq_bronze(spark, sf):
+    """The Bronze suite; the events have not landed, which is a failed check and not an error."""
+    read = {"olist/orders": fx.f_orders, "olist/order_items": fx.f_items, "olist/sellers": fx.f_sellers, "cfpb_complaints": fx.f_complaints, "fx_rates": fx.f_fx}
+    tables = {name: f(spark, sf) for name, f in read.items()} | {"stripe_events_raw": None}
+    return quality.run_suite(spark, tables, quality.BRONZE)
+
+
+_GOLD_VIEWS = sorted({*SCORE_VIEWS, *EVENT_VIEWS, "f_complaints"})
+_GOLD_CTES = f"""{SQL_SCORES},
+{SQL_EVENTS},
+{SQL_PAY_RISK},
+g_merchants AS (select * from ({_MERCHANT_SQL})),
+g_payments AS (select *, disputes / payments as dispute_rate, mandate_violations / payments as mandate_violation_rate from pay_risk),
+g_channels AS (select initiation_channel, count(*) filter (where event_type = 'payment_intent.created') as payments from evu group by 1),
+g_complaints AS (select product, count(*) as complaints, avg(cast(timely = 'Yes' as int)) as timely_response_rate
+                 from (select * from f_complaints qualify row_number() over (partition by complaint_id order by _ingested_at desc) = 1) group by product)"""
+_GOLD_SOURCES = {"merchant_dimension_scores": "g_merchants", "merchant_accounts": "g_merchants", "merchant_payment_risk": "g_payments",
+                 "channel_risk": "g_channels", "external_dispute_benchmarks": "g_complaints"}
+
+
+@register("a155_dq_gold", with_views(_GOLD_VIEWS, "\nunion all\n".join(_dq_sql(n, src, quality.GOLD[n]) for n, src in _GOLD_SOURCES.items()), ctes=_GOLD_CTES))
+def a155_dq_gold(spark, sf):
+    merchants = merchant_table(spark, sf)
+    ev = gold.to_usd(silver_events(spark, sf)[0], silver.fx_rates(fx.f_fx(spark, sf)))
+    tables = {"merchant_dimension_scores": merchants, "merchant_accounts": merchants.select("account_id"), "merchant_payment_risk": gold.payment_risk(ev),
+              "channel_risk": gold.channel_risk(ev), "external_dispute_benchmarks": gold.benchmarks(silver.complaints(fx.f_complaints(spark, sf)))}
+    return quality.run_suite(spark, tables, quality.GOLD)
+
+
 # ------------------------------------------------------------------ primitives
 
 @register("a09_flatten_fx_documents", with_views(["f_fx"], """

@@ -7,7 +7,7 @@ Readers declare a schema (no inference pass over 100 TB of text) and keep malfor
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,12 +62,14 @@ def table_name_from_file(path: str) -> str:
 
 
 def land_tables(spark: SparkSession, paths: Sequence[str], columns: Mapping[str, Sequence[str]] | None = None,
-                ingested_at: Column | str | None = None) -> dict[str, DataFrame]:
-    """Multi-table landing: one all-string Bronze DataFrame per CSV file, named from the file."""
+                ingested_at: Column | str | None = None, multi_line: bool | Collection[str] = True) -> dict[str, DataFrame]:
+    """Multi-table landing: one all-string Bronze DataFrame per CSV file, named from the file. Quoted fields may hold
+    newlines in all tables (``multi_line``), or only in the tables named: the files of the others are split over tasks."""
     out = {}
     for p in sorted(paths):
         name = table_name_from_file(p)
-        out[name] = read_csv_strings(spark, p, (columns or {}).get(name), ingested_at)
+        lines = multi_line if isinstance(multi_line, bool) else name in multi_line
+        out[name] = read_csv_strings(spark, p, (columns or {}).get(name), ingested_at, lines)
     return out
 
 
