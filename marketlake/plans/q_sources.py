@@ -14,7 +14,7 @@ from marketlake.plans.oracle import with_views
 from marketlake.session import shared_scratch
 from marketlake.sources import fixtures as fx
 from marketlake.sources import landing
-from marketlake.sources.sinks import compact, write_counted, write_partition
+from marketlake.sources.sinks import compact, read_table, write_counted, write_partition
 from marketlake.streaming.ingest import ENVELOPE_SCHEMA, land_jsonl
 
 
@@ -70,10 +70,11 @@ def a06_a07_a12_partition_overwrite(spark, sf):
 @register("b10_compaction", with_views(["f_events_raw"], """
 select event_id, ingested_at, cast(cast(created as date) as varchar) as ds from f_events_raw"""))
 def b10_compaction(spark, sf):
-    """Small files in -> files of at most 500 rows out, partition values and rows unchanged."""
+    """Days of many small files are packed to the target size, a second run over the packed table finds nothing to do;
+    rows and partition values stay."""
     root = _scratch(spark, "compact")
     raw = fx.f_events_raw(spark, sf).withColumn("ds", F.to_date("created").cast("string"))
-    write_counted(raw.repartition(32), f"{root}/small", partition_by="ds")
-    compact(spark, f"{root}/small", f"{root}/compact", rows_per_file=500, partition_by="ds")
-    return spark.read.parquet(f"{root}/compact").select("event_id", "ingested_at",
-                                                        F.col("ds").cast("string").alias("ds"))
+    write_counted(raw.repartition(16), f"{root}/table", partition_by="ds")
+    for _ in range(2):
+        compact(spark, f"{root}/table", 1 << 20, partition_by="ds")
+    return read_table(spark, f"{root}/table").select("event_id", "ingested_at", F.col("ds").cast("string").alias("ds"))

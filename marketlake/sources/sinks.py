@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -61,17 +61,104 @@ def write_document(doc: DataFrame, path: str) -> None:
     doc.coalesce(1).write.mode("overwrite").text(path)
 
 
-def compact(spark: SparkSession, src: str, dst: str, rows_per_file: int, partition_by: str | None = None) -> int:
-    """Rewrite a table into files of at most ``rows_per_file`` rows (small-file compaction).
-
-    Every partition value is dealt to as many tasks as it fills files, by a hash of the row: a day that
-    holds a third of the table spreads over many tasks, a tiny day is one file, and a retried task
-    rebuilds exactly the same files."""
-    df = spark.read.parquet(src)
-    value = F.col(partition_by) if partition_by else F.lit(0)
-    files = df.groupBy(value.alias("_value")).agg(F.ceil(F.count("*") / rows_per_file).cast("long").alias("_files"))
-    total = files.agg(F.sum("_files")).first()[0] or 1
-    row = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("_files"))
-    dealt = (df.join(files, value.eqNullSafe(F.col("_value"))).withColumn("_file", row)
-             .repartition(max(int(total), 1), "_value", "_file").drop("_value", "_files", "_file"))
-    return write_counted(dealt, dst, partition_by=partition_by, max_records_per_file=rows_per_file)
+# ------------------------------------------------------------------ compaction
+
+#: Folder of a table's manifests: ``_manifest/v=N`` lists the files of version N; a version counts once its _SUCCESS is there.
+_MANIFEST = "_manifest"
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def version(spark: SparkSession, table: str) -> int | None:
+    """The last committed manifest of a table; None if it never had one."""
+    fs, path = _fs(spark, f"{table}/{_MANIFEST}")
+    if not fs.exists(path):
+        return None
+    done = [int(s.getPath().getName()[2:]) for s in fs.listStatus(path)
+            if s.getPath().getName().startswith("v=") and fs.exists(_fs(spark, f"{s.getPath()}/_SUCCESS")[1])]
+    return max(done, default=None)
+
+
+def files(spark: SparkSession, table: str) -> DataFrame:
+    """(path, bytes) of a table's files: those of its manifest, or what its folders hold if it has none. Only names and
+    sizes are read."""
+    last = version(spark, table)
+    if last is not None:
+        return spark.read.schema("path string, bytes long").parquet(f"{table}/{_MANIFEST}/v={last}")
+    return _listed(spark, table)
+
+
+def _listed(spark: SparkSession, folder: str) -> DataFrame:
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(folder)
+    return found.select("path", F.col("length").alias("bytes"))
+
+
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """A table by its last manifest: a compaction that is at work, or was killed, is never seen. As with any table format
+    the driver plans with the list of file names."""
+    if version(spark, table) is None:
+        return spark.read.parquet(table)
+    names = [r["path"] for r in files(spark, table).select("path").collect()]
+    return spark.read.option("basePath", table).parquet(*names)
+
+
+def compact(spark: SparkSession, table: str, target_bytes: int, partition_by: str | None = None) -> int:
+    """Pack the small files of each partition into files of about ``target_bytes``; returns the number of the last manifest.
+
+    Files of at least half the target stay as they are, and so do partitions with a single small file. The others of a
+    partition are packed by size, one after another, into bins; a bin is read and written by one task, as one file. New files
+    are moved into place and become part of the table only with the manifest that names them and no longer names the
+    old ones, which are deleted after that. A run that is killed leaves files that no manifest names; the next run removes
+    them."""
+    last = version(spark, table)
+    if last is None:
+        files(spark, table).select("path", "bytes").write.mode("overwrite").parquet(f"{table}/{_MANIFEST}/v=0")
+        last = 0
+    remove_strays(spark, table)
+    listed = files(spark, table).withColumn("folder", F.regexp_extract("path", r"^(.*)/[^/]+$", 1))
+    small = F.col("bytes") * 2 < target_bytes
+    run = F.sum("bytes").over(Window.partitionBy("folder").orderBy("bytes", "path").rowsBetween(Window.unboundedPreceding, -1))
+    bins = listed.where(small).withColumn("bin", F.floor(F.coalesce(run, F.lit(0)) / target_bytes))
+    several = F.count("*").over(Window.partitionBy("folder", "bin")) > 1
+    # names of the files to be rewritten: Spark plans a scan with their list anyhow
+    plan = bins.withColumn("several", several).where("several").select("path", "folder", "bin").collect()
+    if not plan:
+        return last
+    stage = f"{table}/_compacting"
+    fs, folder = _fs(spark, stage)
+    fs.delete(folder, True)
+    numbers = {key: n for n, key in enumerate(sorted({(r["folder"], r["bin"]) for r in plan}))}
+    plain = lambda c: F.regexp_replace(F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    chosen = spark.createDataFrame([(r["path"], numbers[r["folder"], r["bin"]]) for r in plan], "_name string, _bin int")
+    old = spark.read.option("basePath", table).parquet(*[r["path"] for r in plan]).withColumn("_path", plain(F.col("_metadata.file_path")))
+    # a left join, so that no row can get lost with a name; the list of names is the plan's own
+    rows = old.join(F.broadcast(chosen), F.col("_path") == F.col("_name"), "left").drop("_path", "_name")
+    rows.repartition(len(numbers), "_bin").write.partitionBy(*[c for c in (partition_by, "_bin") if c]).parquet(stage)
+    moved = []
+    for r in _listed(spark, stage).collect():
+        home = f"{table}/{r['path'].split('/_compacting/')[1].split('/')[0]}" if partition_by else table
+        new = f"{home}/compact-{last + 1:06d}-{len(moved):06d}.parquet"
+        if not fs.rename(_fs(spark, r["path"])[1], _fs(spark, new)[1]):
+            raise OSError(f"cannot move {r['path']} to {new}")
+        moved.append((str(fs.makeQualified(_fs(spark, new)[1])), r["bytes"]))
+    gone = chosen.select(F.col("_name").alias("path"))
+    live = listed.select("path", "bytes").join(gone, "path", "left_anti").unionByName(spark.createDataFrame(moved, "path string, bytes long"))
+    live.write.mode("overwrite").parquet(f"{table}/{_MANIFEST}/v={last + 1}")  # the commit
+    fs.delete(folder, True)
+    for r in plan:
+        fs.delete(_fs(spark, r["path"])[1], False)
+    return last + 1
+
+
+def remove_strays(spark: SparkSession, table: str) -> int:
+    """Delete data files that the table's last manifest doesn't name (of a run that was killed); returns their number."""
+    if version(spark, table) is None:
+        return 0
+    everything = _listed(spark, table).select("path")
+    strays = [r["path"] for r in everything.join(files(spark, table), "path", "left_anti").collect()]
+    for path in strays:
+        _fs(spark, path)[0].delete(_fs(spark, path)[1], False)
+    return len(strays)

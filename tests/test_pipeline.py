@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from marketlake.operators import quality
 from marketlake.plans import medallion
 from marketlake.sources import fixtures as fx
-from marketlake.sources import landing
+from marketlake.sources import landing, sinks
 from marketlake.sources.sinks import Lake, write_counted, write_partition
 
 
@@ -92,16 +92,54 @@ def test_partition_overwrite_is_idempotent(spark, tmp_path):
     assert {r.ds: r["count"] for r in got} == {"d1": 5, "d2": 5}
 
 
-def test_compaction_caps_rows_per_file(spark, tmp_path):
-    import pyarrow.parquet as pq
-    from marketlake.sources.sinks import compact
-    src, dst = str(tmp_path / "small"), str(tmp_path / "big")
-    spark.range(3000).withColumn("ds", (F.col("id") % 3).cast("string")).repartition(40) \
-        .write.partitionBy("ds").parquet(src)
-    assert compact(spark, src, dst, rows_per_file=400, partition_by="ds") == 3000
-    files = [p for p in (tmp_path / "big").rglob("*.parquet")]
-    assert all(pq.ParquetFile(str(f)).metadata.num_rows <= 400 for f in files)
-    assert spark.read.parquet(dst).count() == 3000
+def _small_files(spark, tmp_path):
+    table = str(tmp_path / "table")
+    spark.range(3000).withColumn("ds", F.when(F.col("id") < 2000, "hot").otherwise((F.col("id") % 3).cast("string"))).repartition(20) \
+        .write.partitionBy("ds").parquet(table)
+    spark.range(3000, 43000).withColumn("ds", F.lit("hot")).coalesce(1).write.mode("append").partitionBy("ds").parquet(table)
+    return table
+
+
+def _names(tmp_path):
+    return {str(p.relative_to(tmp_path)): p.stat().st_size for p in (tmp_path / "table").rglob("*.parquet") if "_manifest" not in str(p)}
+
+
+def test_compaction_packs_small_files_and_leaves_large_ones(spark, tmp_path):
+    table = _small_files(spark, tmp_path)
+    before = _names(tmp_path)
+    large = {n for n, size in before.items() if size * 2 >= 100_000}
+    assert sinks.compact(spark, table, 100_000, "ds") == 1 and len(large) == 1
+    after = _names(tmp_path)
+    assert large <= set(after) and len(after) < len(before) / 4  # untouched files keep their names
+    assert max(s for n, s in after.items() if n not in large) < 200_000
+    out = sinks.read_table(spark, table)
+    assert out.count() == 43000 == out.select("id").distinct().count()
+    assert {r["ds"]: r["count"] for r in out.groupBy("ds").count().collect()} == {"hot": 42000, "0": 333, "1": 333, "2": 334}
+    assert sinks.compact(spark, table, 100_000, "ds") == 1 and _names(tmp_path) == after  # nothing left to do
+    assert spark.read.parquet(table).count() == 43000  # a reader without the manifest, when no run is at work
+
+
+def test_a_killed_compaction_is_never_seen(spark, tmp_path, monkeypatch):
+    table = _small_files(spark, tmp_path)
+    sinks.compact(spark, table, 3_000, "ds")
+    last = sinks.version(spark, table)
+    before = sinks.read_table(spark, table).count()
+
+    writer = type(spark.range(1).write)
+    set_mode = writer.mode
+
+    def killed(self, mode):
+        if mode == "overwrite":  # the manifest is the only write that says so
+            raise RuntimeError("killed")
+        return set_mode(self, mode)
+
+    monkeypatch.setattr(writer, "mode", killed)
+    with pytest.raises(RuntimeError):
+        sinks.compact(spark, table, 100_000, "ds")
+    monkeypatch.undo()
+    assert sinks.version(spark, table) == last and sinks.read_table(spark, table).count() == before == 43000
+    assert spark.read.parquet(table).count() > 43000  # what was moved and never named
+    assert sinks.compact(spark, table, 100_000, "ds") == last + 1 and spark.read.parquet(table).count() == 43000 and sinks.read_table(spark, table).count() == 43000
 
 
 def test_range_smoke(spark):
