@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.exprs import hash_bucket_sha
+from marketlake.operators.windows import prior
 
 # A number: a minus sign only at the start or after white space ("5-3" holds 5 and 3); not part of a longer
 # dotted run ("1.2.3" is none), but a full stop may follow ("0.91." holds 0.91).
@@ -65,6 +66,34 @@ def dashboard(decisions: DataFrame, ts: str = "ts") -> DataFrame:
                           F.avg("p_fraud").alias("avg_p_fraud")))
 
 
+def trust_detail(daily: DataFrame, key: str, score: str, components: Sequence[str], days: int = 7) -> DataFrame:
+    """Trust-detail view: for each key its last snapshot, the change since ``days`` snapshots before, the weakest component
+    (ties by name) and the lowest score so far. One pass over the snapshots: the last two of interest per key are kept by
+    partial aggregates."""
+    last = daily.agg(F.max("snapshot")).scalar()
+    before = F.col("snapshot") == last - F.make_dt_interval(F.lit(days))
+    now = F.col("snapshot") == last
+    weakest = F.array_min(F.array(*[F.struct(F.col(c).alias("v"), F.lit(c).alias("name")) for c in components]))
+    return (daily.withColumn("_weak", F.when(now, weakest["name"])).groupBy(key)
+            .agg(F.max("snapshot").alias("snapshot"), F.max(F.when(now, F.col(score))).alias("score"), F.max(F.when(before, F.col(score))).alias("score_before"),
+                 F.max("_weak").alias("weakest"), F.min(score).alias("lowest"), F.min_by("snapshot", F.struct(F.col(score), F.col("snapshot"))).alias("lowest_at"))
+            .withColumn("change", F.col("score") - F.col("score_before")))
+
+
+def investigation(decisions: DataFrame, evidence: DataFrame, disputes: DataFrame, as_of: str, entity: str = "merchant_id") -> DataFrame:
+    """Investigation view: every transaction not approved, with what its entity's evidence says (as a map), the dispute that
+    was known by ``as_of``, and its rank by amount in the day's queue (1 + those of greater amounts, as a running count that
+    cuts large days into ranges)."""
+    facts = evidence.groupBy("entity").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "value")))).alias("facts"))  # as many as features
+    t = F.lit(as_of).cast("timestamp_ntz")
+    known = disputes.where(F.col("created") < t).groupBy("txn_id").agg(F.max_by("reason", "created").alias("dispute_reason"))
+    flagged = decisions.where(F.col("decision") != "APPROVE")
+    keyed = flagged.withColumns({"_day": F.to_date("ts"), "_t": -F.round(F.col("amount") * 1_000_000).cast("long")})
+    ranked = prior(keyed, ["_day", "decision"], "_t", {"queue_rank": F.lit(1).cast("long")}).drop("_day", "_t")
+    return (ranked.withColumn("queue_rank", F.col("queue_rank") + 1)
+            .join(facts, F.col(entity) == F.col("entity"), "left").drop("entity").join(known, "txn_id", "left"))
+
+
 def sample(df: DataFrame, fractions: Mapping[str, float], key: str, stratum: str = "channel",
            seed: int = 0) -> DataFrame:
     """Stratified hash sample: each stratum keeps its own fraction; a row is kept iff its hash

@@ -13,10 +13,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.operators import isotonic
+
 
 def feature_frame(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Cast feature columns to double (booleans -> 0/1) so they can be imputed and assembled."""
@@ -47,21 +48,14 @@ def score(model: PipelineModel, df: DataFrame, cols: Sequence[str]) -> DataFrame
     return out.select(*keep, vector_to_array("probability")[1].alias("p_raw"))
 
 
-SCORE_STEPS = 100_000  # scores are pooled to this resolution before the calibration curve is fitted
-
-
-def calibrate(scored: DataFrame, label: str = "label") -> IsotonicRegressionModel:
-    """The isotonic curve of the label on ``p_raw``, fitted on one weighted point per distinct score step, so
-    its input is bounded by ``SCORE_STEPS`` however many rows there are."""
-    step = F.round(F.col("p_raw") * SCORE_STEPS) / SCORE_STEPS
-    points = scored.groupBy(step.alias("_p")).agg(F.avg(F.col(label).cast("double")).alias("_y"), F.count("*").cast("double").alias("_w"))
-    data = VectorAssembler(inputCols=["_p"], outputCol="_pv").transform(points)
-    return IsotonicRegression(featuresCol="_pv", labelCol="_y", weightCol="_w", predictionCol="p_fraud").fit(data)
+def calibrate(scored: DataFrame, label: str = "label") -> DataFrame:
+    """The isotonic curve of the label on ``p_raw``, over all distinct scores (``isotonic.fit``)."""
+    return isotonic.fit(scored, "p_raw", label)
 
 
-def calibrated(curve: IsotonicRegressionModel, scored: DataFrame) -> DataFrame:
+def calibrated(curve: DataFrame, scored: DataFrame) -> DataFrame:
     """Adds ``p_fraud``, the calibrated probability, to rows with ``p_raw``."""
-    return curve.transform(VectorAssembler(inputCols=["p_raw"], outputCol="_pv").transform(scored)).drop("_pv")
+    return isotonic.apply(scored, curve, "p_raw", "p_fraud")
 
 
 def importance(spark: SparkSession, model: PipelineModel, cols: Sequence[str]) -> DataFrame:

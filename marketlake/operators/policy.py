@@ -53,10 +53,11 @@ def cap_review(df: DataFrame, capacity: int = REVIEW_CAPACITY_PER_DAY, ts: str =
 
 
 def step_up(df: DataFrame, mandates: DataFrame, threshold_col: str = "requires_human_confirmation_above",
-            agent_trust: str | None = None, trust_min: float = 70.0) -> DataFrame:
+            agent_trust: str | None = None, trust_min: float = 70.0, arm: str | None = None) -> DataFrame:
     """STEP_UP for ``agent_delegated`` transactions when the amount exceeds the mandate's
     human-confirmation threshold, or the decision is REVIEW and a human principal is reachable, or
-    the mandate scope is exceeded while the agent's trust is otherwise high."""
+    the mandate scope is exceeded while the agent's trust is otherwise high. ``arm``: also tell, under this
+    name, which of these held first (``confirmation``, ``review``, ``trusted_agent``)."""
     cols = ["mandate_id", "max_amount_per_txn"] + ([threshold_col] if threshold_col in mandates.columns else [])
     m = mandates.select(*cols)
     t = df.join(m, "mandate_id", "left")
@@ -64,12 +65,13 @@ def step_up(df: DataFrame, mandates: DataFrame, threshold_col: str = "requires_h
     reachable = F.col("user_intent_present") if "user_intent_present" in df.columns else F.lit(True)
     exceeded = F.col("amount") > F.col("max_amount_per_txn")
     trusted = (F.col(agent_trust) >= trust_min) if agent_trust else F.lit(False)
-    rule = (F.coalesce(F.col("amount") > thr, F.lit(False))
-            | ((F.col("decision") == "REVIEW") & F.coalesce(reachable, F.lit(False)))
-            | (F.coalesce(exceeded, F.lit(False)) & trusted))
-    return (t.withColumn("decision", F.when((F.col("channel") == "agent_delegated") & rule, "STEP_UP")
-                         .otherwise(F.col("decision")))
-             .drop(*[c for c in cols if c != "mandate_id"]))
+    sure = lambda c: F.coalesce(c, F.lit(False))
+    held = (F.when(sure(F.col("amount") > thr), "confirmation").when(sure((F.col("decision") == "REVIEW") & reachable), "review")
+             .when(sure(exceeded & trusted), "trusted_agent"))
+    out = (t.withColumn("_arm", F.when(F.col("channel") == "agent_delegated", held))
+            .withColumn("decision", F.when(F.col("_arm").isNotNull(), "STEP_UP").otherwise(F.col("decision")))
+            .drop(*[c for c in cols if c != "mandate_id"]))
+    return out.withColumnRenamed("_arm", arm) if arm else out.drop("_arm")
 
 
 def decide(df: DataFrame, version: str = POLICY_VERSION) -> DataFrame:

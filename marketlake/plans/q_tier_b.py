@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketlake.operators import evaluate, events, evidence, graph, labels, policy, quality, trust
+from marketlake.operators import evaluate, events, evidence, graph, isotonic, labels, policy, quality, trust
 from marketlake.plans.catalog import register
 from marketlake.plans.oracle import with_views
 from marketlake.plans.present import present
@@ -393,6 +393,27 @@ def b53_review_queue(spark, sf):
 _SWEEP = [{"cost_false_decline_usd": v} for v in (30, 45, 60, 90)]
 
 
+@register("b54_step_up_arms", with_views(_TRUST_VIEWS, """
+select p.txn_id, coalesce(x.arm, 'none') as arm, case when x.arm is not null then 'STEP_UP' else d1 end as decision
+from pcap p left join (
+  select p.txn_id, case when p.amount > m.threshold then 'confirmation' when p.d1 = 'REVIEW' and coalesce(p.user_intent_present, false) then 'review'
+                        when p.amount > m.max_amount_per_txn and t.agent_trust_score >= 60 then 'trusted_agent' end as arm
+  from pcap p left join (select *, case when mandate_id % 3 = 0 then max_amount_per_txn * 2 end as threshold from f_mandates) m on p.mandate_id = m.mandate_id
+  left join (""" + _AGENT_SQL + """) t on t.agent_id = p.agent_id and t.snapshot = cast(cast(p.ts as date) as timestamp)
+  where p.channel = 'agent_delegated') x on x.txn_id = p.txn_id""", ctes=_AGENT_CTES + ",\n" + _DECISION_CTES.replace("sc AS", "sc2 AS")))
+def b54_step_up_arms(spark, sf):
+    """All three arms: a confirmation threshold on every third mandate, reviews with a reachable human, and scopes exceeded
+    by agents whose trust of that morning is high."""
+    t = fx.f_txns(spark, sf).withColumn("p_fraud", F.col("risk_score") / 100.0)
+    s = fx.f_sessions(spark, sf).select("session_id", "user_intent_present")
+    mandates = fx.f_mandates(spark, sf).withColumn("requires_human_confirmation_above", F.when(F.col("mandate_id") % 3 == 0, F.col("max_amount_per_txn") * 2))
+    scores = _agent_trust(spark, sf).select(F.col("agent_id"), F.to_date("snapshot").alias("_day"), "agent_trust_score")
+    d = policy.cap_review(policy.costs(t.join(s, "session_id", "left")), _REVIEW_CAPACITY)
+    d = d.withColumn("_day", F.to_date("ts")).join(scores, ["agent_id", "_day"], "left")
+    out = policy.step_up(d, mandates, agent_trust="agent_trust_score", trust_min=60.0, arm="arm")
+    return out.select("txn_id", F.coalesce("arm", F.lit("none")).alias("arm"), "decision")
+
+
 @register("b56_threshold_sweep", with_views(["f_txns"], """
 select cfd as cost_false_decline_usd, 5.0 as review_cost_usd,
        count(*) filter (where d = 'APPROVE') as approve, count(*) filter (where d = 'DECLINE') as decline,
@@ -418,6 +439,19 @@ cur AS (select threshold, pos, neg,
 pr AS (select *, tp / (tp + fp) as precision, tp / (select sum(pos) from per) as recall from cur)"""
 
 
+@register("b51_isotonic_fit", with_views(["f_txns"], """
+select txn_id, round(fitted, 6) as fitted from f_txns join fit on fit.x = risk_score""", ctes="""
+sc AS (select risk_score as x, count(*) as w, count(*) filter (where risk_score * 7 + txn_id % 50 > 400 + 30 * (risk_score % 9)) as s from f_txns group by 1),
+cu AS (select x, w, s, sum(w) over (order by x) as cw, sum(s) over (order by x) as cs from sc),
+-- the fit at x: the greatest, over starts a up to x, of the least mean over ends b from x on
+mm AS (select m.x, a.x as a, min((b.cs - a.cs + a.s) / (b.cw - a.cw + a.w)) as least from cu m join cu a on a.x <= m.x join cu b on b.x >= m.x group by 1, 2),
+fit AS (select x, max(least) as fitted from mm group by 1)"""))
+def b51_isotonic_fit(spark, sf):
+    """Calibration of the platform's own score against a planted signal that rises unevenly."""
+    t = fx.f_txns(spark, sf).withColumn("y", F.expr("int(risk_score * 7 + txn_id % 50 > 400 + 30 * (risk_score % 9))"))
+    return present(isotonic.apply(t.select("txn_id", "risk_score"), isotonic.fit(t, "risk_score", "y"), "risk_score", "fitted").select("txn_id", "fitted"))
+
+
 @register("b57_pr_curve", with_views(["f_txns"], """
 select round(threshold, 6) as threshold, pos, neg, cast(tp as bigint) as tp, cast(fp as bigint) as fp,
        round(precision, 6) as precision, round(recall, 6) as recall from pr""", ctes=_PR_CTES))
@@ -600,6 +634,32 @@ def b65_dashboard(spark, sf):
     return present(evidence.dashboard(decisions(spark, sf)))
 
 
+@register("b65_trust_detail", with_views(_TRUST_VIEWS, f"""
+select s.merchant_id, s.snapshot, round(s.merchant_trust_score, 6) as score, round(o.merchant_trust_score, 6) as score_before, s.weakest,
+       l.lowest, l.lowest_at, round(s.merchant_trust_score - o.merchant_trust_score, 6) as change
+from (select *, (select name from (values (transaction, 'transaction'), (identity, 'identity'), (behavioral, 'behavioral'), (customer, 'customer'), (network, 'network')) v(x, name)
+                 order by x, name limit 1) as weakest from mts where snapshot = (select max(snapshot) from mts)) s
+left join mts o on o.merchant_id = s.merchant_id and o.snapshot = s.snapshot - interval 7 day
+join (select merchant_id, min(merchant_trust_score) as lowest, arg_min(snapshot, (merchant_trust_score, snapshot)) as lowest_at from mts group by 1) l
+  on l.merchant_id = s.merchant_id""", ctes=_MERCHANT_CTES + f",\nmts AS ({_MERCHANT_SQL})"))
+def b65_trust_detail(spark, sf):
+    daily = present(_merchant_trust(spark, sf))  # rounded first, as the view's readers see the scores
+    return present(evidence.trust_detail(daily, "merchant_id", "merchant_trust_score", _MT_COLS))
+
+
+@register("b65_investigation", with_views(_DEC_VIEWS + ["f_disputes"], f"""
+select dc.txn_id, dc.decision, rank() over (partition by cast(dc.ts as date), dc.decision order by cast(round(dc.amount * 1000000) as bigint) desc) as queue_rank,
+       round(mi.dispute_rate_30d, 6) as dispute_rate_30d, round(mi.risky_customer_ratio, 6) as risky_customer_ratio, x.dispute_reason
+from dc left join mi on mi.merchant_id = dc.merchant_id
+left join (select txn_id, arg_max(reason, created) as dispute_reason from f_disputes where created < timestamp '{{TRUST_AS_OF}}' group by 1) x on x.txn_id = dc.txn_id
+where dc.decision <> 'APPROVE'""".replace("{TRUST_AS_OF}", TRUST_AS_OF), ctes=_MERCHANT_INPUT_CTES + ",\n" + _DECISION_CTES))
+def b65_investigation(spark, sf):
+    facts = evidence.bundle(_merchant_inputs(spark, sf), "merchant_id", _BUNDLE_COLS)
+    out = evidence.investigation(decisions(spark, sf), facts, fx.f_disputes(spark, sf), TRUST_AS_OF)
+    return present(out.select("txn_id", "decision", "queue_rank", F.col("facts")["dispute_rate_30d"].alias("dispute_rate_30d"),
+                              F.col("facts")["risky_customer_ratio"].alias("risky_customer_ratio"), "dispute_reason"))
+
+
 @register("b66_stratified_sample", with_views(["f_txns"], """
 select channel, count(*) as sampled, round(sum(1.0 / f), 6) as estimated_txns, round(sum(amount / f), 6) as estimated_amount
 from (select *, case channel when 'human_initiated' then 0.05 when 'agent_delegated' then 0.5 else 1.0 end as f
@@ -639,6 +699,25 @@ def b05_row_expectations(spark, sf):
     return rejected.select("event_id", "ingested_at", F.array_join("_failed", ",").alias("failed"))
 
 
+@register("b05_silver_expectations", with_views(EVENT_VIEWS, """
+select event_id, array_to_string(list_filter([case when object_id is null then 'transaction_id' end, case when acc is null then 'account_id' end,
+         case when not coalesce(a > 0, false) then 'amount_positive' end,
+         case when not coalesce(a * case currency when 'jpy' then 1 else 100 end = amount_minor, false) then 'minor_units' end],
+         lambda x: x is not null), ',') as failed
+from nv where object_id is null or acc is null or not coalesce(a > 0, false) or not coalesce(a * case currency when 'jpy' then 1 else 100 end = amount_minor, false)""",
+         ctes=SQL_EVENTS + """,
+nv AS (select *, case when k % 45 <> 0 then account_id end as acc,
+              case when k % 40 = 0 then cast(amount_minor / 100.0 as decimal(20, 4)) when k % 41 = 0 then 0 else amount end as a
+       from (select *, cast(substr(event_id, 5) as bigint) as k from ev))"""))
+def b05_silver_expectations(spark, sf):
+    """Rules of Silver events against planted faults: amounts divided by 100 whatever the currency, zero amounts, no account."""
+    k = F.substring("event_id", 5, 20).cast("long")
+    ev, _ = silver_events(spark, sf)
+    wrong = (F.when(k % 40 == 0, (F.col("amount_minor") / 100.0).cast("decimal(20,4)")).when(k % 41 == 0, F.lit(0).cast("decimal(20,4)")).otherwise(F.col("amount")))
+    _, rejected = quality.expect(ev.withColumn("amount", wrong).withColumn("account_id", F.when(k % 45 != 0, F.col("account_id"))), quality.EVENT_RULES)
+    return rejected.select("event_id", F.array_join("_failed", ",").alias("failed"))
+
+
 @register("b06_schema_report", with_views(["f_events_raw"], """
 select k.version, k.key, k.n_events, round(k.n_events / t.n, 6) as share
 from (select api_version as version, key, count(*) as n_events
