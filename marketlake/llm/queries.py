@@ -114,16 +114,29 @@ reach(doc_id, root) AS (SELECT doc_id, doc_id FROM t UNION SELECT e.b, r.root FR
 SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.root) AS component_id, r.doc_id = min(r.root) AS kept
 FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id"""
 
+_A, _B, _C, _EVERY = units.BOUNDARY
+# units: lines, cut after the words that their first and last byte and their size pick; runs of repeated ones by letters
 OP7_SQL = f"""
 WITH l AS (SELECT doc_id, length(text) AS size, unnest(string_split(text, chr(10))) AS line,
-                  generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
-p AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-             AS start, {WORDS.format('line')} AS w FROM l),
-u AS (SELECT *, first_value(doc_id) OVER o AS first_doc_id, first_value(start) OVER o AS first_start FROM p WHERE len(w) >= {units.LEAST_WORDS}
-      WINDOW o AS (PARTITION BY array_to_string(w, ' ') ORDER BY doc_id, start))
-SELECT doc_id, CAST(start AS BIGINT) AS start, CAST(least(start + length(line) + 1, size) AS BIGINT) AS "end", len(w) AS n_words,
+                  generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE doc_id IS NOT NULL),
+p AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos,
+             {WORDS.format('line')} AS w, regexp_extract_all(line, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+') AS spaced FROM l),
+x AS (SELECT doc_id, size, i, pos, length(line) AS line_size, unnest(w) AS word, unnest(spaced) AS piece, generate_subscripts(w, 1) AS k FROM p WHERE len(w) > 0),
+y AS (SELECT *, pos + sum(length(piece)) OVER o - length(word) AS begin, hex(encode(word)) AS h FROM x WINDOW o AS (PARTITION BY doc_id, i ORDER BY k)),
+z AS (SELECT *, ({_A} * CAST('0x' || left(h, 2) AS INT) + {_B} * CAST('0x' || right(h, 2) AS INT) + {_C} * length(h) // 2) % {_EVERY} = 0 AS last FROM y),
+n AS (SELECT *, coalesce(sum(CAST(last AS INT)) OVER (PARTITION BY doc_id, i ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS u FROM z),
+e AS (SELECT doc_id, size, i, u, pos, line_size, string_agg(word, ' ' ORDER BY k) AS words, count(*) AS n_words, min(begin) AS begin,
+             sum(length(regexp_replace(word, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]', '', 'g'))) AS letters
+      FROM n GROUP BY ALL),
+t AS (SELECT *, CASE WHEN u = 0 THEN pos ELSE begin END AS start, row_number() OVER (PARTITION BY doc_id ORDER BY i, u) AS number,
+             lead(begin) OVER (PARTITION BY doc_id, i ORDER BY u) AS next FROM e),
+f AS (SELECT *, first_value(doc_id) OVER o AS first_doc_id, first_value(start) OVER o AS first_start FROM t
+      WINDOW o AS (PARTITION BY words ORDER BY doc_id, start)),
+r AS (SELECT *, number - row_number() OVER (PARTITION BY doc_id ORDER BY number) AS run FROM f WHERE doc_id <> first_doc_id OR start <> first_start),
+s AS (SELECT *, sum(letters) OVER (PARTITION BY doc_id, run) AS total FROM r)
+SELECT doc_id, CAST(start AS BIGINT) AS start, CAST(coalesce(next, least(pos + line_size + 1, size)) AS BIGINT) AS "end", n_words,
        first_doc_id, CAST(first_start AS BIGINT) AS first_start
-FROM u WHERE doc_id <> first_doc_id OR start <> first_start"""
+FROM s WHERE total >= {units.LETTERS}"""
 
 
 def oracle_sql() -> dict[str, str]:

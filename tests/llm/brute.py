@@ -57,15 +57,31 @@ def text_lines(text: str):
         at += len(line) + 1
 
 
-def repeated_lines(docs: list[tuple], least: int = 5) -> set:
-    """(doc_id, start, end, words, first_doc_id, first_start) of every later occurrence."""
+def repeated_units(docs: list[tuple], letters: int, boundary: tuple) -> set:
+    """(doc_id, start, end, words, first_doc_id, first_start) of every later occurrence in a run of enough letters."""
+    a, b, c, every = boundary
     first, out = {}, set()
     for d, t in sorted(x for x in docs if x[0] is not None and x[1]):
-        for start, end, tokens in text_lines(t):
-            if len(tokens) >= least:
-                kept = first.setdefault(tuple(tokens), (d, start))
-                if kept != (d, start):
-                    out.add((d, start, end, len(tokens), *kept))
+        units, at = [], 0
+        for line in t.split("\n"):
+            line_end = min(at + len(line) + 1, len(t))
+            found, own = [(at + m.start(), low(m.group())) for m in re.finditer(r"[^\x20\x09-\x0D]+", line)], []
+            for k, (start, word) in enumerate(found):
+                raw = word.encode()
+                own.append((start, word))
+                if k + 1 == len(found) or (a * raw[0] + b * raw[-1] + c * len(raw)) % every == 0:
+                    units.append([at if own[0] == found[0] else own[0][0], found[k + 1][0] if k + 1 < len(found) else line_end, tuple(w for _, w in own)])
+                    own = []
+            at += len(line) + 1
+        run = []
+        for start, end, tokens in [*units, (0, 0, None)]:
+            kept = first.setdefault(tokens, (d, start)) if tokens else (d, start)
+            if kept != (d, start):
+                run.append((d, start, end, len(tokens), *kept))
+            else:
+                size = sum(len(re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]", "", low(t[x[1] : x[2]]))) for x in run)
+                out |= set(run) if size >= letters else set()
+                run = []
     return out
 
 

@@ -123,9 +123,26 @@ def test_crowded_template_loses_no_similar_lines(spark):
     assert len(want) >= 100 and got <= want and len(want - got) <= 0.02 * len(want)
 
 
-def test_exact_lines_and_offsets(spark, corpus):
-    found = units.repeated(frame(spark, corpus))
-    assert set(rows(found, "doc_id", "start", "end", "n_words", "first_doc_id", "first_start")) == brute.repeated_lines(corpus)
+@pytest.mark.parametrize("letters", [1, 40, 150])
+def test_repeated_units_and_offsets(spark, corpus, letters):
+    found = units.repeated(frame(spark, corpus), letters)
+    want = brute.repeated_units(corpus, letters, units.BOUNDARY)
+    assert want and set(rows(found, "doc_id", "start", "end", "n_words", "first_doc_id", "first_start")) == want
+
+
+def test_passages_are_found_wherever_they_stand(spark):
+    """In the midst of lines, without any punctuation, and in a script without spaces; a lone common phrase stays."""
+    rng = random.Random(4)
+    fresh = lambda n: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(n))
+    passage, wide = fresh(80), "漢" + "".join(rng.choices("日月火水木金土山川田人口手足目耳", k=300))
+    docs = [(1, f"{fresh(40)} {passage} {fresh(60)}"), (2, f"{fresh(7)} {passage}"), (3, f"{wide}\n{fresh(5)}"), (4, f"{fresh(3)}\n{wide}\nend"),
+            (5, "thank you for reading this line and come again soon"), (6, f"{fresh(30)}\nthank you for reading this line and come again soon\n{fresh(9)}")]
+    out = defaultdict(list)
+    for d, a, b in sorted(rows(units.repeated(frame(spark, docs)), "doc_id", "start", "end")):
+        out[d].append((a, b))
+    assert set(out) == {2, 4} and dict(docs)[4][out[4][0][0] : out[4][0][1]] == wide + "\n"
+    cut = "".join(dict(docs)[2][a:b] for a, b in out[2])
+    assert len(cut) > 0.5 * len(passage) and cut.strip() in passage  # but for what shares its unit with words around it
 
 
 def test_cutting_lines_keeps_everything_else(spark):
@@ -467,5 +484,5 @@ def test_no_rows(nothing, name):
 def test_odd_rows_have_their_defined_results(messy):
     near = {(d, n, c, k) for d, n, c, k in rows(near_dedup.near_duplicates(messy), "doc_id", "n_shingles", "component_id", "kept")}
     assert {(1, 3, 1, True), (7, 3, 1, False), (2, 0, 2, True), (None, 3, None, False), (6, 5000, 5, False), (8, 1, 8, True)} <= near
-    assert {(d, f) for d, f in rows(units.repeated(messy), "doc_id", "first_doc_id")} == {(6, 5), (7, 1)}
+    assert {(d, f) for d, f in rows(units.repeated(messy), "doc_id", "first_doc_id")} == {(5, 5), (6, 5)}
     assert {(d, f) for d, f in rows(line_dedup.repeated(messy), "doc_id", "kept_doc_id")} == {(6, 5), (7, 1)}
