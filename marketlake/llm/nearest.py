@@ -171,6 +171,9 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
+TIE = 1e-9  # scores from unit vectors are that close to the exact ones
+
+
 def best_in_block(k: int):
     """For cogrouped blocks: the k nearest candidates of each query, and any that could tie with them."""
     def rank(asked: pa.Table, filed: pa.Table) -> pa.Table:
@@ -188,11 +191,13 @@ def best_in_block(k: int):
             head = np.flatnonzero(new)  # copies of one vector lie together, smaller ids first
             copies = np.append(head[1:], len(y)) - head
             s = unit(x) @ unit(y[head]).T
-            top = np.argpartition(-s, min(k + 3, len(head)) - 1, axis=1)[:, : k + 3]
+            # the k nearest besides the query's own vector, and all that could tie with the last of them
+            least = -np.partition(-s, min(k, s.shape[1] - 1), axis=1)[:, min(k, s.shape[1] - 1)]
+            q, top = np.nonzero(s >= least[:, None] - TIE)
             # of equal vectors no more than k ids, besides the query's own, can be wanted
-            take = np.minimum(copies[top], k + 1).ravel()
-            q = np.repeat(np.repeat(np.arange(len(x)), top.shape[1]), take)
-            c = np.repeat(head[top].ravel(), take) + np.arange(len(q)) - np.repeat(np.cumsum(take) - take, take)
+            take = np.minimum(copies[top], k + 1)
+            q = np.repeat(q, take)
+            c = np.repeat(head[top], take) + np.arange(len(q)) - np.repeat(np.cumsum(take) - take, take)
             other = key[c] != query[q]
             q, c = q[other], c[other]
             score = cosines(x[q], y[c])
@@ -216,6 +221,22 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, sample: int = SAMPL
     index = written(routed(rows, router, 1).select("vec_id", "v", F.col("parts")[0].alias("part")), "filed")
     asked = written(routed(rows.where(F.col("vec_id") % every == 0), router, router.probes)
                     .select("vec_id", "v", F.explode("parts").alias("part")), "asked")
+    found = written(_compared(asked, index, k), "found")
+    # a query whose parts hold fewer than k others goes on to all parts: no such query on tables with many rows a part
+    counts = found.groupBy("query_id").agg(F.count("*").alias("n"))
+    queries = rows.where(F.col("vec_id") % every == 0)
+    short = written(queries.join(counts, F.col("vec_id") == F.col("query_id"), "left")
+                    .where(F.coalesce("n", F.lit(0)) < k).select("vec_id", "v"), "short")
+    if router.probes < router.weights[2].shape[1] and not short.isEmpty():
+        everywhere = short.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(router.weights[2].shape[1] - 1))))
+        found = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(_compared(everywhere, index, k))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
+
+
+def _compared(asked: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id, score: for every query of ``asked`` (vec_id, v, part) the nearest rows of its parts, by blocks."""
     # as many rows as parts
     here, there = ({r["part"]: -(-r["count"] // BLOCK) for r in t.groupBy("part").count().collect()} for t in (index, asked))
 
@@ -229,7 +250,4 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, sample: int = SAMPL
     left = blocked(asked, there, here, "q", "c").groupBy("part", "q", "c")
     right = blocked(index, here, there, "c", "q").groupBy("part", "q", "c")
     found = left.cogroup(right).applyInArrow(best_in_block(k), "query_id long, vec_id long, score double")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

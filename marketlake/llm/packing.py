@@ -103,24 +103,41 @@ def added_tokens(tokenizer_file: str) -> dict[str, int]:
         return {x["content"]: x["id"] for x in json.load(file)["added_tokens"]}
 
 
-def encoder(ranks_file: str, pattern: str, added: dict[str, int] | None = None):
+def encoder(ranks_file: str, pattern: str, added: dict[str, int] | None = None, tokenizer_file: str | None = None):
     """Encodes texts by the byte-level BPE vocabulary whose ranks ``ranks_file`` lists. Texts are split at ``added``
-    tokens, which get their ids; without them nothing is special."""
+    tokens, which get their ids; without them nothing is special. Texts that its pattern can't take apart (a run of a
+    million blanks) are encoded by ``tokenizer_file``, the same vocabulary as a tokenizer: slower, and without a limit."""
     import tiktoken
 
     with open(ranks_file, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     made = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added or {})
-    return partial(made.encode, allowed_special="all") if added else made.encode_ordinary
+    fast = partial(made.encode, allowed_special="all") if added else made.encode_ordinary
+    slow = []
+
+    def encode(text: str) -> list[int]:
+        try:
+            return fast(text)
+        except ValueError:  # its pattern's stack is full
+            if tokenizer_file is None:
+                raise
+        if not slow:
+            import tokenizers
+
+            slow.append(tokenizers.Tokenizer.from_file(tokenizer_file))
+            slow[0].encode_special_tokens = not added
+        return slow[0].encode(text, add_special_tokens=False).ids
+
+    return encode
 
 
 def cut(docs: DataFrame, ranks_file: str, pattern: str, capacity: int = 1024, end: int = END,
-        keep_ids: bool = False, added: dict[str, int] | None = None) -> DataFrame:
+        keep_ids: bool = False, added: dict[str, int] | None = None, tokenizer_file: str | None = None) -> DataFrame:
     """Token pieces of at most ``capacity``: a longer text's first piece takes what is over, the others are full.
 
     ``keep_ids`` adds ``ids`` (binary, little-endian unsigned 32-bit)."""
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks_file, pattern, added)
+        encode = encoder(ranks_file, pattern, added, tokenizer_file)
         for batch in (batch.slice(k, ROWS) for batch in batches for k in range(0, batch.num_rows, ROWS)):
             out = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -140,13 +157,14 @@ def cut(docs: DataFrame, ranks_file: str, pattern: str, capacity: int = 1024, en
 
 def pack(docs: DataFrame, ranks_file: str | None = None, pattern: str | None = None, capacity: int = 1024,
          end: int = END, key: str = "doc_id", text: str = "text", keep_ids: bool = False,
-         added: dict[str, int] | None = None) -> DataFrame:
+         added: dict[str, int] | None = None, tokenizer_file: str | None = None) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32[, ids], sequence_id, offset."""
     if ranks_file is None:
         import public_tokenizers
 
         ranks_file, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    pieces = written(cut(slim(docs, text, key), ranks_file, pattern, capacity, end, keep_ids, added), "pieces")
+        tokenizer_file = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = written(cut(slim(docs, text, key), ranks_file, pattern, capacity, end, keep_ids, added, tokenizer_file), "pieces")
     # at most `capacity` rows
     lengths = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     # their number depends on the capacity alone: at most one run of bins is cut in two at each step

@@ -230,6 +230,8 @@ def test_ties_invalid_vectors_and_copies(spark):
     ids = [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 9, 10, 50, 11]
     found = rows(nearest.nearest(vectors(spark, x, ids)), "query_id", "rank", "vec_id")
     assert sorted(found) == [(0, 1, 2), (0, 2, 8), (0, 3, 9), (0, 4, 10), (0, 5, 50), (50, 1, 0), (50, 2, 2), (50, 3, 8), (50, 4, 9), (50, 5, 10)]
+    parallel = rows(nearest.nearest(vectors(spark, [[3 * (i + 1), 4 * (i + 1), 12 * (i + 1)] for i in range(200)])), "query_id", "rank", "vec_id")
+    assert sorted(parallel) == [(q, r, v) for q in range(0, 200, 50) for r, v in enumerate([v for v in range(7) if v != q][:5], 1)]
     assert rows(nearest.nearest(vectors(spark, [[1, 0]], [0])), "query_id") == []
     assert nearest.nearest(vectors(spark, [[1, 0]], [0]).where("false")).count() == 0
 
@@ -391,6 +393,30 @@ def test_added_tokens_get_their_ids():
         assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_long_runs_of_blanks_are_encoded():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(file)
+    encode = packing.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, packing.added_tokens(file), file)
+    text = "it's <|endoftext|>" + " " * 1_500_000 + "x\n" + "\t " * 3 + "y"
+    assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("kind", ["few a part", "far parts"])
+def test_every_query_finds_k(spark, monkeypatch, kind):
+    """Parts that hold fewer than k others: such queries go on to all parts."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 6)) if kind == "few a part" else np.repeat(np.eye(8) * 9, 3, axis=0) + rng.normal(size=(24, 8)) * 0.01
+    learned = nearest.learn
+    monkeypatch.setattr(nearest, "learn", lambda *a: (lambda r: (setattr(r, "probes", 1), r)[1])(learned(*a)))
+    found = defaultdict(list)
+    for q, r, v in sorted(rows(nearest.nearest(vectors(spark, x), every=3, parts=8 if kind == "far parts" else 128), "query_id", "rank", "vec_id")):
+        found[q].append(v)
+    assert {len(v) for v in found.values()} == {5} and set(found) == set(range(0, len(x), 3))
+
+
 def test_packed_sequences(spark, corpus):
     import public_tokenizers
     from tokenizers import Tokenizer
