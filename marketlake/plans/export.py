@@ -83,19 +83,21 @@ def top_benchmarks(bench: DataFrame, k: int = TOP_BENCHMARKS) -> DataFrame:
 
 
 def document(merchants: DataFrame, pay_risk: DataFrame, channel: DataFrame, bench: DataFrame,
-             generated_at: str) -> DataFrame:
+             generated_at: str, merchants_kept: int = TOP_MERCHANTS, benchmarks_kept: int = TOP_BENCHMARKS) -> DataFrame:
     """The whole export as a one-row DataFrame with a single JSON string column ``value``.
 
     The four parts are one-row aggregates combined as scalar subqueries (no join, no driver trip)."""
-    board = _rounded(leaderboard(merchants, pay_risk))
+    board = leaderboard(merchants, pay_risk, merchants_kept)
+    shown = board.columns
+    # the order is that of the scores as they are, not as they are shown
+    board = _rounded(board.withColumn("_order", -F.col("mdt_score").cast("decimal(38,18)")))
     channel, bench = _rounded(channel), _rounded(bench)
     lb = board.agg(F.transform(
-        F.array_sort(F.collect_list(F.struct(F.negative("mdt_score").alias("_k"), F.col("merchant_id").alias("_m"),
-                                             F.struct(*board.columns).alias("m")))),
+        F.array_sort(F.collect_list(F.struct(F.col("_order").alias("_k"), F.col("merchant_id").alias("_m"), F.struct(*shown).alias("m")))),
         lambda s: s["m"]).alias("merchants"))
     tiers = tier_counts(merchants).agg(F.map_from_entries(F.collect_list(F.struct("tier", "n"))).alias("t"))
     ch = channel.agg(F.array_sort(F.collect_list(F.struct(*channel.columns))).alias("c"))
-    bm = top_benchmarks(bench).agg(F.transform(
+    bm = top_benchmarks(bench, benchmarks_kept).agg(F.transform(
         F.array_sort(F.collect_list(F.struct(F.negative("complaints").alias("_k"), F.col("product").alias("_p"),
                                              F.struct(*bench.columns).alias("b")))),
         lambda s: s["b"]).alias("b"))
@@ -108,3 +110,23 @@ def document(merchants: DataFrame, pay_risk: DataFrame, channel: DataFrame, benc
     return lb.select(F.to_json(F.struct(
         meta.alias("meta"), F.col("merchants"), ch.scalar().alias("channel_risk"),
         bm.scalar().alias("cfpb_benchmarks")), {"ignoreNullFields": "false"}).alias("value"))
+
+
+PARSED = ("struct<meta: struct<tier_counts: map<string, bigint>>, merchants: array<struct<merchant_id: string, orders: bigint, tier: string>>, "
+          "channel_risk: array<struct<initiation_channel: string, payments: bigint>>, cfpb_benchmarks: array<struct<product: string, complaints: bigint>>>")
+
+
+def parsed(doc: DataFrame) -> DataFrame:
+    """A document read back as rows: (section, place, name, note, n), lists in their order."""
+    d = doc.select(F.from_json("value", PARSED).alias("d"))
+    nothing = F.lit(None).cast("string")
+
+    def part(section: str, items, name, note, n) -> DataFrame:
+        rows = d.select(F.posexplode(items).alias("place", "x"))
+        return rows.select(F.lit(section).alias("section"), "place", name.alias("name"), note.alias("note"), n.alias("n"))
+
+    x = F.col("x")
+    tiers = part("tier_counts", F.array_sort(F.map_entries("d.meta.tier_counts")), x["key"], nothing, x["value"])
+    return (tiers.unionByName(part("merchants", F.col("d.merchants"), x["merchant_id"], x["tier"], x["orders"]))
+            .unionByName(part("channel_risk", F.col("d.channel_risk"), x["initiation_channel"], nothing, x["payments"]))
+            .unionByName(part("cfpb_benchmarks", F.col("d.cfpb_benchmarks"), x["product"], nothing, x["complaints"])))

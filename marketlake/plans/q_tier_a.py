@@ -229,6 +229,18 @@ def b04_promote_metadata(spark, sf):
     return df.select("event_id", "ingested_at", *[n for n, _ in silver.METADATA_FIELDS])
 
 
+@register("b08_silver_objects", with_views(EVENT_VIEWS, """
+select kind, object_id, arg_max(event_type, (created, event_id)) as status, count(*) as n_events, min(created) as first_at, max(created) as last_at,
+       round(cast(arg_max(amount, (created, event_id)) as double), 6) as amount, arg_max(account_id, (created, event_id)) as account_id
+from (select *, case when event_type like 'charge.dispute.%' then 'dispute' else 'payment_intent' end as kind from ev)
+group by kind, object_id""", ctes=SQL_EVENTS))
+def b08_silver_objects(spark, sf):
+    """The object tables that events build: payment intents and disputes, each object once in its current state."""
+    ev, _ = silver_events(spark, sf)
+    tables = [silver.objects(ev, kind).withColumn("kind", F.lit(kind)).drop("ladder") for kind in ("payment_intent", "dispute")]
+    return present(tables[0].unionByName(tables[1]))
+
+
 @register("b08_b09_object_state", with_views(EVENT_VIEWS, """
 select s.object_id, s.status, l.ladder, s.n_events, s.first_at, s.last_at
 from (select object_id, arg_max(event_type, (created, event_id)) as status, count(*) as n_events,
@@ -341,6 +353,27 @@ def a137_export_tier_counts(spark, sf):
     return export.tier_counts(merchant_table(spark, sf))
 
 
+@register("a137_document_rows", with_views(SCORE_VIEWS + ["f_events_raw", "f_complaints"], """
+select 'tier_counts' as section, cast(row_number() over (order by tier) - 1 as int) as place, tier as name, cast(null as varchar) as note, count(*) as n
+from merchants where eligible group by tier
+union all
+select 'merchants', cast(place as int), cast(merchant_id as varchar), tier, n_orders
+from (select *, row_number() over (order by mdt_score desc, merchant_id) - 1 as place from merchants where eligible) where place < 40
+union all
+select 'channel_risk', cast(row_number() over (order by initiation_channel) - 1 as int), initiation_channel, null, count(*) filter (where event_type = 'payment_intent.created')
+from evu group by initiation_channel
+union all
+select 'cfpb_benchmarks', cast(place as int), product, null, complaints
+from (select product, complaints, row_number() over (order by complaints desc, product) - 1 as place from bench) where place < 3""",
+    ctes=SQL_SCORES + ",\n" + SQL_EVENTS + ",\n" + SQL_BENCH))
+def a137_document_rows(spark, sf):
+    """The nested document, written with limits that bite and read back."""
+    ev_usd = gold.to_usd(silver_events(spark, sf)[0], silver.fx_rates(fx.f_fx(spark, sf)))
+    doc = export.document(merchant_table(spark, sf), gold.payment_risk(ev_usd), gold.channel_risk(ev_usd), benchmarks_df(spark, sf),
+                          "2024-06-01T00:00:00Z", merchants_kept=40, benchmarks_kept=3)
+    return export.parsed(doc)
+
+
 @register("a137_export_document")
 def a137_export_document(spark, sf):
     """The full nested JSON document (one row); checked for shape in tests."""
