@@ -84,6 +84,11 @@ def _day(c: str) -> Column:
     return F.to_date(c)
 
 
+def _before(df: DataFrame, ts: str, at: str | None) -> DataFrame:
+    """What was known by then, as a plain comparison that reaches the scan."""
+    return df.where(F.col(ts) < F.lit(at).cast("timestamp_ntz")) if at else df
+
+
 def _grid(rows: DataFrame, key: str, until: str | None) -> DataFrame:
     """A row for each key and day, from its first row to the last day of all (or the day before ``until``)."""
     first = rows.groupBy(key).agg(F.min("ts").alias("first_txn"))
@@ -143,11 +148,13 @@ def _country_shift(txns: DataFrame, key: str) -> DataFrame:
     return by.select(key, "day", apart.alias("_a")).groupBy(key, "day").agg((F.lit(0.5) * F.sum("_a")).alias("country_shift"))
 
 
-def merchant_daily(txns: DataFrame, disputes: DataFrame, accounts: DataFrame, until: str | None = None) -> DataFrame:
-    """The inputs of the merchant score, per merchant and snapshot. ``accounts``: versions (merchant_id, account_version,
-    bank_id, owner_id, valid_from, valid_to, charges_enabled, payouts_enabled, requirements_due)."""
+def merchant_daily(txns: DataFrame, disputes: DataFrame, accounts: DataFrame, at: str | None = None) -> DataFrame:
+    """The inputs of the merchant score, per merchant and snapshot, or for the one snapshot ``at`` (a midnight). ``accounts``:
+    versions (merchant_id, account_version, bank_id, owner_id, valid_from, valid_to, charges_enabled, payouts_enabled,
+    requirements_due)."""
     key = "merchant_id"
-    grid = _grid(txns, key, until)
+    txns, disputes, accounts = _before(txns, "ts", at), _before(disputes, "created", at), _before(accounts, "valid_from", at)
+    grid = _grid(txns, key, at)
     pair = txns.groupBy(key, "customer_id").agg(F.min("ts").alias("_first"))
     daily = (txns.join(pair, [key, "customer_id"]).groupBy(key, _day("ts").alias("day"))
              .agg(F.count("*").alias("n"), F.sum("amount").alias("volume"), F.count_if("refunded").alias("refunds"), F.count_if("declined").alias("declines"),
@@ -175,16 +182,21 @@ def merchant_daily(txns: DataFrame, disputes: DataFrame, accounts: DataFrame, un
         (ratio(over("risk", 30), over("n", 30)) / 100).alias("customer_risk"), ratio(over("fresh", 7), over("fresh", 7, 7)).alias("new_customer_spike"),
         ratio(F.col("volume") - F.avg("volume").over(month), F.stddev_samp("volume").over(month)).alias("volume_z"),
         ratio(F.col("_ticket") - F.avg("_ticket").over(month), F.stddev_samp("_ticket").over(month)).alias("ticket_z"))
+    rows = as_of(rows, at) if at else rows
     shift = _country_shift(txns, key)
     standing = ["account_version", "valid_from", "valid_to", "charges_enabled", "payouts_enabled", "requirements_due"]
-    rows = features.asof(rows.join(shift, [key, "day"], "left").na.fill(0.0, ["country_shift"]), accounts, key, "snapshot", "valid_from", standing, "acct")
-    rows = rows.withColumn("external_account_age_days", seconds_between("snapshot", "acct_valid_from") / F.lit(86400.0))
+    rows = rows.join(shift, [key, "day"], "left").na.fill(0.0, ["country_shift"])
+    # what needs only key and day is looked up for these, apart from the sums
+    days = grid.select(key, "day", "snapshot")
+    state = features.asof(as_of(days, at) if at else days, accounts, key, "snapshot", "valid_from", standing, "acct")
+    state = state.withColumn("external_account_age_days", seconds_between("snapshot", "acct_valid_from") / F.lit(86400.0))
     edges = (graph.recorded(accounts, "bank", key, "bank_id", "valid_from", F.col("valid_to"))
              .unionByName(graph.recorded(accounts, "owner", key, "owner_id", "valid_from", F.col("valid_to")))
              .unionByName(graph.sighted(txns, [("device", key, "device_id", DEVICE_DAYS)])))
     bad = _bad_from(disputed.where(F.col("reason") == "fraudulent"), key)
-    rows = rows.withColumn("_id", F.col(key).cast("long") * 1_000_000 + F.unix_date("day"))
-    rows = graph.risky_at(rows, edges, bad, "_id", key, "snapshot", ["bank", "owner", "device"])
+    state = state.withColumn("_id", F.col(key).cast("long") * 1_000_000 + F.unix_date("day"))
+    state = graph.risky_at(state, edges, bad, "_id", key, "snapshot", ["bank", "owner", "device"])
+    rows = rows.drop("snapshot").join(state, [key, "day"])
     hops = F.when(F.col("risky_from") < F.col("snapshot"), 0).when(F.col("risky_neighbours") > 0, 1)
     return rows.join(bad.withColumnRenamed("src", key), key, "left").withColumn("bad_merchant_hops", hops).drop("risky_from", "_id", "acct_ts")
 
@@ -206,11 +218,12 @@ def merchant(inputs: DataFrame, weights: Mapping[str, float] = MERCHANT_WEIGHTS)
 
 
 def agent_daily(txns: DataFrame, agents: DataFrame, mandates: DataFrame, sessions: DataFrame, disputes: DataFrame,
-                until: str | None = None) -> DataFrame:
-    """The inputs of the agent score, per agent and snapshot: attestation, mandate violations, replays and revocations, pace
+                at: str | None = None) -> DataFrame:
+    """The inputs of the agent score, per agent and snapshot (or for the one snapshot ``at``): attestation, mandate violations, replays and revocations, pace
     against the other agents of the day, merchant diversity, session shape, flagged agents on its devices, missing intent."""
     key = "agent_id"
-    grid = _grid(txns, key, until)
+    txns, disputes = _before(txns, "ts", at), _before(disputes, "created", at)
+    grid = _grid(txns, key, at)
     scope = mandates.select("mandate_id", "max_amount_per_txn", "expires_at", "revoked_at")
     intent = sessions.select("session_id", "user_intent_present")
     used = features.replay(txns, mandates).join(scope, "mandate_id", "left").join(intent, "session_id", "left")
@@ -240,11 +253,13 @@ def agent_daily(txns: DataFrame, agents: DataFrame, mandates: DataFrame, session
         ratio(total("disputed"), total("n")).alias("disputed_rate"), over("n", 7).alias("_week"), total("merchants").alias("merchants_30d"),
         ratio(over("session_txns", 30), over("sessions", 30)).alias("txns_per_session"),
         (ratio(over("session_seconds", 30), over("sessions", 30)) / 3600).alias("hours_per_session"))
+    rows = as_of(rows, at) if at else rows
     norm = rows.groupBy("day").agg(F.avg("_week").alias("_norm"))
     rows = rows.join(norm, "day").withColumn("pace", ratio("_week", "_norm")).drop("_week", "_norm")
     edges = graph.sighted(txns, [("device", key, "device_id", DEVICE_DAYS)])
-    rows = rows.withColumn("_id", F.col(key).cast("long") * 1_000_000 + F.unix_date("day"))
-    rows = graph.risky_at(rows, edges, _bad_from(disputed, key), "_id", key, "snapshot").drop("_id")
+    days = grid.select(key, "day", "snapshot").withColumn("_id", F.col(key).cast("long") * 1_000_000 + F.unix_date("day"))
+    near = graph.risky_at(as_of(days, at) if at else days, edges, _bad_from(disputed, key), "_id", key, "snapshot").drop("_id")
+    rows = rows.drop("snapshot").join(near, [key, "day"])
     level = F.create_map(*[x for k, v in ATTESTATION_SCORE.items() for x in (F.lit(k), F.lit(float(v)))])
     known = agents.select(key, level[F.col("attestation_level")].alias("attestation_level_score"), "attestation_expires_at",
                           F.coalesce(F.col("claimed_operator") == F.col("verified_operator"), F.lit(False)).alias("operator_verified"),

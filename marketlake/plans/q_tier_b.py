@@ -268,14 +268,14 @@ select merchant_id, d as snapshot, {', '.join(f'round({c}, 6) as {c}' for c in _
 from mt"""
 
 
-def _merchant_trust(spark, sf, until=None):
-    daily = trust.merchant_daily(fx.f_txns(spark, sf), fx.f_disputes(spark, sf), fx.f_accounts(spark, sf), until)
+def _merchant_trust(spark, sf, at=None):
+    daily = trust.merchant_daily(fx.f_txns(spark, sf), fx.f_disputes(spark, sf), fx.f_accounts(spark, sf), at)
     return trust.merchant(daily).select("merchant_id", "snapshot", *_MT_COLS, "merchant_trust_score")
 
 
 @register("b47_merchant_trust", with_views(_TRUST_VIEWS, f"{_MERCHANT_SQL} where d = timestamp '{TRUST_AS_OF}'", ctes=_MERCHANT_CTES))
 def b47_merchant_trust(spark, sf):
-    return present(trust.as_of(_merchant_trust(spark, sf, TRUST_AS_OF), TRUST_AS_OF))
+    return present(_merchant_trust(spark, sf, TRUST_AS_OF))
 
 
 _AGENT_CTES = _AGENT_EDGES + _grid_sql("agent_id").replace("{bad}", "true") + f""",
@@ -317,14 +317,14 @@ select agent_id, d as snapshot, {', '.join(f'round({c}, 6) as {c}' for c in _AT_
 from sc"""
 
 
-def _agent_trust(spark, sf, until=None):
-    daily = trust.agent_daily(fx.f_txns(spark, sf), fx.f_agents(spark, sf), fx.f_mandates(spark, sf), fx.f_sessions(spark, sf), fx.f_disputes(spark, sf), until)
+def _agent_trust(spark, sf, at=None):
+    daily = trust.agent_daily(fx.f_txns(spark, sf), fx.f_agents(spark, sf), fx.f_mandates(spark, sf), fx.f_sessions(spark, sf), fx.f_disputes(spark, sf), at)
     return trust.agent(daily).select("agent_id", "snapshot", *_AT_COLS, "agent_trust_score")
 
 
 @register("b48_agent_trust", with_views(_TRUST_VIEWS, f"{_AGENT_SQL} where d = timestamp '{TRUST_AS_OF}'", ctes=_AGENT_CTES))
 def b48_agent_trust(spark, sf):
-    return present(trust.as_of(_agent_trust(spark, sf, TRUST_AS_OF), TRUST_AS_OF))
+    return present(_agent_trust(spark, sf, TRUST_AS_OF))
 
 
 @register("b49_merchant_trust_daily", with_views(_TRUST_VIEWS, _MERCHANT_SQL, ctes=_MERCHANT_CTES))
