@@ -37,3 +37,32 @@ def test_scale_conf_sizes_partitions_from_input():
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 << 20)
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(scale_conf(10 << 20, cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_category_median_is_exact_over_any_prices(spark):
+    """Bands of prices find the median that a plain sort gives: skewed, negative, repeated and non-finite prices."""
+    import random
+
+    from marketlake.operators import gold
+
+    rng, odd = random.Random(5), [None, 0.0, -0.0, float("inf"), float("-inf"), float("nan")]
+    rows = [(c, rng.choice(odd)) for c in ["odd"] * 9 + [None] * 9]
+    rows += [(c, rng.choice([round(rng.uniform(0, 30000), 2), rng.uniform(-9, 9), 7.25, rng.choice(odd)])) for c in "abcde" for _ in range(rng.randrange(1, 90))]
+    got = {r[0]: r[1] for r in gold.category_median(spark.createDataFrame(rows, "category string, price_brl double")).collect()}
+    place = lambda p: (p != p, 0.0 if p != p else p)
+    prices = {c: sorted((p for k, p in rows if k == c and p is not None), key=place) for c in {c for c, _ in rows}}
+    assert {c: place(p) for c, p in got.items()} == {c: place(own[(len(own) - 1) // 2]) for c, own in prices.items() if own}
+
+
+@pytest.mark.parametrize("name", ["a113_order_seller", "a114_a116_order_flags", "a118_priors", "a128_a130_composite_tier"])
+def test_items_are_dealt_by_order_or_product_and_never_by_category(spark, sf, name):
+    """A category holds a share of all items: no join or sort may gather it; per order, no partitions are merged."""
+    import re
+
+    plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+    lines = plan.split("\n")
+    for n, line in enumerate(lines):
+        if re.search(r"Exchange hashpartitioning\(category#\d+, ", line):  # only bands, prices of one band and products
+            below = "\n".join(lines[n + 1 : n + 3])
+            assert re.search(r"HashAggregate\(keys=\[category|_band|category#\d+ AS|FileScan|CASE WHEN", below) and "l_orderkey" not in below, below
