@@ -15,9 +15,14 @@ from marketlake.sources import fixtures as fx
 from marketlake.streaming import ingest, reconcile
 
 
+def _tasks(spark):
+    """Landing files of a drop and parts of a stream's state: fixed numbers would leave most of a cluster idle."""
+    return max(4, spark.sparkContext.defaultParallelism)
+
+
 def _landed(spark, sf, name):
     root = shared_scratch(spark, f"stream/{name}/{uuid.uuid4().hex}")
-    ingest.land_jsonl(fx.f_events_raw(spark, sf), f"{root}/landing")
+    ingest.land_jsonl(fx.f_events_raw(spark, sf), f"{root}/landing", files=_tasks(spark))
     return root
 
 
@@ -34,7 +39,7 @@ def _drops(spark, sf, name, order, n, take=lambda raw: raw):
     root = shared_scratch(spark, f"stream/{name}/{uuid.uuid4().hex}")
     raw = take(fx.f_events_raw(spark, sf)).withColumn("_drop", order)
     for k in range(n):
-        ingest.land_jsonl(raw.where(F.col("_drop") == k).drop("_drop"), f"{root}/landing", files=2)
+        ingest.land_jsonl(raw.where(F.col("_drop") == k).drop("_drop"), f"{root}/landing", files=_tasks(spark))
         yield root
 
 
@@ -75,7 +80,7 @@ def b03_reconcile_drops(spark, sf):
     """Three drops, each over the whole time: most rows of the later ones are behind the watermark."""
     for root in _drops(spark, sf, "reconcile", F.pmod(_number() * 7 + F.dayofyear("ingested_at"), F.lit(3)), 3):
         ingest.dedupe_to(spark, f"{root}/landing", f"{root}/dedup", f"{root}/_ckpt1")
-        reconcile.reconcile_to(spark, f"{root}/dedup", f"{root}/joined", f"{root}/_ckpt2", _HORIZON, "2 days", state_partitions=4)
+        reconcile.reconcile_to(spark, f"{root}/dedup", f"{root}/joined", f"{root}/_ckpt2", _HORIZON, "2 days", state_partitions=_tasks(spark))
     return (reconcile.pairs_table(spark, f"{root}/joined").select("child_id", "parent_key", "parent_id")
             .unionByName(reconcile.pending_table(spark, f"{root}/joined").select("child_id", "parent_key", F.lit(None).cast("string").alias("parent_id"))))
 

@@ -131,3 +131,17 @@ def test_five_drops_in_any_order_join_as_one_batch(spark, seed):
     got = [(r["child_id"], r["parent_id"]) for r in reconcile.pairs_table(spark, f"{root}/out").collect()]
     got += [(r["child_id"], None) for r in reconcile.pending_table(spark, f"{root}/out").collect()]
     assert len(got) == len(set(got)) and set(got) == _plain_pairs(events, 10)
+
+
+def test_drops_and_state_spread_over_the_cores(spark, sf, monkeypatch):
+    """Landing and the join's state had 2 and 4 tasks, however many cores there were."""
+    from marketlake.plans import q_streaming
+
+    seen = []
+    monkeypatch.setattr(q_streaming, "_tasks", lambda spark: 6)
+    monkeypatch.setattr(q_streaming.ingest, "land_jsonl", lambda df, path, files=4: seen.append(files))
+    monkeypatch.setattr(q_streaming.ingest, "dedupe_to", lambda *a, **b: None)
+    monkeypatch.setattr(q_streaming.reconcile, "reconcile_to", lambda *a, **b: seen.append(b["state_partitions"]))
+    monkeypatch.setattr(q_streaming.reconcile, "pairs_table", lambda spark, dst: spark.createDataFrame([], "child_id string, parent_key string, parent_id string"))
+    monkeypatch.setattr(q_streaming.reconcile, "pending_table", lambda spark, dst: spark.createDataFrame([], "child_id string, parent_key string"))
+    assert q_streaming.b03_reconcile_drops(spark, sf).isEmpty() and seen == [6] * 6
