@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.session import parts_for
 from marketlake.sources.tables import table
 
 
@@ -38,9 +39,9 @@ def f_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 def f_items(spark: SparkSession, sf: str) -> DataFrame:
     # sellers differ in volume: lines of small sellers go to the large seller (number ...8) of their ten
-    # lines are dealt by order in all shuffle partitions: what the queries do per order follows in the same tasks
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    li = table(spark, sf, "lineitem").repartition(parts, "l_orderkey").withColumn("seller", F.expr(
+    # lines are dealt by order into as many tasks as their size needs: what the queries do per order follows in the same tasks
+    lines = table(spark, sf, "lineitem")
+    li = lines.repartition(parts_for(lines), "l_orderkey").withColumn("seller", F.expr(
         """case when l_suppkey % 10 = 9 and l_orderkey % 400 <> 7 or l_suppkey % 10 < 8 and l_orderkey % 10 > l_suppkey % 10 + 1
                 then l_suppkey - l_suppkey % 10 + 8 else l_suppkey end"""))
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")

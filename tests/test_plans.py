@@ -66,3 +66,21 @@ def test_items_are_dealt_by_order_or_product_and_never_by_category(spark, sf, na
         if re.search(r"Exchange hashpartitioning\(category#\d+, ", line):  # only bands, prices of one band and products
             below = "\n".join(lines[n + 1 : n + 3])
             assert re.search(r"HashAggregate\(keys=\[category|_band|category#\d+ AS|FileScan|CASE WHEN", below) and "l_orderkey" not in below, below
+
+
+def test_order_stages_get_more_tasks_as_the_tables_grow(spark, sf, monkeypatch):
+    """What meets per order is dealt by the size of the stored input, not into a fixed number of tasks; unknown sizes don't count."""
+    import re
+
+    from marketlake import session
+    from marketlake.sources import fixtures
+
+    monkeypatch.setattr(session, "STORED_PER_TASK", 1 << 12)
+    parts = session.parts_for(fixtures.f_items(spark, sf), fixtures.f_orders(spark, sf))
+    assert parts > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = entry.queries()["a114_a116_order_flags"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    dealt = [int(n) for n in re.findall(r"Exchange hashpartitioning\(order_id#\d+L, (\d+)\), REPARTITION_BY_NUM", plan)]
+    assert dealt and set(dealt) == {parts}
+    assert not re.search(r"SortMergeJoin \[order_id.*\n(.*\n){0,6}.*Exchange hashpartitioning\(order_id#\d+L, \d+\), ENSURE_REQ", plan)
+    made = spark.createDataFrame([(1,)], "a long")
+    assert session.parts_for(made) == int(spark.conf.get("spark.sql.shuffle.partitions"))
