@@ -16,7 +16,7 @@ import pytest
 from conftest import frame
 
 from marketlake.llm import (blocks, brown, components, decontaminate, language, line_dedup, near_dedup, nearest,
-                            packing, pii, sharding, units)
+                            packing, pii, sharding, sketch_join, units)
 
 
 def rows(df, *names):
@@ -512,3 +512,31 @@ def test_odd_rows_have_their_defined_results(messy):
     assert {(1, 3, 1, True), (7, 3, 1, False), (2, 0, 2, True), (None, 3, None, False), (6, 5000, 5, False), (8, 1, 8, True)} <= near
     assert {(d, f) for d, f in rows(units.repeated(messy), "doc_id", "first_doc_id")} == {(5, 5), (6, 5)}
     assert {(d, f) for d, f in rows(line_dedup.repeated(messy), "doc_id", "kept_doc_id")} == {(6, 5), (7, 1)}
+
+
+def crowd_of_lines():
+    """Lines of one small vocabulary, each some words long: every two share many shingles, few are similar."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8))) for _ in range(60)]
+    lines = [" ".join(rng.choice(words) for _ in range(rng.choice([6, 20, 60, 200]))) for _ in range(300)]
+    for i in range(100):
+        near = lines[i].split(" ")
+        for _ in range(rng.choice([0, 1, 2, 4])):
+            near[rng.randrange(len(near))] = rng.choice(words)
+        lines.append(" ".join(near))
+    return [(i, i if i % 7 else 0, line) for i, line in enumerate(lines)]
+
+
+def test_crowded_lines_keep_every_similar_pair_and_few_others(spark, monkeypatch):
+    crowd = crowd_of_lines()
+    shingled = [{line[k : k + 5] for k in range(max(1, len(line) - 4))} for _, _, line in crowd]
+    similar = {(i, j) for i, x in enumerate(shingled) for j, y in enumerate(shingled)
+               if i < j and crowd[i][1] != crowd[j][1] and 100 * len(x & y) >= 80 * len(x | y)}
+    lines = spark.createDataFrame(crowd, "id long, group long, line string").repartition(5)
+    for size in (sketch_join.BLOCK_BYTES, 1 << 10):  # one block to a class, and many
+        monkeypatch.setattr(sketch_join, "BLOCK_BYTES", size)
+        found = rows(sketch_join.sketch_pairs(line_dedup.line_sketches(lines, 80), 80), "a", "b")
+        assert len(similar) > 50 and similar <= set(found) and len(found) == len(set(found))
+        assert len(found) <= 3 * len(similar)  # a prefix filter lists most of these 80,000 pairs
+    none = lines.where("id < 0")
+    assert not rows(sketch_join.sketch_pairs(line_dedup.line_sketches(none, 80), 80), "a", "b")
