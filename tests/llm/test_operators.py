@@ -540,3 +540,35 @@ def test_crowded_lines_keep_every_similar_pair_and_few_others(spark, monkeypatch
         assert len(found) <= 3 * len(similar)  # a prefix filter lists most of these 80,000 pairs
     none = lines.where("id < 0")
     assert not rows(sketch_join.sketch_pairs(line_dedup.line_sketches(none, 80), 80), "a", "b")
+
+
+def test_crowded_lines_are_dealt_in_turns(spark, monkeypatch):
+    """No more than some copies of a set lie on disk at once, however many blocks it meets; the turns find the same pairs."""
+    lines = spark.createDataFrame(crowd_of_lines(), "id long, group long, line string").repartition(5)
+    sets = line_dedup.line_sketches(lines, 80).cache()
+    want = sorted(rows(sketch_join.sketch_pairs(sets, 80), "a", "b"))
+    for name, value in (("BLOCK_BYTES", 1 << 9), ("LARGE_BYTES", 1 << 9), ("COPIES", 4)):
+        monkeypatch.setattr(sketch_join, name, value)
+    counts = {r["class"]: r["count"] for r in sets.groupBy("class").count().collect()}
+    cuts = sketch_join._cuts(counts, 80, 8)
+    turns = sketch_join._rounds(cuts)
+    copies = [sketch_join.dealt(sets, cuts, turns, k).count() / sets.count() for k in range(turns)]
+    assert turns > 3 and sum(copies) > 10 and max(copies) <= 4  # before, all were dealt at once
+    assert sorted(rows(sketch_join.sketch_pairs(sets, 80), "a", "b")) == want
+    sets.unpersist()
+
+
+def test_lines_of_one_component_are_not_compared_again(spark, monkeypatch):
+    """Of many similar lines only some pairs travel with their lines, and the components are those over all pairs."""
+    rng = random.Random(3)
+    base = [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(12)) for _ in range(3)]
+    texts = [(i, f"{base[i % 3]} {chr(97 + i // 3)}") for i in range(60)]
+    lines = spark.createDataFrame(texts, "id long, line string")
+    every = spark.createDataFrame([(a, b) for a in range(60) for b in range(a + 1, 60)], "a long, b long")
+    compared, similar = [], line_dedup.similar
+    monkeypatch.setattr(line_dedup, "similar", lambda paired, percent: (compared.append(paired.count()), similar(paired, percent))[1])
+    links = line_dedup.linked(every, lines, 80)
+    roots = set(rows(components.components(links), "node", "root"))
+    assert roots == {(i, i % 3) for i in range(3, 60)}
+    assert len(compared) > 1 and max(compared) < 500 and compared[-1] < 60 * 60 / 2
+    assert line_dedup.linked(every.where("a < 0"), lines, 80).count() == 0
