@@ -84,3 +84,32 @@ def test_order_stages_get_more_tasks_as_the_tables_grow(spark, sf, monkeypatch):
     assert not re.search(r"SortMergeJoin \[order_id.*\n(.*\n){0,6}.*Exchange hashpartitioning\(order_id#\d+L, \d+\), ENSURE_REQ", plan)
     made = spark.createDataFrame([(1,)], "a long")
     assert session.parts_for(made) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("name", ["a131_merchant_dimension_scores", "a136_export_leaderboard", "a137_export_document", "a137_document_rows", "a155_dq_gold"])
+def test_merchant_queries_make_the_seller_stats_once_and_hold_no_shuffle_of_items(spark, sf, name):
+    """The steps per item and order are written tables whose shuffles are freed: what is left reads a row per seller."""
+    plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey" not in plan and "o_orderstatus" not in plan and "seller_stats" in plan
+
+
+def test_merchant_stats_keep_no_table_or_shuffle_of_their_steps(spark, sf):
+    import os
+    from pathlib import Path
+
+    from marketlake.operators import gold
+    from marketlake.plans.catalog import silver_inputs
+    from marketlake.session import ensure_checkpoint_dir
+
+    kept = Path(ensure_checkpoint_dir(spark).removeprefix("file://")) / "marketlake/tables"
+    count = lambda: sum(f.startswith("shuffle_") for top in (local,) for _, _, files in os.walk(top) for f in files)
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].getPath()
+    s = silver_inputs(spark, sf)
+    tables = set(os.listdir(kept)) if kept.exists() else set()
+    before = count()
+    stats = gold.merchant_stats(s["items"], s["products"], s["orders"], s["reviews"], s["fx"])
+    assert {t.split("-")[0] for t in set(os.listdir(kept)) - tables} == {"seller_stats"}
+    assert count() <= before
+    lazily = gold.seller_stats(gold.order_facts(gold.order_seller(s["items"], s["products"], s["orders"], s["reviews"], s["fx"])))
+    near = lambda df: sorted(tuple(f"{v:.9g}" if isinstance(v, float) else v for v in r) for r in df.collect())
+    assert near(stats) == near(lazily) and stats.columns == lazily.columns
